@@ -138,7 +138,8 @@ def split_audit(
     )
     classes = cells.agg(F.countDistinct("label")).scalar()
     target = F.element_at(F.create_map(*[F.lit(x) for kv in shares.items() for x in kv]), F.col("split"))
-    gap = F.abs(F.col("n") / total - target)
+    by_split = by_split.withColumn("gap", F.abs(F.col("n") / total - target))
+    gap = F.col("gap")
 
     def check(name: str, value: Column, passed: Column) -> Column:
         return F.struct(
