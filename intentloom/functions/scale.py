@@ -94,16 +94,19 @@ def hash_cuts(df: DataFrame, by: Sequence[str], hash_col: str, targets: Mapping[
     return hits.groupBy(*by).agg(*picks)
 
 
-def cut_points(df: DataFrame, cols: Sequence[str], buckets: int) -> dict[str, list[float]]:
+def cut_points(
+    df: DataFrame, cols: Sequence[str], buckets: int, also: Sequence[Column] = ()
+) -> tuple[dict[str, list[float]], list]:
     """About ``buckets - 1`` values per column that split it into parts of similar size.
 
     One pass with a mergeable sketch; the answer (a few hundred numbers) comes to the driver
     and goes into later plans as literals, so every branch and every retry buckets alike.
+    ``also`` are further aggregates to take in the same pass, returned as the second result.
     """
     probs = [i / buckets for i in range(1, buckets)]
     sketches = [F.percentile_approx(c, probs, 20 * buckets).alias(f"_{i}") for i, c in enumerate(cols)]
-    row = df.agg(*sketches).first()
-    return {c: sorted({float(v) for v in row[i] or []}) for i, c in enumerate(cols)}
+    row = df.agg(*sketches, *also).first()
+    return {c: sorted({float(v) for v in row[i] or []}) for i, c in enumerate(cols)}, list(row[len(cols) :])
 
 
 def with_bucket(df: DataFrame, col: str, cuts: Sequence[float], out: str) -> DataFrame:
@@ -121,6 +124,9 @@ def running_counts(df: DataFrame, keys: Sequence[str], bucket: str, value: str,
     there are at most (buckets x groups).
     """
     keys = list(keys)
+    # stated here, so that both readers of the collapsed rows plan, and share, the same shuffle
+    for c in [*keys, bucket, value]:
+        df = df.filter(F.col(c).isNotNull())
     per_value = df.groupBy(*keys, bucket, value).agg(*[F.sum(c).alias(c) for c in counts])
     group = W.partitionBy(*keys)
     ordered = group.orderBy(bucket)
@@ -159,7 +165,7 @@ def exact_percentiles(
     keys = list(keys)
     rows = df.select(*keys, F.col(value).cast("double").alias("_v"), F.lit(1).cast("long").alias("n"))
     rows = rows.filter("_v is not null")
-    cuts = cut_points(rows, ["_v"], buckets)["_v"]
+    cuts = cut_points(rows, ["_v"], buckets)[0]["_v"]
     ranked = running_counts(with_bucket(rows, "_v", cuts, "_b"), keys, "_b", "_v", ["n"])
     picks = []
     for i, p in enumerate(probs.values()):

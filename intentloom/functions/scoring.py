@@ -43,11 +43,6 @@ def minmax(values: str | Column, epsilon: float = 1e-8) -> Column:
     return let(source, scale)
 
 
-def squared_distance(a: Column, b: Column) -> Column:
-    gaps = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
-    return F.aggregate(gaps, F.lit(0.0).cast("double"), lambda acc, v: acc + v)
-
-
 def fallback_name(name: str | Column, label: str | Column) -> Column:
     """The dictionary name, or ``class_<n>`` for a label the dictionary lacks."""
     shown = F.col(name) if isinstance(name, str) else name

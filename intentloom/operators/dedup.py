@@ -19,13 +19,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from intentloom.functions.scale import broadcast_small
 from intentloom.session import through_table
-from intentloom.sources.tables import micros
+from intentloom.sources.tables import MICROS, micros
 
 TTL_SECONDS = 3600
-HOT_INSTANTS = 50_000
+HOT_ROWS = 50_000
+MAX_PARTS = 36_000  # a slot is never shorter than a tenth of a second at the usual ttl
 FAN_IN = 4
 CHUNK_PERIODS = 4  # length of a chunk, in periods of the ttl
 NEVER, ALWAYS = np.iinfo(np.int64).max, np.iinfo(np.int64).min
@@ -146,21 +148,20 @@ def _hot_misses(instants: DataFrame, ttl: int) -> DataFrame:
 
 
 def _fold_misses(instants: DataFrame, key: str, ttl: int) -> DataFrame:
-    """(key, t) of the computed instants of ordinary keys: one ordered fold per key."""
-    ordered = F.sort_array(F.collect_list(F.struct("t", "forced")))
-    start = F.struct(
-        F.lit(None).cast("long").alias("allowed"), F.array().cast("array<bigint>").alias("found")
-    )
+    """(key, head) of the computed instants of ordinary keys: one ordered fold per key."""
+    ordered = F.sort_array(F.collect_list(F.struct("t", "forced", "_head")))
+    heads = T.ArrayType(instants.schema["_head"].dataType)
+    start = F.struct(F.lit(None).cast("long").alias("allowed"), F.array().cast(heads).alias("found"))
 
     def step(state: Column, row: Column) -> Column:
         due = F.coalesce(row["t"] >= state["allowed"], F.lit(True))
         return F.struct(
             F.when(due | row["forced"], row["t"] + ttl).otherwise(state["allowed"]).alias("allowed"),
-            F.when(due, F.concat(state["found"], F.array(row["t"]))).otherwise(state["found"]).alias("found"),
+            F.when(due, F.concat(state["found"], F.array(row["_head"]))).otherwise(state["found"]).alias("found"),
         )
 
     folded = instants.groupBy(key).agg(F.aggregate(ordered, start, step)["found"].alias("found"))
-    return folded.select(key, F.explode("found").alias("t"))
+    return folded.select(key, F.explode("found").alias("_head"))
 
 
 def ttl_dedup(
@@ -171,52 +172,84 @@ def ttl_dedup(
     payload: Sequence[str] = ("predicted_label", "confidence"),
     overwrite: str | None = None,
     ttl_seconds: int = TTL_SECONDS,
-    hot_instants: int = HOT_INSTANTS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Every request with ``hit``, the id that was computed for it and the payload it is served.
 
     ``overwrite`` names a flag of requests that skip the cache read and always write it. Periods
-    are compared in milliseconds; order within one is by (ts, id).
+    are compared in milliseconds; order within one is by (ts, id), and ids are unique. Keys with
+    more than ``hot_rows`` requests go by chunks and narrow time slots; the result is the same.
     """
-    ttl = ttl_seconds * 1_000
+    ttl, ttl_us = ttl_seconds * 1_000, ttl_seconds * MICROS
     at = micros(ts) if dict(log.dtypes)[ts] == "timestamp_ntz" else F.unix_micros(ts)
-    forced = F.col(overwrite) if overwrite else F.lit(False)
-    rows = log.select(key, id_col, at.alias("_us"), forced.alias("forced"), F.struct(*payload).alias("_own"))
-    rows = rows.withColumn("t", F.floor(F.col("_us") / 1_000)).withColumn("_slot", F.floor(F.col("t") / ttl))
+    forced = F.coalesce(F.col(overwrite), F.lit(False)) if overwrite else F.lit(False)
+    rows = log.select(
+        key,
+        F.floor(at / 1_000).alias("t"),
+        forced.alias("forced"),
+        F.struct(at.alias("us"), F.col(id_col).alias("id"), F.struct(*payload).alias("own")).alias("_row"),
+    ).filter(F.col(key).isNotNull())
     instants = rows.groupBy(key, "t").agg(
-        F.min(F.struct("_us", id_col)).alias("_head"), F.max("forced").alias("forced")
+        F.min("_row").alias("_head"), F.max("forced").alias("forced"), F.count(F.lit(1)).alias("_n")
     )
 
-    counts = instants.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_instants)
-    numbered = counts.select(key, (F.row_number().over(W.orderBy(key)) - 1).cast("long").alias("k"))
-    hot = broadcast_small(numbered)  # at most (instants / hot_instants) keys
+    busy = instants.groupBy(key).agg(F.sum("_n").alias("_n")).filter(F.col("_n") > hot_rows)
+    parts = F.least(F.lit(MAX_PARTS), F.floor(F.col("_n") / hot_rows))
+    hot = broadcast_small(  # at most (rows / hot_rows) keys
+        busy.select(
+            key,
+            (F.row_number().over(W.orderBy(key)) - 1).cast("long").alias("k"),
+            F.ceil(F.lit(ttl_us) / parts).alias("_width"),
+        )
+    )
     if hot.isEmpty():
         misses = _fold_misses(instants, key, ttl)
+        rows = rows.withColumn("_width", F.lit(ttl_us).cast("long"))
     else:
         cold = instants.join(hot.select(key), key, "left_anti")
-        heated = instants.join(hot, key).select("k", "t", "forced")
-        found = _hot_misses(heated, ttl).join(hot, "k").select(key, "t")
-        misses = _fold_misses(cold, key, ttl).unionByName(found)
-
-    first = instants.join(misses, [key, "t"]).select(key, "t", F.col(f"_head.{id_col}").alias(id_col), F.lit(True).alias("_miss"))
-    marked = rows.join(first, [key, "t", id_col], "left").withColumn(
-        "computed", F.col("forced") | F.coalesce("_miss", F.lit(False))
-    )
-    write = F.struct("_us", F.col(id_col), F.col("_own"))
-    # what a slot's requests may still be served from is the last write of the slot before
+        heated = instants.join(hot, key)
+        found = _hot_misses(heated.select("k", "t", "forced"), ttl)
+        misses = _fold_misses(cold, key, ttl).unionByName(heated.join(found, ["k", "t"]).select(key, "_head"))
+        widths = hot.select(key, "_width")
+        rows = rows.join(widths, key, "left").withColumn("_width", F.coalesce("_width", F.lit(ttl_us)))
+        misses = misses.join(widths, key, "left").withColumn("_width", F.coalesce("_width", F.lit(ttl_us)))
+    if "_width" not in misses.columns:
+        misses = misses.withColumn("_width", F.lit(ttl_us).cast("long"))
+
+    # Requests are matched to writes inside time slots, which are the narrower the busier the key.
+    writes = misses.select(key, "_width", F.col("_head").alias("_write"))
+    if overwrite:
+        writes = writes.unionByName(rows.filter("forced").select(key, "_width", F.col("_row").alias("_write")))
+    written = F.col("_write.us")
+    writes = writes.withColumn("_slot", F.floor(written / F.col("_width")))
+    # The last write of a slot also opens the slots after it, up to the next slot with a write or
+    # the end of its period.
+    last = writes.groupBy(key, "_width", "_slot").agg(F.max("_write").alias("_write"))
+    following = F.lead("_slot").over(W.partitionBy(key, F.floor(written / ttl_us)).orderBy("_slot"))
+    reach = F.floor((written + ttl_us) / F.col("_width"))
     carried = (
-        marked.filter("computed")
-        .groupBy(key, (F.col("_slot") + 1).alias("_slot"))
-        .agg(F.max(F.struct("_us", id_col)).alias("_at"), F.max_by(write, F.struct("_us", id_col)).alias("_write"))
-        .select(key, "_slot", "_at._us", F.lit(None).cast("long").alias(id_col), F.lit(None).cast("boolean").alias("computed"), "_write")
+        last.withColumn("_until", F.least(following, reach))
+        .select(key, F.explode(F.sequence(F.col("_slot") + 1, F.col("_until"))).alias("_slot"), "_write")
+        .groupBy(key, "_slot")
+        .agg(F.max("_write").alias("_write"))
     )
-    stream = marked.select(key, "_slot", "_us", id_col, "computed", F.when(F.col("computed"), write).alias("_write"))
-    upto = W.partitionBy(key, "_slot").orderBy("_us", id_col).rowsBetween(W.unboundedPreceding, W.currentRow)
-    served = stream.unionByName(carried).withColumn("_w", F.last("_write", ignorenulls=True).over(upto))
-    return served.filter("computed is not null").select(
-        F.col(id_col),
+    nothing = F.lit(None).cast(rows.schema["_row"].dataType)
+
+    def entry(row: str, slot: Column, is_request: bool, write: Column) -> list[Column]:
+        return [
+            F.col(key), slot.alias("_slot"), F.col(f"{row}.us").alias("us"), F.col(f"{row}.id").alias("id"),
+            F.lit(is_request).alias("is_request"), write.alias("_write"),
+        ]
+
+    requests = rows.select(*entry("_row", F.floor(F.col("_row.us") / F.col("_width")), True, nothing))
+    marks = writes.select(key, "_slot", "_write").unionByName(carried)
+    marks = marks.select(*entry("_write", F.col("_slot"), False, F.col("_write")))
+    upto = W.partitionBy(key, "_slot").orderBy("us", "id", "is_request").rowsBetween(W.unboundedPreceding, W.currentRow)
+    served = requests.unionByName(marks).withColumn("_w", F.last("_write", ignorenulls=True).over(upto))
+    return served.filter("is_request").select(
+        F.col("id").alias(id_col),
         key,
-        (~F.col("computed")).alias("hit"),
-        F.col(f"_w.{id_col}").alias("computed_id"),
-        *[F.col(f"_w._own.{c}").alias(c) for c in payload],
+        (F.col("_w.id") != F.col("id")).alias("hit"),
+        F.col("_w.id").alias("computed_id"),
+        *[F.col(f"_w.own.{c}").alias(c) for c in payload],
     )

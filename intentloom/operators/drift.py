@@ -34,7 +34,9 @@ def numeric_drift(
     ``distance_limit`` above. Both statistics come from one pass over the distinct values in
     order, spread over value ranges.
     """
-    cuts = cut_points(df, cols, buckets)
+    is_ref = F.col("side") == "ref"
+    spreads = [F.stddev_pop(F.when(is_ref, F.col(c).cast("double"))) for c in cols]
+    cuts, stds = cut_points(df, cols, buckets, spreads)
     wide = df.select("side", *[F.col(c).cast("double").alias(c) for c in cols])
     for c in cols:
         wide = with_bucket(wide, c, cuts[c], f"_b_{c}")
@@ -48,12 +50,9 @@ def numeric_drift(
         F.max("all_cur").alias("n_cur"),
         F.max(gap).alias("ks"),
         F.sum(gap * (F.col("next_value") - F.col("v"))).alias("w1"),
-        (F.sum(F.col("ref") * F.col("v")) / F.max("all_ref")).alias("mean_ref"),
     )
-    spread = (
-        long.filter("side = 'ref'").groupBy("column").agg(F.stddev_pop("v").alias("std_ref"))
-    )
-    joined = stats.join(F.broadcast(spread), "column", "left")  # one row per column
+    std_of = F.create_map(*[F.lit(x) for c, s in zip(cols, stds) for x in (c, float(s or 0.0))])
+    joined = stats.withColumn("std_ref", F.element_at(std_of, F.col("column")))
     n = F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur"))
     lam = F.sqrt(n) * F.col("ks")
     # asymptotic p-value: 2 * sum over j of (-1)^(j-1) exp(-2 j^2 lambda^2)

@@ -151,8 +151,8 @@ def validation_gate(
 
     ``metrics`` and ``nan_check`` are one-row tables; ``latency`` is a log (no rows counts as 0 ms).
     """
-    mean_latency = latency.agg(F.coalesce(F.avg("latency_ms"), F.lit(0.0))).scalar()
-    clean = nan_check.select(F.col("passed").cast("double")).scalar()
+    mean_latency = F.lit(latency.agg(F.coalesce(F.avg("latency_ms"), F.lit(0.0))).first()[0])
+    clean = F.lit(float(nan_check.select("passed").first()[0]))
 
     def check(name: str, actual: Column, limit: float, sign: str) -> Column:
         passed = actual >= limit if sign == ">=" else actual <= limit

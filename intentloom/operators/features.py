@@ -12,7 +12,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from intentloom.functions.scale import broadcast_small
-from intentloom.functions.text import STOPWORDS, ngrams, term_counts, tokens
+from intentloom.functions.text import STOPWORDS, let, ngrams, term_counts, tokens
+from intentloom.session import through_table
 
 CLASS_FEATURES = 5_000
 MAX_FEATURES = 10_000
@@ -20,9 +21,8 @@ NGRAM_RANGE = (1, 2)
 
 
 def terms(text: str | Column, ngram_range: tuple[int, int] = NGRAM_RANGE) -> Column:
-    low, high = ngram_range
-    grams = [ngrams(tokens(text), n) for n in range(low, high + 1)]
-    return grams[0] if len(grams) == 1 else F.concat(*grams)
+    sizes = range(ngram_range[0], ngram_range[1] + 1)
+    return let(tokens(text), lambda t: F.concat(*[ngrams(t, n) for n in sizes]))
 
 
 def class_term_counts(df: DataFrame, label: str = "label_name", stopwords: Sequence[str] = STOPWORDS) -> DataFrame:
@@ -81,9 +81,10 @@ def _gram_batches(k: int, strip: int):
 def class_similarity(weights: DataFrame, label: str = "label_name", strip: int = 512) -> DataFrame:
     """Cosine of every pair of classes that share a term: (class_a < class_b, similarity).
 
-    ``weights`` holds unit vectors in long form. Each task adds up the products of its own terms
+    ``weights`` holds unit vectors in long form, at most vocabulary size per class. Each task adds up the products of its own terms
     in a small matrix and emits one number per class pair, not one row per term and pair.
     """
+    weights = through_table(weights, "class-weights")
     names = [r[0] for r in weights.select(label).distinct().orderBy(label).collect()]  # the class list
     spark, k = weights.sparkSession, len(names)
     index = spark.createDataFrame(pd.DataFrame({label: names, "pos": np.arange(k)}))
@@ -110,6 +111,7 @@ def class_overlap_pairs(similarity: DataFrame, n: int = 5) -> DataFrame:
 
 def overlap_submatrix(similarity: DataFrame, top_pairs: int = 10, max_classes: int = 15) -> DataFrame:
     """Similarity matrix (long form, zero diagonal) of the classes in the most similar pairs."""
+    similarity = broadcast_small(similarity)
     leading = class_overlap_pairs(similarity, top_pairs).select(F.explode(F.array("class_a", "class_b")).alias("c"))
     names = leading.distinct().orderBy("c").limit(max_classes).agg(F.sort_array(F.collect_list("c")).alias("names"))
     # the limits bound this grid by max_classes squared
@@ -123,16 +125,19 @@ def overlap_submatrix(similarity: DataFrame, top_pairs: int = 10, max_classes: i
 
 
 def vocabulary(
-    df: DataFrame, max_features: int = MAX_FEATURES, ngram_range: tuple[int, int] = NGRAM_RANGE, text: str = "text"
+    df: DataFrame,
+    max_features: int = MAX_FEATURES,
+    ngram_range: tuple[int, int] = NGRAM_RANGE,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """The most frequent terms with their inverse document frequency: (term, idx, idf).
 
     Terms are counted inside each row first, so one pass and one shuffle of pre-added counts
     give both the total and the document count. The limit bounds the result.
     """
-    n_rows = F.lit(df.count())
+    n_rows = F.lit(df.count() if n_rows is None else n_rows)
     top = (
-        df.select(F.inline(term_counts(terms(text, ngram_range))))
+        df.select(F.inline(term_counts(terms("text", ngram_range))))
         .groupBy("term")
         .agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
         .orderBy(F.desc("total"), "term")
@@ -153,15 +158,18 @@ def tfidf_features(
 ) -> DataFrame:
     """(row, term, idx, weight): weight (1 + ln tf) * idf, L2-normalised per row.
 
-    Rows are spread by id once, as compact text; everything after stays in place. A row without
-    any known term has no output rows.
+    Rows are spread by id once, as compact text; everything after stays in place, and the
+    vocabulary is counted from the same shuffled text. A row without any known term has no
+    output rows.
     """
-    vocab = vocabulary(df, max_features, ngram_range) if vocab is None else vocab
+    spread = df.select(id_col, *carry, "text").repartition(id_col)
+    if vocab is None:
+        vocab = F.broadcast(vocabulary(spread, max_features, ngram_range, df.count()))  # bounded by max_features
+    else:
+        vocab = broadcast_small(vocab)
     long = (
-        df.select(id_col, *carry, "text")
-        .repartition(id_col)
-        .select(id_col, *carry, F.inline(term_counts(terms("text", ngram_range))))
-        .join(broadcast_small(vocab), "term")
+        spread.select(id_col, *carry, F.inline(term_counts(terms("text", ngram_range))))
+        .join(vocab, "term")
         .withColumn("raw", (F.log("tf") + 1) * F.col("idf"))
     )
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy(id_col)))

@@ -28,8 +28,9 @@ def seconds_before(ts: Column, seconds: int) -> Column:
 
 
 def latest(log: DataFrame, ts: str = "ts") -> Column:
-    """The newest instant of the log; answered from one cheap aggregate."""
-    return log.agg(F.max(ts)).scalar()
+    """The newest instant of the log, as a literal, so that filters on it reach the scan."""
+    newest = log.agg(F.max(ts).cast("string")).first()[0]
+    return F.lit(newest).cast(dict(log.dtypes)[ts])
 
 
 def retention_trim(log: DataFrame, seconds: int = WINDOWS["1hour"], as_of: Column | None = None) -> DataFrame:

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
+import numpy as np
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from intentloom.functions.scoring import argmax, minmax, softmax, squared_distance
+from intentloom.functions.scoring import argmax, minmax, softmax
 from intentloom.operators.quality import label_lookup
 
 CONFIDENCE_THRESHOLD = 0.5
@@ -23,29 +24,46 @@ def centroids(df: DataFrame, vec: str = "vec", label: str = "label") -> DataFram
     return df.groupBy(label).agg(mean.alias("m")).select(label, vector_to_array("m").alias("centroid"))
 
 
-def centroid_logits(df: DataFrame, centers: DataFrame, vec: str = "vec", dims: int | None = None) -> DataFrame:
-    """Add ``logits``: minus the squared distance to every class centre, in label order.
+def model_logits(
+    df: DataFrame,
+    make_predict: Callable,
+    inputs: Sequence[str],
+    shapes: Sequence[Sequence[int]] | None = None,
+    out: str = "logits",
+    batch_size: int = 1_024,
+) -> DataFrame:
+    """Add scores from any numpy model, in Arrow batches.
+
+    ``make_predict`` runs once per Python worker and returns the function from input arrays to a
+    (rows, classes) array.
+    """
+    predict = predict_batch_udf(
+        make_predict, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_size, input_tensor_shapes=shapes
+    )
+    return df.withColumn(out, predict(*inputs))
+
 
-    One centre per class travels with the plan. ``dims`` uses only the first so many elements.
+def centroid_logits(
+    df: DataFrame, centers: DataFrame, vec: str = "vec", dims: int | None = None, out: str = "logits"
+) -> DataFrame:
+    """Add minus the squared distance to every class centre, in label order.
+
+    The centres (one per class) travel with the function. ``dims`` uses only the first so many
+    elements of the vectors.
     """
     rows = centers.orderBy("label").collect()  # one row per class
     if [r["label"] for r in rows] != list(range(len(rows))):
         raise ValueError("class numbers must be 0..k-1, each with rows")
-    points = F.array(*[F.lit([float(v) for v in r["centroid"]]) for r in rows])
-    source = F.col(vec)
-    if dims is not None:
-        points, source = F.transform(points, lambda c: F.slice(c, 1, dims)), F.slice(source, 1, dims)
-    return df.withColumn("logits", F.transform(points, lambda c: -squared_distance(source, c)))
+    points = np.array([r["centroid"] for r in rows])
 
+    def make_predict():
+        def predict(x: np.ndarray) -> np.ndarray:
+            near = x[:, :dims]
+            return np.stack([-np.square(near - p).sum(axis=1) for p in points[:, :dims]], axis=1)
 
-def model_logits(
-    df: DataFrame, make_predict: Callable, inputs: list[str], shapes: list[list[int]] | None, batch_size: int = 64
-) -> DataFrame:
-    """Add ``logits`` from any numpy model: ``make_predict`` loads it once per Python worker."""
-    predict = predict_batch_udf(
-        make_predict, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_size, input_tensor_shapes=shapes
-    )
-    return df.withColumn("logits", predict(*inputs))
+        return predict
+
+    return model_logits(df, make_predict, [vec], [[points.shape[1]]], out)
 
 
 def batch_score(df: DataFrame, dictionary: DataFrame, logits: str = "logits", decimals: int | None = 4) -> DataFrame:

@@ -30,7 +30,7 @@ def linear_svc(n_rows: int, c: float = 1.0, max_iter: int = 2_000) -> Estimator:
     return OneVsRest(classifier=svc, weightCol="weight", parallelism=4)
 
 
-def random_forest(n_rows: int, trees: int = 200, depth: int = 10) -> Estimator:
+def random_forest(n_rows: int, trees: int = 200, depth: int = 30) -> Estimator:
     return RandomForestClassifier(
         numTrees=trees, maxDepth=depth, seed=SEED, weightCol="weight", featureSubsetStrategy="sqrt"
     )

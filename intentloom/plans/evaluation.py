@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from intentloom.functions.scale import broadcast_small
 from intentloom.operators import evaluation as e
 from intentloom.operators import scoring as s
 from intentloom.operators.quality import nan_logit_check
@@ -15,9 +16,9 @@ from intentloom.sources import tables as t
 DIMS = (16, 32, 64)
 
 
-def logits(spark, d, dims=None):
+def logits(spark, d):
     emb = t.embeddings(spark, d)
-    return s.centroid_logits(emb, s.centroids(emb), dims=dims)
+    return s.centroid_logits(emb, s.centroids(emb))
 
 
 def emb_dictionary(spark, d):
@@ -30,17 +31,20 @@ def scored(spark, d):
     return s.batch_score(logits(spark, d), emb_dictionary(spark, d))
 
 
-def eval_pairs(spark, d, dims=None):
-    return logits(spark, d, dims).select("label", s.argmax("logits").alias("predicted_label"))
+def eval_pairs(spark, d):
+    return logits(spark, d).select("label", s.argmax("logits").alias("predicted_label"))
 
 
 def model_pairs(spark, d):
-    """Predictions of three models: centres over the first 16, 32 and 64 elements."""
-    pairs = None
+    """Predictions of three models, from one scan: centres over the first 16, 32 and 64 elements."""
+    emb = t.embeddings(spark, d)
+    centers = broadcast_small(s.centroids(emb))
     for dims in DIMS:
-        part = eval_pairs(spark, d, dims).select(F.lit(f"centre{dims}").alias("model"), "label", "predicted_label")
-        pairs = part if pairs is None else pairs.unionByName(part)
-    return pairs
+        emb = s.centroid_logits(emb, centers, dims=dims, out=f"logits{dims}")
+    calls = [
+        F.struct(F.lit(f"centre{n}").alias("model"), s.argmax(f"logits{n}").alias("predicted_label")) for n in DIMS
+    ]
+    return emb.select("label", F.inline(F.array(*calls)))
 
 
 def batch_score(spark, d):

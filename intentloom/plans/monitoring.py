@@ -162,7 +162,7 @@ def ttl_dedup_overwrite(spark, d):
 
 def ttl_dedup_hot(spark, d):
     """The same by the path for hot keys: the busiest keys are cut into chunks."""
-    return dedup.ttl_dedup(keyed(t.predictions(spark, d)), hot_instants=215)
+    return dedup.ttl_dedup(keyed(t.predictions(spark, d)), hot_rows=215)
 
 
 QUERIES = {

@@ -33,8 +33,7 @@ def _to_table(spark, stream, purpose):
 
 
 def _utc(c):
-    """UTC wall time of an instant as text, whatever the session time zone."""
-    return at(F.to_utc_timestamp(c, F.current_timezone()))
+    return at(io.utc_clock(c))
 
 
 def stream_window_metrics(spark, d):

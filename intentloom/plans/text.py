@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from intentloom.functions.scale import broadcast_small
 from intentloom.functions.text import STOPWORDS
 from intentloom.operators import explain, features, profiling
 from intentloom.plans.fixtures import with_views
+from intentloom.session import through_table
 from intentloom.sources import tables as t
 
 
@@ -86,9 +86,9 @@ def _attribution_parts(spark, d):
     coefficients = features.class_tfidf(samples).select(
         F.col("label_name").alias("class_name"), "term", F.col("weight").alias("w")
     )
-    # both the means and the gaps read the long table: its vocabulary is made once
-    vocab = broadcast_small(features.vocabulary(samples))
-    return coefficients, explain.feature_spread(features.tfidf_features(samples, vocab), samples.count())
+    # the means and the gaps both read the long table: it is made once
+    long = through_table(features.tfidf_features(samples), "tfidf")
+    return coefficients, explain.feature_spread(long, samples.count())
 
 
 def linear_attribution(spark, d):

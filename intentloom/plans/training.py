@@ -9,7 +9,7 @@ from intentloom.operators.sampling import stratified_split
 from intentloom.sources import tables as t
 
 FEATURES = 2_000
-TREES = 40
+TREES, DEPTH = 40, 10
 SHOTS = (2, 8, 32)
 TRIALS = 4
 
@@ -29,7 +29,7 @@ def _estimators(n: int) -> dict:
     return {
         "tfidf_logreg": tr.logreg(n, max_iter=100),
         "tfidf_svm": tr.linear_svc(n, max_iter=100),
-        "tfidf_forest": tr.random_forest(n, trees=TREES),
+        "tfidf_forest": tr.random_forest(n, trees=TREES, depth=DEPTH),
     }
 
 

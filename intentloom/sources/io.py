@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 REPORT_SCHEMA = "class string, precision double, recall double, `f1-score` double, support double"
@@ -72,10 +72,18 @@ def read_metrics_json(spark: SparkSession, path: str) -> DataFrame:
     return entries.select(F.col("key").alias("metric"), value.alias("value")).filter("value is not null")
 
 
+def utc_clock(instant: str | Column) -> Column:
+    """The UTC wall time of an instant, to format in any session time zone."""
+    return F.to_utc_timestamp(instant, F.current_timezone())
+
+
+def iso_utc(clock: str | Column) -> Column:
+    return F.date_format(clock, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+
+
 def write_alerts(alerts: DataFrame, path: str) -> None:
-    """Append alert rows as JSON lines with fixed keys, time in ISO form."""
-    iso = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("timestamp")
-    alerts.select(*ALERT_KEYS[:-1], iso).write.mode("append").json(path)
+    """Append alert rows as JSON lines with fixed keys, time (UTC wall time) in ISO form."""
+    alerts.select(*ALERT_KEYS[:-1], iso_utc("timestamp").alias("timestamp")).write.mode("append").json(path)
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from intentloom.sources.tables import EVENT_SCHEMA, predictions_from
+from intentloom.sources.tables import EVENT_SCHEMA, micros, predictions_from
 
 
 def event_stream(
@@ -15,5 +15,4 @@ def event_stream(
     reader = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", pattern)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    log = predictions_from(reader.parquet(folder))
-    return log.withColumn("ts", F.to_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone()))
+    return predictions_from(reader.parquet(folder)).withColumn("ts", F.timestamp_micros(micros("ts")))

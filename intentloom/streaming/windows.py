@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from intentloom.operators.monitor import threshold_alerts
+from intentloom.sources.io import iso_utc, utc_clock
 
 ACCURACY = 10_000
 
@@ -47,8 +48,7 @@ def write_alerts_of(batch: DataFrame, batch_id: int, path: str) -> None:
     """Alerts of one micro-batch of window metrics; a retried batch replaces its own folder."""
     alerts = threshold_alerts(batch, carry=["window_end"])
     rows = alerts.select("type", "severity", "message", "value", "threshold", F.col("window_end").alias("timestamp"))
-    iso = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
-    rows.withColumn("timestamp", iso).write.mode("overwrite").json(f"{path}/batch={batch_id}")
+    rows.withColumn("timestamp", iso_utc(utc_clock("timestamp"))).write.mode("overwrite").json(f"{path}/batch={batch_id}")
 
 
 def stream_alerts(metrics: DataFrame, path: str, checkpoint: str):
