@@ -89,7 +89,8 @@ def augment_sql(view: str) -> str:
           ('0x' || substr(md5('swap0b|' || f.label || '|' || f.copy_no), 1, 15))::bigint as hb
         from fresh f join ranked r on r.label = f.label
          and r.rn = ('0x' || substr(md5('42pick|' || f.label || '|' || f.copy_no), 1, 15))::bigint % f.n + 1),
-      spots as (select *, ha % len(w) as a, (ha % len(w) + 1 + hb % (len(w) - 1)) % len(w) as b,
+      spots as (select *, case when len(w) > 1 then ha % len(w) end as a,
+          case when len(w) > 1 then (ha % len(w) + 1 + hb % (len(w) - 1)) % len(w) end as b,
           list_filter(range(1, len(w) + 1), lambda i: map_contains({m}, lower(w[i])))[1] as hit from drawn),
       made as (select label, sample_id, copy_no, case
           when coin = 0 then array_to_string(list_transform(w, lambda x, i: case when i = hit then {m}[lower(x)] else x end), ' ')
