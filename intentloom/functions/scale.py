@@ -110,7 +110,7 @@ def cut_points(
 
 
 def with_bucket(df: DataFrame, col: str, cuts: Sequence[float], out: str) -> DataFrame:
-    splits = [-float("inf"), *cuts, float("inf")]
+    splits = [-float("inf"), *(cuts or [0.0]), float("inf")]
     marked = Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="keep").transform(df)
     return marked.withColumn(out, F.col(out).cast("int"))
 
