@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -121,9 +122,9 @@ def categorical_drift(df: DataFrame, cols: Sequence[str], js_limit: float = 0.1,
     )
 
 
-def drift_summary(numeric: DataFrame, categorical: DataFrame, share_limit: float = 0.5) -> DataFrame:
+def drift_summary(*per_column: DataFrame, share_limit: float = 0.5) -> DataFrame:
     """One row: columns, drifted columns and their share, the data-set flag and the sorted names."""
-    flags = numeric.select("column", "drifted").unionByName(categorical.select("column", "drifted"))
+    flags = reduce(DataFrame.unionByName, [part.select("column", "drifted") for part in per_column])
     hit = F.count_if("drifted")
     share = F.coalesce(F.avg(F.col("drifted").cast("double")), F.lit(0.0))
     return flags.agg(
@@ -168,19 +169,27 @@ def _percent(x: Column, digits: int = 2) -> Column:
 
 def alert_check(
     summary: DataFrame,
-    drop: DataFrame,
-    shift: DataFrame,
+    drop: DataFrame | None,
+    shift: DataFrame | None,
     drift_limit: float = DRIFT_SHARE_ALERT,
     drop_limit: float = CONFIDENCE_DROP_ALERT,
     shift_limit: float = LABEL_SHIFT_ALERT,
 ) -> DataFrame:
-    """One row: triggered alerts (code, value, message) in fixed order, their count, a flag."""
-    drop_row = drop.select(F.struct("ref_confidence", "cur_confidence", "drop")).scalar()
+    """One row: triggered alerts (code, value, message) in fixed order, their count, a flag.
+
+    ``drop`` or ``shift`` is None where the tables lack the column.
+    """
+    shape = "struct<ref_confidence:double,cur_confidence:double,drop:double>"
+    drop_row, shift_row = F.lit(None).cast(shape), F.lit(None).cast("double")
+    if drop is not None:
+        drop_row = drop.select(F.struct("ref_confidence", "cur_confidence", "drop")).scalar()
+    if shift is not None:
+        shift_row = shift.select("max_shift").scalar()
     base = summary.select(
         F.col("share_of_drifted_columns").alias("share"),
         "drift_detected",
         drop_row.alias("d"),
-        shift.select("max_shift").scalar().alias("shift"),
+        shift_row.alias("shift"),
     )
 
     def alert(code: str, value: Column, limit: float, message: Column) -> Column:

@@ -40,8 +40,12 @@ def feature_spread(features: DataFrame, n_rows: int) -> DataFrame:
     means = features.groupBy("term").agg((F.sum("weight") / n).alias("mean_x"), F.count(F.lit(1)).alias("nnz"))
     gaps = (
         features.join(broadcast_small(means), "term")
-        .groupBy("term", "mean_x", "nnz")
-        .agg(F.sum(F.abs(F.col("weight") - F.col("mean_x"))).alias("gap"))
+        .groupBy("term")
+        .agg(
+            F.sum(F.abs(F.col("weight") - F.col("mean_x"))).alias("gap"),
+            F.max("mean_x").alias("mean_x"),
+            F.max("nnz").alias("nnz"),
+        )
     )
     zeros = (n - F.col("nnz")) * F.abs("mean_x")
     return gaps.select("term", ((F.col("gap") + zeros) / n).alias("spread"))

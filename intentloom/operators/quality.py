@@ -159,9 +159,13 @@ def split_audit(
         )
     )
     shared = (
-        df.groupBy("sample_id")
-        .agg((F.min("split") != F.max("split")).alias("twice"))
-        .agg(F.count_if("twice").alias("ids"))
+        df.select("sample_id", "split")
+        .repartition("sample_id")  # both groupings below stay in place
+        .groupBy("sample_id", "split")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("sample_id")
+        .agg(F.count(F.lit(1)).alias("splits"))
+        .agg(F.count_if(F.col("splits") > 1).alias("ids"))
         .select(F.lit("shared_ids").alias("check"), F.col("ids").cast("double").alias("value"), (F.col("ids") == 0).alias("passed"))
     )
     return per_split.unionByName(shared)

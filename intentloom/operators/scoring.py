@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import numpy as np
+from pyspark.ml import Model
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -66,6 +67,20 @@ def centroid_logits(
     return model_logits(df, make_predict, [vec], [[points.shape[1]]], out)
 
 
+def classifier_logits(model: Model, vectors: DataFrame, out: str = "logits") -> DataFrame:
+    """Add the scores of a fitted Spark classifier, such that their softmax is its probability.
+
+    Margin models without probabilities (one-vs-rest) give their margins.
+    """
+    scored = model.transform(vectors)
+    if "probability" in scored.columns:
+        scores = F.transform(vector_to_array("probability"), lambda p: F.log(F.greatest(p, F.lit(1e-300))))
+    else:
+        scores = vector_to_array("rawPrediction")
+    made = [c for c in scored.columns if c not in vectors.columns]
+    return scored.withColumn(out, scores).drop(*made)
+
+
 def batch_score(df: DataFrame, dictionary: DataFrame, logits: str = "logits", decimals: int | None = 4) -> DataFrame:
     """Replace scores by label, confidence, name, review flag and message.
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from intentloom.operators import training as tr
 from intentloom.operators.sampling import stratified_split
+from intentloom.plans import jobs
 from intentloom.sources import tables as t
 
 FEATURES = 2_000
@@ -56,7 +57,27 @@ def param_search(spark, d):
     return tr.param_search(train, val, train.count(), TRIALS)
 
 
+def batch_score_model(spark, d):
+    """Score the test split with a freshly trained model, by its own vocabulary."""
+    train, _, test = _splits(spark, d)
+    vectors, _, vocab = tr.prepare(train, test, FEATURES)
+    model = tr.logreg(vectors.count(), max_iter=20).fit(vectors)
+    names = t.samples(spark, d).select("label", "label_name").distinct()
+    out = jobs.score(test.select("sample_id", "text", "label"), model, vocab, names)
+    return out.select("sample_id", "label", "predicted_label", "predicted_label_name", "confidence", "low_confidence")
+
+
+def explain_model(spark, d):
+    train, _, test = _splits(spark, d)
+    vectors, _, vocab = tr.prepare(train, test, FEATURES)
+    model = tr.logreg(vectors.count(), max_iter=20).fit(vectors)
+    names = {r["label"]: r["label_name"] for r in t.samples(spark, d).select("label", "label_name").distinct().collect()}
+    return jobs.explain_model(test, model, vocab, names)
+
+
 QUERIES = {
+    "batch_score_model": batch_score_model,
+    "explain_model": explain_model,
     "train_logreg": _train("tfidf_logreg"),
     "train_linear_svc": _train("tfidf_svm"),
     "train_random_forest": _train("tfidf_forest"),

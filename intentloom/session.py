@@ -40,6 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if "dir" not in _OWN_DIR:
         _OWN_DIR["dir"] = tempfile.mkdtemp(prefix="intentloom-")
     return _OWN_DIR["dir"]

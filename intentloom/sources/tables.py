@@ -101,8 +101,10 @@ def event_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label dictionary of the request log: one row per label number."""
     return (
         predictions(spark, sf_dir)
-        .groupBy(F.col("predicted_label").alias("label"))
-        .agg(F.min("predicted_label_name").alias("label_name"))
+        .select(F.col("predicted_label").alias("label"), F.col("predicted_label_name").alias("label_name"))
+        .distinct()
+        .groupBy("label")
+        .agg(F.min("label_name").alias("label_name"))
     )
 
 
