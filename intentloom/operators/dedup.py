@@ -19,14 +19,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from intentloom.functions.scale import broadcast_small
+from intentloom.functions.text import let
 from intentloom.session import through_table
 from intentloom.sources.tables import MICROS, micros
 
 TTL_SECONDS = 3600
-HOT_ROWS = 50_000
+HOT_ROWS = 20_000
 MAX_PARTS = 36_000  # a slot is never shorter than a tenth of a second at the usual ttl
 FAN_IN = 4
 CHUNK_PERIODS = 4  # length of a chunk, in periods of the ttl
@@ -96,11 +96,11 @@ def _split(pdf: pd.DataFrame) -> list[tuple[int, tuple[np.ndarray, np.ndarray]]]
 
 
 def _hot_misses(instants: DataFrame, ttl: int) -> DataFrame:
-    """(k, t) of the computed instants of hot keys; ``instants`` has k, t, forced."""
+    """(k, t) of the computed instants of hot keys; ``instants`` is a written table of k, t, forced."""
     span = instants.agg(F.min("t"), F.max("t")).first()
     length = CHUNK_PERIODS * ttl
     origin, chunks = span[0], (span[1] - span[0]) // length + 1
-    chunked = through_table(instants.withColumn("chunk", F.floor((F.col("t") - F.lit(origin)) / length)), "hot")
+    chunked = instants.withColumn("chunk", F.floor((F.col("t") - F.lit(origin)) / length))
 
     def first_level(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("t")
@@ -148,20 +148,32 @@ def _hot_misses(instants: DataFrame, ttl: int) -> DataFrame:
 
 
 def _fold_misses(instants: DataFrame, key: str, ttl: int) -> DataFrame:
-    """(key, head) of the computed instants of ordinary keys: one ordered fold per key."""
-    ordered = F.sort_array(F.collect_list(F.struct("t", "forced", "_head")))
-    heads = T.ArrayType(instants.schema["_head"].dataType)
-    start = F.struct(F.lit(None).cast("long").alias("allowed"), F.array().cast(heads).alias("found"))
-
-    def step(state: Column, row: Column) -> Column:
-        due = F.coalesce(row["t"] >= state["allowed"], F.lit(True))
-        return F.struct(
-            F.when(due | row["forced"], row["t"] + ttl).otherwise(state["allowed"]).alias("allowed"),
-            F.when(due, F.concat(state["found"], F.array(row["_head"]))).otherwise(state["found"]).alias("found"),
-        )
+    """(key, head) of the computed instants of ordinary keys: one ordered fold per key.
+
+    The fold's state is the list of positions computed so far; an overwrite inside a period is on
+    that list but is no miss.
+    """
+
+    def heads(rows: Column) -> Column:
+        def step(done: Column, i: Column) -> Column:
+            last = F.get(rows, F.get(done, F.size(done) - 1))
+            write = F.coalesce(F.get(rows, i)["t"] >= last["t"] + ttl, F.lit(True)) | F.get(rows, i)["forced"]
+            return F.when(write, F.concat(done, F.array(i))).otherwise(done)
+
+        positions = F.sequence(F.lit(0), F.size(rows) - 1)
 
-    folded = instants.groupBy(key).agg(F.aggregate(ordered, start, step)["found"].alias("found"))
-    return folded.select(key, F.explode("found").alias("_head"))
+        def misses(done: Column) -> Column:
+            late = F.filter(
+                done,
+                lambda p, j: F.coalesce(F.get(rows, p)["t"] >= F.get(rows, F.get(done, j - 1))["t"] + ttl, F.lit(True)),
+            )
+            return F.transform(late, lambda p: F.get(rows, p)["_head"])
+
+        return let(F.aggregate(positions, F.array().cast("array<int>"), step), misses)
+
+    ordered = F.sort_array(F.collect_list(F.struct("t", "forced", "_head")))
+    folded = instants.groupBy(key).agg(ordered.alias("_rows"))
+    return folded.select(key, F.explode(let(F.col("_rows"), heads)).alias("_head"))
 
 
 def ttl_dedup(
@@ -189,11 +201,12 @@ def ttl_dedup(
         forced.alias("forced"),
         F.struct(at.alias("us"), F.col(id_col).alias("id"), F.struct(*payload).alias("own")).alias("_row"),
     ).filter(F.col(key).isNotNull())
-    instants = rows.groupBy(key, "t").agg(
-        F.min("_row").alias("_head"), F.max("forced").alias("forced"), F.count(F.lit(1)).alias("_n")
-    )
 
-    busy = instants.groupBy(key).agg(F.sum("_n").alias("_n")).filter(F.col("_n") > hot_rows)
+    def instants(of: DataFrame, *by: str) -> DataFrame:
+        """One row per key and millisecond: the first request, and whether any overwrites."""
+        return of.groupBy(*by, "t").agg(F.min("_row").alias("_head"), F.max("forced").alias("forced"))
+
+    busy = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
     parts = F.least(F.lit(MAX_PARTS), F.floor(F.col("_n") / hot_rows))
     hot = broadcast_small(  # at most (rows / hot_rows) keys
         busy.select(
@@ -203,18 +216,19 @@ def ttl_dedup(
         )
     )
     if hot.isEmpty():
-        misses = _fold_misses(instants, key, ttl)
         rows = rows.withColumn("_width", F.lit(ttl_us).cast("long"))
+        misses = _fold_misses(instants(rows, key), key, ttl).withColumn("_width", F.lit(ttl_us).cast("long"))
     else:
-        cold = instants.join(hot.select(key), key, "left_anti")
-        heated = instants.join(hot, key)
+        cold = _fold_misses(instants(rows.join(hot.select(key), key, "left_anti"), key), key, ttl)
+        heated = through_table(instants(rows.join(hot, key), key, "k", "_width"), "hot")
         found = _hot_misses(heated.select("k", "t", "forced"), ttl)
-        misses = _fold_misses(cold, key, ttl).unionByName(heated.join(found, ["k", "t"]).select(key, "_head"))
-        widths = hot.select(key, "_width")
-        rows = rows.join(widths, key, "left").withColumn("_width", F.coalesce("_width", F.lit(ttl_us)))
-        misses = misses.join(widths, key, "left").withColumn("_width", F.coalesce("_width", F.lit(ttl_us)))
-    if "_width" not in misses.columns:
-        misses = misses.withColumn("_width", F.lit(ttl_us).cast("long"))
+        misses = (
+            heated.join(found, ["k", "t"])
+            .select(key, "_head", "_width")
+            .unionByName(cold.withColumn("_width", F.lit(ttl_us).cast("long")))
+        )
+        rows = rows.join(hot.select(key, "_width"), key, "left")
+        rows = rows.withColumn("_width", F.coalesce("_width", F.lit(ttl_us).cast("long")))
 
     # Requests are matched to writes inside time slots, which are the narrower the busier the key.
     writes = misses.select(key, "_width", F.col("_head").alias("_write"))

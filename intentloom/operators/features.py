@@ -58,17 +58,20 @@ def class_tfidf(
 def _gram_batches(k: int, strip: int):
     """Sum outer products of sparse class vectors, one strip of rows of the result at a time."""
 
+    step = max(1, 4_000_000 // k)  # terms at a time: 32 MB of cells
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, group in batch.groupby("strip"):
-                acc = sums.setdefault(int(part), np.zeros((min(strip, k - int(part) * strip), k)))
-                dense = np.zeros((len(group), k))
-                lengths = [len(v) for v in group["idx"]]
-                rows = np.repeat(np.arange(len(group)), lengths)
-                dense[rows, np.concatenate(group["idx"].to_numpy())] = np.concatenate(group["w"].to_numpy())
                 low = int(part) * strip
-                acc += dense[:, low : low + acc.shape[0]].T @ dense
+                acc = sums.setdefault(int(part), np.zeros((min(strip, k - low), k)))
+                for at in range(0, len(group), step):
+                    some = group.iloc[at : at + step]
+                    rows = np.repeat(np.arange(len(some)), some["idx"].map(len))
+                    dense = np.zeros((len(some), k))
+                    dense[rows, np.concatenate(some["idx"].to_numpy())] = np.concatenate(some["w"].to_numpy())
+                    acc += dense[:, low : low + acc.shape[0]].T @ dense
         for part, acc in sums.items():
             i, j = np.nonzero(acc)
             i_all = i + part * strip
