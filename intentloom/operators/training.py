@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import random
 from collections.abc import Callable, Mapping
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.sql import DataFrame
@@ -61,15 +64,28 @@ def train_and_evaluate(
     return model, metrics.select(F.lit(name).alias("model"), *evaluation.METRICS)
 
 
+def fit_all(
+    estimators: Mapping[str, Estimator], train_vectors: DataFrame, test_vectors: DataFrame, parallelism: int = 3
+) -> tuple[dict[str, Model], DataFrame]:
+    """Fit several models at a time, as a cross-validator does: their fits share the cluster.
+
+    Returns the models and one metrics row per model.
+    """
+    fit = inheritable_thread_target(train_vectors.sparkSession)(
+        lambda item: train_and_evaluate(*item, train_vectors, test_vectors)
+    )
+    with ThreadPool(parallelism) as pool:
+        results = dict(zip(estimators, pool.map(fit, estimators.items())))
+    metrics = reduce(DataFrame.unionByName, [row for _, row in results.values()])
+    return {name: model for name, (model, _) in results.items()}, features.broadcast_small(metrics)
+
+
 def model_sweep(
     train_vectors: DataFrame, test_vectors: DataFrame, estimators: Mapping[str, Estimator], save_to: str | None = None
 ) -> tuple[DataFrame, str, Model]:
     """All models on the same vectors: (ranked metrics, best name, best model); the best is saved if asked."""
-    fitted, tables = {}, None
-    for name, estimator in estimators.items():
-        fitted[name], row = train_and_evaluate(name, estimator, train_vectors, test_vectors)
-        tables = row if tables is None else tables.unionByName(row)
-    ranked = features.broadcast_small(evaluation.model_comparison(tables))
+    fitted, metrics = fit_all(estimators, train_vectors, test_vectors)
+    ranked = evaluation.model_comparison(metrics)
     best = ranked.filter("rank = 1").first()["model"]
     if save_to:
         fitted[best].write().overwrite().save(save_to)
@@ -105,14 +121,12 @@ def draw_trials(n_trials: int, seed: int = SEED) -> list[dict[str, float]]:
 
 def param_search(train_vectors: DataFrame, val_vectors: DataFrame, n_rows: int, n_trials: int = N_TRIALS) -> DataFrame:
     """Seeded random search for the highest validation macro F1: one row per trial, the best marked."""
-    rows = None
-    for i, point in enumerate(draw_trials(n_trials)):
-        estimator = logreg(n_rows, c=point["c"], max_iter=point["max_iter"])
-        _, metrics = train_and_evaluate(f"trial-{i}", estimator, train_vectors, val_vectors)
-        row = metrics.select(
-            F.lit(i).alias("trial"), F.lit(point["c"]).alias("c"), F.lit(point["max_iter"]).alias("max_iter"), "f1_macro"
-        )
-        rows = row if rows is None else rows.unionByName(row)
-    rows = features.broadcast_small(rows)
-    best = rows.orderBy(F.desc("f1_macro"), "trial").first()["trial"]
-    return rows.withColumn("best", F.col("trial") == best)
+    trials = draw_trials(n_trials)
+    estimators = {str(i): logreg(n_rows, c=p["c"], max_iter=p["max_iter"]) for i, p in enumerate(trials)}
+    _, metrics = fit_all(estimators, train_vectors, val_vectors)
+    points = train_vectors.sparkSession.createDataFrame(
+        [(str(i), i, p["c"], p["max_iter"]) for i, p in enumerate(trials)], "model string, trial int, c double, max_iter int"
+    )
+    rows = points.join(metrics, "model").select("trial", "c", "max_iter", "f1_macro")
+    best = metrics.orderBy(F.desc("f1_macro"), F.col("model").cast("int")).first()["model"]
+    return rows.withColumn("best", F.col("trial") == int(best))
