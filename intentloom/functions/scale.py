@@ -18,7 +18,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 SMALL_ROWS = 200_000
-HASH_DIGITS = 3  # 4,096 hash buckets per group
+RANK_DIGITS = 3  # 4,096 hash buckets per group
+CUT_DIGITS = 4  # 65,536
 
 
 def broadcast_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
@@ -34,12 +35,8 @@ def broadcast_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(rows, schema=df.schema))
 
 
-def hash_bucket(hash_col: str | Column, digits: int = HASH_DIGITS) -> Column:
-    return F.substring(hash_col, 1, digits)
-
-
-def _bucket_counts(df: DataFrame, by: Sequence[str], hash_col: str) -> DataFrame:
-    counts = df.groupBy(*by, hash_bucket(hash_col).alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
+def _bucket_counts(df: DataFrame, by: Sequence[str], bucket: Column) -> DataFrame:
+    counts = df.groupBy(*by, bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
     group = W.partitionBy(*by)
     upto = group.orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
     return counts.select(
@@ -57,11 +54,11 @@ def hash_rank(df: DataFrame, by: Sequence[str], hash_col: str, out: str = "rn")
     Same result as ``row_number() over (partition by <by> order by <hash_col>)``, but a sort
     never spans more than one hash bucket of a group.
     """
-    by = list(by)
-    before = _bucket_counts(df, by, hash_col).select(*by, "_bucket", "_before")
+    by, bucket = list(by), F.substring(hash_col, 1, RANK_DIGITS)
+    before = _bucket_counts(df, by, bucket).select(*by, "_bucket", "_before")
     within = W.partitionBy(*by, "_bucket").orderBy(hash_col)
     return (
-        df.withColumn("_bucket", hash_bucket(hash_col))
+        df.withColumn("_bucket", bucket)
         .join(broadcast_small(before), [*by, "_bucket"])
         .withColumn(out, F.row_number().over(within) + F.col("_before"))
         .drop("_bucket", "_before")
@@ -75,8 +72,8 @@ def hash_cuts(df: DataFrame, by: Sequence[str], hash_col: str, targets: Mapping[
     group). ``hash_col <= cut`` then selects exactly that many rows in a map-only pass; a rank
     below 1 gives a null cut. Only the buckets that hold a wanted rank are sorted.
     """
-    by = list(by)
-    counts = _bucket_counts(df, by, hash_col)
+    by, bucket = list(by), F.substring(hash_col, 1, CUT_DIGITS)
+    counts = _bucket_counts(df, by, bucket)
     wanted = F.array(*[F.struct(F.lit(n).alias("_target"), k.cast("long").alias("_rank")) for n, k in targets.items()])
     holding = (
         counts.select("*", F.inline(wanted))
@@ -85,7 +82,7 @@ def hash_cuts(df: DataFrame, by: Sequence[str], hash_col: str, targets: Mapping[
     )
     within = W.partitionBy(*by, "_target").orderBy(hash_col)
     hits = (
-        df.select(*by, hash_col, hash_bucket(hash_col).alias("_bucket"))
+        df.select(*by, hash_col, bucket.alias("_bucket"))
         .join(broadcast_small(holding), [*by, "_bucket"])
         .withColumn("_rn", F.row_number().over(within))
         .filter("_rn = _local")
@@ -120,8 +117,8 @@ def running_counts(df: DataFrame, keys: Sequence[str], bucket: str, value: str,
 
     Returns keys, value, the ``counts`` columns summed per value, ``cum_<count>`` (inclusive),
     ``all_<count>`` (group total) and ``next_value``. Rows are first collapsed to one per
-    distinct value, then cumulated per bucket; buckets are joined by their totals, of which
-    there are at most (buckets x groups).
+    distinct value, then cumulated per bucket. The bucket totals meet the values in the shuffle
+    that the cumulation needs anyway.
     """
     keys = list(keys)
     # stated here, so that both readers of the collapsed rows plan, and share, the same shuffle
@@ -144,7 +141,7 @@ def running_counts(df: DataFrame, keys: Sequence[str], bucket: str, value: str,
     )
     inside = W.partitionBy(*keys, bucket).orderBy(value)
     upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
-    return per_value.join(F.broadcast(totals), [*keys, bucket]).select(
+    return per_value.join(totals.hint("shuffle_hash"), [*keys, bucket]).select(
         *keys,
         value,
         *counts,

@@ -27,9 +27,9 @@ from intentloom.sources.tables import MICROS, micros
 
 TTL_SECONDS = 3600
 HOT_ROWS = 20_000
-MAX_PARTS = 36_000  # a slot is never shorter than a tenth of a second at the usual ttl
+MAX_PARTS = 36_000  # slots of a period: a tenth of a second each at the usual ttl
 FAN_IN = 4
-CHUNK_PERIODS = 4  # length of a chunk, in periods of the ttl
+CHUNK_PERIODS = 4  # least length of a chunk, in periods of the ttl
 NEVER, ALWAYS = np.iinfo(np.int64).max, np.iinfo(np.int64).min
 
 
@@ -95,19 +95,18 @@ def _split(pdf: pd.DataFrame) -> list[tuple[int, tuple[np.ndarray, np.ndarray]]]
     return [(int(c), (g["start"].to_numpy(), g["out"].to_numpy())) for c, g in pdf.groupby("chunk", sort=True)]
 
 
-def _hot_misses(instants: DataFrame, ttl: int) -> DataFrame:
-    """(k, t) of the computed instants of hot keys; ``instants`` is a written table of k, t, forced."""
-    span = instants.agg(F.min("t"), F.max("t")).first()
-    length = CHUNK_PERIODS * ttl
-    origin, chunks = span[0], (span[1] - span[0]) // length + 1
-    chunked = instants.withColumn("chunk", F.floor((F.col("t") - F.lit(origin)) / length))
+def _hot_misses(instants: DataFrame, most_chunks: int, ttl: int) -> DataFrame:
+    """(k, t) of the computed instants of hot keys.
+
+    ``instants`` is a written table of k, chunk, reach (the latest allowed time with which the chunk
+    can be entered), t, forced; chunks of a key have one length and count from 0.
+    """
 
     def first_level(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("t")
-        chunk = int(pdf["chunk"].iloc[0])
-        reach = origin + chunk * length + ttl
-        start, out = _chunk_table(pdf["t"].to_numpy(), pdf["forced"].to_numpy(dtype=bool), ttl, reach)
-        return pd.DataFrame({"k": pdf["k"].iloc[0], "chunk": chunk, "start": start, "out": out})
+        first = pdf.iloc[0]
+        start, out = _chunk_table(pdf["t"].to_numpy(), pdf["forced"].to_numpy(dtype=bool), ttl, int(first["reach"]))
+        return pd.DataFrame({"k": first["k"], "chunk": first["chunk"], "start": start, "out": out})
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         parts = _split(pdf)
@@ -125,7 +124,7 @@ def _hot_misses(instants: DataFrame, ttl: int) -> DataFrame:
         pdf = pdf.sort_values("t")
         t, forced = pdf["t"].to_numpy(), pdf["forced"].to_numpy(dtype=bool)
         nxt = _first_after(t, forced, ttl)
-        allowed, at, found = int(pdf["allowed"].iloc[0]), None, []
+        allowed, found = int(pdf["allowed"].iloc[0]), []
         at = _entry(t, forced, allowed)
         while at < len(t):
             if t[at] >= allowed:
@@ -135,16 +134,16 @@ def _hot_misses(instants: DataFrame, ttl: int) -> DataFrame:
         return pd.DataFrame({"k": pdf["k"].iloc[0], "t": np.array(found, dtype="int64")})
 
     table_schema, parent = "k long, chunk long, start long, out long", F.floor(F.col("chunk") / FAN_IN)
-    levels = [through_table(chunked.groupBy("k", "chunk").applyInPandas(first_level, table_schema), "ttl")]
-    while chunks > 1:
-        chunks = -(-chunks // FAN_IN)
+    levels = [through_table(instants.groupBy("k", "chunk").applyInPandas(first_level, table_schema), "ttl")]
+    while most_chunks > 1:
+        most_chunks = -(-most_chunks // FAN_IN)
         levels.append(through_table(levels[-1].groupBy("k", parent).applyInPandas(merge, table_schema), "ttl"))
     entries = levels[-1].select("k", "chunk").distinct().withColumn("allowed", F.lit(int(ALWAYS)))
     for level in reversed(levels[:-1]):
         above = entries.withColumnRenamed("chunk", "up")
         tables = level.withColumn("up", parent).join(above, ["k", "up"])
         entries = tables.groupBy("k", "up").applyInPandas(hand_down, "k long, chunk long, allowed long")
-    return chunked.join(entries, ["k", "chunk"]).groupBy("k", "chunk").applyInPandas(walk, "k long, t long")
+    return instants.join(entries, ["k", "chunk"]).groupBy("k", "chunk").applyInPandas(walk, "k long, t long")
 
 
 def _fold_misses(instants: DataFrame, key: str, ttl: int) -> DataFrame:
@@ -176,6 +175,27 @@ def _fold_misses(instants: DataFrame, key: str, ttl: int) -> DataFrame:
     return folded.select(key, F.explode(let(F.col("_rows"), heads)).alias("_head"))
 
 
+def _hot_keys(rows: DataFrame, key: str, ttl: int, hot_rows: int) -> tuple[DataFrame | None, int]:
+    """Keys over ``hot_rows`` requests with a number, their first instant and chunk length.
+
+    A chunk spans about ``hot_rows`` requests, and at least a few periods. The second result is the
+    largest number of chunks of a key; no hot key gives (None, 0).
+    """
+    busy = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min("t").alias("_from"), F.max("t").alias("_to"))
+    busy = busy.filter(F.col("_n") > hot_rows)
+    periods = F.floor((F.col("_to") - F.col("_from")) / ttl) + 1
+    length = F.greatest(F.lit(CHUNK_PERIODS), F.ceil(periods * hot_rows / F.col("_n"))).cast("long") * ttl
+    chunks = F.floor((F.col("_to") - F.col("_from")) / F.col("_length")) + 1
+    seed = 0
+    while True:
+        number = F.xxhash64(F.lit(seed), F.col(key)).alias("k")
+        hot = broadcast_small(busy.select(key, number, "_from", length.alias("_length"), "_to"))
+        row = hot.agg(F.count("k"), F.countDistinct("k"), F.max(chunks)).first()
+        if row[0] == row[1]:  # numbers are unique; if not, number again
+            return (hot.drop("_to"), row[2]) if row[0] else (None, 0)
+        seed += 1
+
+
 def ttl_dedup(
     log: DataFrame,
     key: str = "text_key",
@@ -189,8 +209,9 @@ def ttl_dedup(
     """Every request with ``hit``, the id that was computed for it and the payload it is served.
 
     ``overwrite`` names a flag of requests that skip the cache read and always write it. Periods
-    are compared in milliseconds; order within one is by (ts, id), and ids are unique. Keys with
-    more than ``hot_rows`` requests go by chunks and narrow time slots; the result is the same.
+    are compared in milliseconds; order within one is by (ts, id); ids are unique, keys not null.
+    Keys with more than ``hot_rows`` requests go by chunks, and periods of a key with more than
+    ``hot_rows`` requests by narrower slots; the result is the same.
     """
     ttl, ttl_us = ttl_seconds * 1_000, ttl_seconds * MICROS
     at = micros(ts) if dict(log.dtypes)[ts] == "timestamp_ntz" else F.unix_micros(ts)
@@ -198,6 +219,7 @@ def ttl_dedup(
     rows = log.select(
         key,
         F.floor(at / 1_000).alias("t"),
+        F.floor(at / ttl_us).alias("_period"),
         forced.alias("forced"),
         F.struct(at.alias("us"), F.col(id_col).alias("id"), F.struct(*payload).alias("own")).alias("_row"),
     ).filter(F.col(key).isNotNull())
@@ -206,60 +228,64 @@ def ttl_dedup(
         """One row per key and millisecond: the first request, and whether any overwrites."""
         return of.groupBy(*by, "t").agg(F.min("_row").alias("_head"), F.max("forced").alias("forced"))
 
-    busy = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-    parts = F.least(F.lit(MAX_PARTS), F.floor(F.col("_n") / hot_rows))
-    hot = broadcast_small(  # at most (rows / hot_rows) keys
-        busy.select(
-            key,
-            (F.row_number().over(W.orderBy(key)) - 1).cast("long").alias("k"),
-            F.ceil(F.lit(ttl_us) / parts).alias("_width"),
-        )
-    )
-    if hot.isEmpty():
-        rows = rows.withColumn("_width", F.lit(ttl_us).cast("long"))
-        misses = _fold_misses(instants(rows, key), key, ttl).withColumn("_width", F.lit(ttl_us).cast("long"))
+    hot, most_chunks = _hot_keys(rows, key, ttl, hot_rows)
+    crowded = None
+    if hot is None:
+        misses = _fold_misses(instants(rows, key), key, ttl)
     else:
-        cold = _fold_misses(instants(rows.join(hot.select(key), key, "left_anti"), key), key, ttl)
-        heated = through_table(instants(rows.join(hot, key), key, "k", "_width"), "hot")
-        found = _hot_misses(heated.select("k", "t", "forced"), ttl)
-        misses = (
-            heated.join(found, ["k", "t"])
-            .select(key, "_head", "_width")
-            .unionByName(cold.withColumn("_width", F.lit(ttl_us).cast("long")))
-        )
-        rows = rows.join(hot.select(key, "_width"), key, "left")
-        rows = rows.withColumn("_width", F.coalesce("_width", F.lit(ttl_us).cast("long")))
-
-    # Requests are matched to writes inside time slots, which are the narrower the busier the key.
-    writes = misses.select(key, "_width", F.col("_head").alias("_write"))
+        cold = instants(rows.join(hot.select(key), key, "left_anti"), key)
+        chunk = F.floor((F.col("t") - F.col("_from")) / F.col("_length"))
+        heated = instants(rows.join(hot, key), key, "k", "_from", "_length").withColumn("chunk", chunk)
+        heated = heated.withColumn("reach", F.col("_from") + F.col("chunk") * F.col("_length") + ttl)
+        heated = through_table(heated.select(key, "k", "chunk", "reach", "t", "forced", "_head"), "hot")
+        found = _hot_misses(heated.select("k", "chunk", "reach", "t", "forced"), most_chunks, ttl)
+        misses = _fold_misses(cold, key, ttl).unionByName(heated.join(found, ["k", "t"]).select(key, "_head"))
+        per_period = rows.join(hot.select(key), key, "left_semi").groupBy(key, "_period").agg(F.count(F.lit(1)).alias("_n"))
+        parts = F.least(F.ceil(F.col("_n") / hot_rows), F.lit(MAX_PARTS)).alias("_parts")
+        crowded = broadcast_small(per_period.filter(F.col("_n") > hot_rows).select(key, "_period", parts))
+
+    def with_parts(df: DataFrame) -> DataFrame:
+        """Into how many slots the row's period is cut: one, unless it is crowded."""
+        if crowded is None:
+            return df.withColumn("_parts", F.lit(1).cast("long"))
+        return df.join(crowded, [key, "_period"], "left").withColumn("_parts", F.coalesce("_parts", F.lit(1).cast("long")))
+
+    def slot_of(us: Column) -> Column:
+        return F.floor((us - F.col("_period") * ttl_us) * F.col("_parts") / ttl_us)
+
+    writes = misses.select(key, F.col("_head").alias("_write"))
     if overwrite:
-        writes = writes.unionByName(rows.filter("forced").select(key, "_width", F.col("_row").alias("_write")))
+        writes = writes.unionByName(rows.filter("forced").select(key, F.col("_row").alias("_write")))
     written = F.col("_write.us")
-    writes = writes.withColumn("_slot", F.floor(written / F.col("_width")))
-    # The last write of a slot also opens the slots after it, up to the next slot with a write or
-    # the end of its period.
-    last = writes.groupBy(key, "_width", "_slot").agg(F.max("_write").alias("_write"))
-    following = F.lead("_slot").over(W.partitionBy(key, F.floor(written / ttl_us)).orderBy("_slot"))
-    reach = F.floor((written + ttl_us) / F.col("_width"))
-    carried = (
-        last.withColumn("_until", F.least(following, reach))
-        .select(key, F.explode(F.sequence(F.col("_slot") + 1, F.col("_until"))).alias("_slot"), "_write")
-        .groupBy(key, "_slot")
-        .agg(F.max("_write").alias("_write"))
-    )
-    nothing = F.lit(None).cast(rows.schema["_row"].dataType)
-
-    def entry(row: str, slot: Column, is_request: bool, write: Column) -> list[Column]:
-        return [
-            F.col(key), slot.alias("_slot"), F.col(f"{row}.us").alias("us"), F.col(f"{row}.id").alias("id"),
-            F.lit(is_request).alias("is_request"), write.alias("_write"),
-        ]
-
-    requests = rows.select(*entry("_row", F.floor(F.col("_row.us") / F.col("_width")), True, nothing))
-    marks = writes.select(key, "_slot", "_write").unionByName(carried)
-    marks = marks.select(*entry("_write", F.col("_slot"), False, F.col("_write")))
-    upto = W.partitionBy(key, "_slot").orderBy("us", "id", "is_request").rowsBetween(W.unboundedPreceding, W.currentRow)
-    served = requests.unionByName(marks).withColumn("_w", F.last("_write", ignorenulls=True).over(upto))
+    writes = with_parts(writes.withColumn("_period", F.floor(written / ttl_us))).withColumn("_slot", slot_of(written))
+    # The last write of a slot also opens the slots after it: those of its period up to the next
+    # slot with a write, and those of the next period that its answer can still reach.
+    last = writes.groupBy(key, "_period", "_parts", "_slot").agg(F.max("_write").alias("_write"))
+    following = F.lead("_slot").over(W.partitionBy(key, "_period").orderBy("_slot"))
+    last = last.withColumn("_next", following).withColumn("_until", F.coalesce("_next", F.col("_parts") - 1))
+    here = last.filter("_until > _slot").withColumn("_slot", F.explode(F.sequence(F.col("_slot") + 1, F.col("_until"))))
+    over = last.filter("_next is null").select(key, (F.col("_period") + 1).alias("_period"), "_write")
+    over = with_parts(over).withColumn("_slot", F.explode(F.sequence(F.lit(0).cast("long"), slot_of(written + ttl_us))))
+
+    def entry(df: DataFrame, row: str, is_request: bool) -> DataFrame:
+        """Requests and writes in one shape; a write comes just before the request it is made for."""
+        write = F.lit(None).cast(rows.schema["_row"].dataType) if is_request else F.col(row)
+        return df.select(
+            key,
+            "_period",
+            "_slot",
+            F.col(f"{row}.us").alias("us"),
+            F.col(f"{row}.id").alias("id"),
+            F.lit(is_request).alias("is_request"),
+            write.alias("_write"),
+        )
+
+    entries = entry(with_parts(rows).withColumn("_slot", slot_of(F.col("_row.us"))), "_row", True)
+    for marks in (writes, here, over):
+        entries = entries.unionByName(entry(marks, "_write", False))
+    slot = W.partitionBy(key, "_period", "_slot").orderBy("us", "id", "is_request")
+    upto = slot.rowsBetween(W.unboundedPreceding, W.currentRow)
+    served = entries.withColumn("_w", F.last("_write", ignorenulls=True).over(upto))
     return served.filter("is_request").select(
         F.col("id").alias(id_col),
         key,
