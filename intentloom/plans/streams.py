@@ -13,7 +13,7 @@ from intentloom.sources import io
 from intentloom.sources import tables as t
 from intentloom.streaming import jobs, windows
 from intentloom.streaming.source import event_stream
-from intentloom.streaming.ttl import stream_ttl_dedup, use_rocksdb
+from intentloom.streaming.ttl import stream_ttl_batches, stream_ttl_dedup, use_rocksdb
 
 DELAY = 600
 
@@ -65,6 +65,14 @@ def stream_ttl(spark, d):
     return _to_table(spark, out, "ttl")
 
 
+def stream_ttl_by_batch(spark, d):
+    """The form for very hot keys: the batch operator per trigger, last writes carried in a table."""
+    out, state, checkpoint = (scratch_path(spark, p) for p in ("ttl-out", "ttl-state", "checkpoint"))
+    run_all(stream_ttl_batches(keyed(event_stream(spark, d)), out, state, checkpoint, delay=DELAY))
+    cols = ["prediction_id", "text_key", "hit", "computed_id", "predicted_label", "confidence"]
+    return spark.read.parquet(out).select(*cols)
+
+
 def stream_logs(spark, d):
     path, checkpoint = scratch_path(spark, "audit"), scratch_path(spark, "checkpoint")
     run_all(jobs.stream_logs(event_stream(spark, d), path, checkpoint))
@@ -105,6 +113,7 @@ QUERIES = {
     "stream_window_metrics": stream_window_metrics,
     "stream_alerts": stream_alerts,
     "stream_ttl_dedup": stream_ttl,
+    "stream_ttl_batches": stream_ttl_by_batch,
     "stream_logs": stream_logs,
     "stream_metric_log": stream_metric_log,
     "stream_monitor": stream_monitor,
@@ -143,6 +152,7 @@ ORACLE = {
         "predictions",
     ),
     "stream_ttl_dedup": with_views(ttl_sql("false"), "predictions"),
+    "stream_ttl_batches": with_views(ttl_sql("false"), "predictions"),
     "stream_logs": with_views(
         """select prediction_id as id, 'prediction' as action, substr(text, 1, 200) as text_preview,
              predicted_label::bigint as label, confidence from predictions""",

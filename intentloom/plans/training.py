@@ -9,10 +9,10 @@ from intentloom.operators.sampling import stratified_split
 from intentloom.plans import jobs
 from intentloom.sources import tables as t
 
-FEATURES = 2_000
-TREES, DEPTH = 40, 10
-SHOTS = (2, 8, 32)
-TRIALS = 4
+FEATURES = tr.features.MAX_FEATURES
+TREES, DEPTH = 200, 10
+SHOTS = tr.SHOT_COUNTS
+TRIALS = tr.N_TRIALS
 
 
 def _splits(spark, d):

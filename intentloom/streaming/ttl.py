@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from intentloom.operators.dedup import TTL_SECONDS
+from intentloom.operators.dedup import HOT_ROWS, TTL_SECONDS, ttl_dedup
 
 OUTPUT = (
     "prediction_id bigint, text_key string, hit boolean, computed_id bigint, predicted_label int, confidence double"
@@ -77,6 +77,56 @@ def stream_ttl_dedup(
     )
 
 
+REQUEST = "prediction_id bigint, text_key string, ts timestamp, predicted_label int, confidence double"
+
+
+def write_ttl_batch(
+    batch: DataFrame, batch_id: int, out: str, state: str, ttl_seconds: int, delay: int, hot_rows: int
+) -> None:
+    """Serve one micro-batch from the writes of the batches before, then store the last write per key.
+
+    Earlier writes join the batch as overwrites at their own time. Output and state go to folders
+    named by the batch, so a retried batch replaces its own.
+    """
+    spark = batch.sparkSession
+    cols = ["prediction_id", "text_key", "ts", "predicted_label", "confidence"]
+    if batch_id:
+        earlier = spark.read.schema(REQUEST).parquet(f"{state}/batch={batch_id - 1}")
+    else:
+        earlier = spark.createDataFrame([], REQUEST)
+    both = batch.select(*cols, F.lit(False).alias("earlier")).unionByName(earlier.withColumn("earlier", F.lit(True)))
+    payload = ["predicted_label", "confidence", "ts"]
+    served = ttl_dedup(both, payload=payload, overwrite="earlier", ttl_seconds=ttl_seconds, hot_rows=hot_rows)
+    served = served.withColumnRenamed("ts", "computed_ts").join(earlier.select("prediction_id"), "prediction_id", "left_anti")
+    path = f"{out}/batch={batch_id}"
+    served.write.mode("overwrite").parquet(path)
+    written = spark.read.schema(served.schema).parquet(path).filter("not hit").withColumnRenamed("computed_ts", "ts")
+    writes = written.select(*cols).unionByName(earlier)
+    last = writes.groupBy("text_key").agg(F.max_by(F.struct(*cols), F.struct("ts", "prediction_id")).alias("w")).select("w.*")
+    newest = writes.agg(F.max("ts")).scalar()
+    live = last.filter(F.col("ts") >= newest - F.expr(f"interval {ttl_seconds + delay} seconds"))
+    live.write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+
+
+def stream_ttl_batches(
+    stream: DataFrame,
+    out: str,
+    state: str,
+    checkpoint: str,
+    ttl_seconds: int = TTL_SECONDS,
+    delay: int = 600,
+    hot_rows: int = HOT_ROWS,
+):
+    """The same de-duplication by the batch form per trigger, for streams with very hot keys.
+
+    No task holds a key's whole trigger, at the price of rewriting the live keys each time. A late
+    row counts at its own time; keys are kept for the period plus ``delay``.
+    """
+    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        lambda batch, batch_id: write_ttl_batch(batch, batch_id, out, state, ttl_seconds, delay, hot_rows)
+    )
+
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 

@@ -12,7 +12,7 @@ from intentloom.operators import drift
 from intentloom.sources import tables as t
 from intentloom.streaming import jobs, windows
 from intentloom.streaming.source import event_stream
-from intentloom.streaming.ttl import stream_ttl_dedup, use_rocksdb
+from intentloom.streaming.ttl import stream_ttl_batches, stream_ttl_dedup, use_rocksdb
 
 
 @pytest.fixture(scope="module")
@@ -61,6 +61,17 @@ def test_ttl_stream_equals_batch(spark, sf_dir, event_files, tmp_path):
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
 
 
+@pytest.mark.parametrize("hot_rows", [20, 20_000])
+def test_ttl_by_batches_equals_batch(spark, sf_dir, event_files, tmp_path, hot_rows):
+    paths = [str(tmp_path / x) for x in ("out", "state", "checkpoint")]
+    run_all(stream_ttl_batches(keyed(stream_of(spark, event_files)), *paths, hot_rows=hot_rows))
+    want = dedup.ttl_dedup(keyed(t.predictions(spark, sf_dir)))
+    cols = ["prediction_id", "hit", "computed_id", "predicted_label", "confidence"]
+    got = spark.read.parquet(paths[0])
+    assert got.select("batch").distinct().count() == 4
+    assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
+
+
 def test_logs_are_written_once(spark, sf_dir, event_files, tmp_path):
     path, checkpoint = str(tmp_path / "log"), str(tmp_path / "checkpoint")
     for _ in range(2):  # the second run finds nothing new
