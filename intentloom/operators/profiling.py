@@ -139,9 +139,11 @@ def text_overview(df: DataFrame, side: str = "side") -> DataFrame:
         F.round(F.avg(size), 6).alias("mean_length"),
         F.round(F.avg(F.coalesce(F.try_divide(size - letters, size), F.lit(0.0))), 6).alias("mean_non_letter_share"),
     )
-    toks = df.select(side, tokens("text").alias("t"))
+    toks = df.select(side, tokens("text").alias("t")).filter(F.size("t") > 0)
     per_word = (
-        toks.select(side, F.explode("t").alias("word"), (F.lit(1.0) / F.size("t")).alias("share"))
+        # the share is made before the explosion, so that no word carries its whole text along
+        toks.select(side, "t", (F.lit(1.0) / F.size("t")).alias("share"))
+        .select(side, "share", F.explode("t").alias("word"))
         .groupBy(side, "word")
         .agg(F.sum("share").alias("share"))
     )

@@ -45,11 +45,13 @@ def few_shot_sample(
 ) -> DataFrame:
     """min(shots, class size) rows per class.
 
-    The rank filter is planned as a group limit before the shuffle, so only ``shots`` rows per
-    class and input partition travel.
+    Ids are ranked without their texts; the rank filter is planned as a group limit before the
+    shuffle, so only ``shots`` ids per class and input partition travel.
     """
-    drawn = W.partitionBy(label).orderBy(row_hash(id_col, seed=seed))
-    return df.withColumn("_rn", F.row_number().over(drawn)).filter(F.col("_rn") <= shots).drop("_rn")
+    order = W.partitionBy(label).orderBy(row_hash(id_col, seed=seed))
+    ranked = df.select(label, id_col).withColumn("_rn", F.row_number().over(order))
+    drawn = ranked.filter(F.col("_rn") <= shots).drop("_rn")
+    return df.join(broadcast_small(drawn), [label, id_col], "left_semi")
 
 
 def first_per_class(df: DataFrame, n: int = 8, label: str = "label", id_col: str = "sample_id") -> DataFrame:
