@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from intentloom.functions.scale import broadcast_small
+
 AVERAGES = ("macro", "micro", "weighted")
 METRICS = ["accuracy"] + [f"{m}_{a}" for a in AVERAGES for m in ("precision", "recall", "f1")]
 
@@ -21,14 +23,16 @@ def ratio(a: Column, b: Column) -> Column:
 
 
 def confusion_counts(pairs: DataFrame, true: str, pred: str, by: Sequence[str] = ()) -> DataFrame:
-    return pairs.groupBy(*by, F.col(true).alias("true_label"), F.col(pred).alias("predicted_label")).agg(
+    """Rows per (true, predicted) label; pairs without either label are no evaluation."""
+    labelled = pairs.filter(F.col(true).isNotNull() & F.col(pred).isNotNull())
+    return labelled.groupBy(*by, F.col(true).alias("true_label"), F.col(pred).alias("predicted_label")).agg(
         F.count(F.lit(1)).alias("n")
     )
 
 
 def confusion_matrix(pairs: DataFrame, true: str = "label", pred: str = "predicted_label") -> DataFrame:
     """One row per cell over the labels seen on either side, empty cells included."""
-    counts = confusion_counts(pairs, true, pred)
+    counts = broadcast_small(confusion_counts(pairs, true, pred))  # the pairs are scored once
     seen = counts.select(F.explode(F.array("true_label", "predicted_label")).alias("l"))
     labels = seen.agg(F.collect_set("l").alias("labels"))  # one entry per class
     grid = labels.select("labels", F.explode("labels").alias("true_label")).select(

@@ -29,7 +29,8 @@ def class_term_counts(df: DataFrame, label: str = "label_name", stopwords: Seque
     """(class, term, tf): counted per class, never through a concatenated class document."""
     return (
         df.select(label, F.explode(tokens("text")).alias("term"))
-        .filter(~F.col("term").isin(list(stopwords)))
+        # "not null" is said here so that every reader of the counts plans, and shares, one shuffle
+        .filter(F.col("term").isNotNull() & ~F.col("term").isin(list(stopwords)))
         .groupBy(label, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from intentloom.functions.scale import broadcast_small
 from intentloom.functions.text import STOPWORDS, text_key, tokens, words
 from intentloom.operators.sampling import class_counts
 
@@ -60,7 +61,7 @@ def length_histograms(df: DataFrame, char_bins: int = 50, word_bins: int = 30) -
     )
     # two rows, one per measure; a single value gets a bin of width one around it
     flat = F.col("lo") == F.col("hi")
-    spans = F.broadcast(
+    spans = broadcast_small(
         spans.select(
             "measure", "bins", "mean",
             F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
@@ -139,11 +140,13 @@ def text_overview(df: DataFrame, side: str = "side") -> DataFrame:
         F.round(F.avg(size), 6).alias("mean_length"),
         F.round(F.avg(F.coalesce(F.try_divide(size - letters, size), F.lit(0.0))), 6).alias("mean_non_letter_share"),
     )
-    toks = df.select(side, tokens("text").alias("t")).filter(F.size("t") > 0)
+    # The share is made before the explosion, so that no word carries its whole text along; the outer
+    # form keeps the optimizer from tokenising once more for a filter.
+    toks = df.select(side, tokens("text").alias("t"))
     per_word = (
-        # the share is made before the explosion, so that no word carries its whole text along
-        toks.select(side, "t", (F.lit(1.0) / F.size("t")).alias("share"))
-        .select(side, "share", F.explode("t").alias("word"))
+        toks.select(side, "t", F.try_divide(F.lit(1.0), F.size("t")).alias("share"))
+        .select(side, "share", F.explode_outer("t").alias("word"))
+        .filter("word is not null")
         .groupBy(side, "word")
         .agg(F.sum("share").alias("share"))
     )
