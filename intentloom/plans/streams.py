@@ -23,6 +23,10 @@ def run_all(writer) -> None:
     writer.trigger(availableNow=True).start().awaitTermination()
 
 
+def _requests(spark, d):
+    return event_stream(spark, f"{d}/events.parquet")
+
+
 def _to_table(spark, stream, purpose):
     """Run ``stream`` into a parquet table and read it back."""
     path, checkpoint = scratch_path(spark, purpose), scratch_path(spark, "checkpoint")
@@ -40,7 +44,7 @@ def stream_window_metrics(spark, d):
     """Closed windows of one minute, five minutes and one hour (the longer ones sliding)."""
     whole = None
     for name, size, slide in (("1min", 60, 60), ("5min", 300, 60), ("1hour", 3600, 600)):
-        out = _to_table(spark, windows.window_metrics(event_stream(spark, d), size, slide, DELAY), "windows")
+        out = _to_table(spark, windows.window_metrics(_requests(spark, d), size, slide, DELAY), "windows")
         part = out.select(
             F.lit(name).alias("window"),
             _utc("window_start").alias("window_start"),
@@ -53,14 +57,14 @@ def stream_window_metrics(spark, d):
 
 def stream_alerts(spark, d):
     path, checkpoint = scratch_path(spark, "alerts"), scratch_path(spark, "checkpoint")
-    metrics = windows.window_metrics(event_stream(spark, d), 3600, 3600, DELAY)
+    metrics = windows.window_metrics(_requests(spark, d), 3600, 3600, DELAY)
     run_all(windows.stream_alerts(metrics, path, checkpoint))
     return io.read_alerts(spark, path).select("type", "severity", F.round("value", 6).alias("value"), "threshold")
 
 
 def stream_ttl(spark, d):
     use_rocksdb(spark)
-    stream = keyed(event_stream(spark, d))
+    stream = keyed(_requests(spark, d))
     out = stream_ttl_dedup(stream.select("prediction_id", "text_key", "ts", "predicted_label", "confidence"), delay=DELAY)
     return _to_table(spark, out, "ttl")
 
@@ -68,14 +72,14 @@ def stream_ttl(spark, d):
 def stream_ttl_by_batch(spark, d):
     """The form for very hot keys: the batch operator per trigger, last writes carried in a table."""
     out, state, checkpoint = (scratch_path(spark, p) for p in ("ttl-out", "ttl-state", "checkpoint"))
-    run_all(stream_ttl_batches(keyed(event_stream(spark, d)), out, state, checkpoint, delay=DELAY))
+    run_all(stream_ttl_batches(keyed(_requests(spark, d)), out, state, checkpoint, delay=DELAY))
     cols = ["prediction_id", "text_key", "hit", "computed_id", "predicted_label", "confidence"]
     return spark.read.parquet(out).select(*cols)
 
 
 def stream_logs(spark, d):
     path, checkpoint = scratch_path(spark, "audit"), scratch_path(spark, "checkpoint")
-    run_all(jobs.stream_logs(event_stream(spark, d), path, checkpoint))
+    run_all(jobs.stream_logs(_requests(spark, d), path, checkpoint))
     details = F.from_json("details", "text_preview string, prediction struct<label:int,confidence:double>")
     return spark.read.parquet(path).select(
         "id", "action", details["text_preview"].alias("text_preview"),
@@ -85,7 +89,7 @@ def stream_logs(spark, d):
 
 def stream_metric_log(spark, d):
     path, checkpoint = scratch_path(spark, "metric-log"), scratch_path(spark, "checkpoint")
-    run_all(jobs.stream_metric_log(event_stream(spark, d), path, checkpoint))
+    run_all(jobs.stream_metric_log(_requests(spark, d), path, checkpoint))
     return spark.read.parquet(path).select(_utc("timestamp").alias("timestamp"), "latency_ms", "confidence", "label")
 
 
@@ -94,7 +98,7 @@ def stream_monitor(spark, d):
     cols = ["predicted_label", "predicted_label_name", "method", "endpoint", "confidence", "latency_ms"]
     reference = t.ref_cur(spark, d).filter("side = 'ref'").select(*cols, "side")
     late = F.col("ts") >= F.to_timestamp(F.lit("2024-01-16 00:00:00+00:00"))
-    stream = event_stream(spark, d).filter(late & F.col("predicted_label").isin(1, 2))
+    stream = _requests(spark, d).filter(late & F.col("predicted_label").isin(1, 2))
     stream = stream.withColumn("confidence", F.col("confidence") / 2).select(*cols)
 
     def decide(current):

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from intentloom.sources.tables import EVENT_SCHEMA, micros, predictions_from
 
 
-def event_stream(
-    spark: SparkSession, folder: str, pattern: str = "events.parquet", max_files: int | None = None
-) -> DataFrame:
-    """Requests from the event files of a folder; ``ts`` becomes a UTC instant, as watermarks need."""
-    reader = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", pattern)
+def event_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Requests from an event table, one file or a folder; ``ts`` becomes a UTC instant, as watermarks need."""
+    reader = spark.readStream.schema(EVENT_SCHEMA)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return predictions_from(reader.parquet(folder)).withColumn("ts", F.timestamp_micros(micros("ts")))
+    # a plain path must be a folder, a pattern may also match one file
+    log = predictions_from(reader.parquet(f"{path[:-1]}[{path[-1]}]"))
+    return log.withColumn("ts", F.timestamp_micros(micros("ts")))

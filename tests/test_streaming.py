@@ -35,7 +35,7 @@ def drain(spark, stream, tmp_path):
 
 
 def stream_of(spark, folder):
-    return event_stream(spark, folder, "*.parquet", max_files=1)
+    return event_stream(spark, folder, max_files=1)
 
 
 @pytest.mark.parametrize("size, slide", [(60, 60), (3600, 600)])
