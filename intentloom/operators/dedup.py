@@ -240,15 +240,17 @@ def ttl_dedup(
         heated = through_table(heated.select(key, "k", "chunk", "reach", "t", "forced", "_head"), "hot")
         found = _hot_misses(heated.select("k", "chunk", "reach", "t", "forced"), most_chunks, ttl)
         misses = _fold_misses(cold, key, ttl).unionByName(heated.join(found, ["k", "t"]).select(key, "_head"))
-        per_period = rows.join(hot.select(key), key, "left_semi").groupBy(key, "_period").agg(F.count(F.lit(1)).alias("_n"))
+        of_hot = rows.join(hot.select(key), key, "left_semi")
+        per_period = of_hot.groupBy(key, "_period").agg(F.count(F.lit(1)).alias("_n"))
         parts = F.least(F.ceil(F.col("_n") / hot_rows), F.lit(MAX_PARTS)).alias("_parts")
         crowded = broadcast_small(per_period.filter(F.col("_n") > hot_rows).select(key, "_period", parts))
 
     def with_parts(df: DataFrame) -> DataFrame:
         """Into how many slots the row's period is cut: one, unless it is crowded."""
+        one = F.lit(1).cast("long")
         if crowded is None:
-            return df.withColumn("_parts", F.lit(1).cast("long"))
-        return df.join(crowded, [key, "_period"], "left").withColumn("_parts", F.coalesce("_parts", F.lit(1).cast("long")))
+            return df.withColumn("_parts", one)
+        return df.join(crowded, [key, "_period"], "left").withColumn("_parts", F.coalesce("_parts", one))
 
     def slot_of(us: Column) -> Column:
         return F.floor((us - F.col("_period") * ttl_us) * F.col("_parts") / ttl_us)

@@ -159,7 +159,8 @@ def label_shift(df: DataFrame, label: str = "predicted_label", limit: float = LA
     counts = _category_counts(df, [label])
     totals = counts.groupBy("column").agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))
     shares = counts.join(F.broadcast(totals), "column")
-    gap = F.abs(F.coalesce(F.try_divide("ref", "n_ref"), F.lit(0.0)) - F.coalesce(F.try_divide("cur", "n_cur"), F.lit(0.0)))
+    ref, cur = (F.coalesce(F.try_divide(s, f"n_{s}"), F.lit(0.0)) for s in ("ref", "cur"))
+    gap = F.abs(ref - cur)
     return shares.agg(F.max(gap).alias("max_shift"), F.coalesce(F.max(gap) > limit, F.lit(False)).alias("alert"))
 
 
@@ -204,7 +205,11 @@ def alert_check(
                 "DATA_DRIFT",
                 F.col("share"),
                 drift_limit,
-                F.concat(F.lit("DATA_DRIFT: "), _percent(F.col("share")), F.lit(f" columns drifted (threshold: {drift_limit:.2%})")),
+                F.concat(
+                    F.lit("DATA_DRIFT: "),
+                    _percent(F.col("share")),
+                    F.lit(f" columns drifted (threshold: {drift_limit:.2%})"),
+                ),
             ),
             alert(
                 "CONFIDENCE_DROP",

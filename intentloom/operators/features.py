@@ -85,8 +85,9 @@ def _gram_batches(k: int, strip: int):
 def class_similarity(weights: DataFrame, label: str = "label_name", strip: int = 512) -> DataFrame:
     """Cosine of every pair of classes that share a term: (class_a < class_b, similarity).
 
-    ``weights`` holds unit vectors in long form, at most vocabulary size per class. Each task adds up the products of its own terms
-    in a small matrix and emits one number per class pair, not one row per term and pair.
+    ``weights`` holds unit vectors in long form, at most vocabulary size per class. Each task adds up
+    the products of its own terms in a small matrix and emits one number per class pair, not one
+    row per term and pair.
     """
     weights = through_table(weights, "class-weights")
     names = [r[0] for r in weights.select(label).distinct().orderBy(label).collect()]  # the class list

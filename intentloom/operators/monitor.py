@@ -128,7 +128,12 @@ def feedback_stats(feedback: DataFrame, top: int = 10) -> DataFrame:
     return (
         counts.orderBy(F.desc("n"), "correct_label", "correct_label_name")
         .limit(top)
-        .select(F.col("correct_label").alias("label"), name.alias("label_name"), F.col("n").alias("count"), total.alias("total_corrections"))
+        .select(
+            F.col("correct_label").alias("label"),
+            name.alias("label_name"),
+            F.col("n").alias("count"),
+            total.alias("total_corrections"),
+        )
     )
 
 

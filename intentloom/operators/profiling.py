@@ -75,7 +75,8 @@ def length_histograms(df: DataFrame, char_bins: int = 50, word_bins: int = 30) -
         .groupBy("measure", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    grid = spans.select("measure", "lo", "width", "mean", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bins").cast("long") - 1)).alias("bin"))
+    numbers = F.sequence(F.lit(0).cast("long"), F.col("bins").cast("long") - 1)
+    grid = spans.select("measure", "lo", "width", "mean", F.explode(numbers).alias("bin"))
     return grid.join(binned, ["measure", "bin"], "left").select(
         "measure",
         "bin",
@@ -98,7 +99,9 @@ def top_words(df: DataFrame, n: int = 30, stopwords: Sequence[str] = STOPWORDS,
     )
 
 
-def class_documents(df: DataFrame, label: str = "label_name", id_col: str = "sample_id", rows_per_part: int = 1_000) -> DataFrame:
+def class_documents(
+    df: DataFrame, label: str = "label_name", id_col: str = "sample_id", rows_per_part: int = 1_000
+) -> DataFrame:
     """All texts of a class joined by spaces, in id order, as numbered parts.
 
     A class may hold a third of the data, so its document comes in parts of at most

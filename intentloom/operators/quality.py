@@ -166,7 +166,11 @@ def split_audit(
         .groupBy("sample_id")
         .agg(F.count(F.lit(1)).alias("splits"))
         .agg(F.count_if(F.col("splits") > 1).alias("ids"))
-        .select(F.lit("shared_ids").alias("check"), F.col("ids").cast("double").alias("value"), (F.col("ids") == 0).alias("passed"))
+        .select(
+            F.lit("shared_ids").alias("check"),
+            F.col("ids").cast("double").alias("value"),
+            (F.col("ids") == 0).alias("passed"),
+        )
     )
     return per_split.unionByName(shared)
 

@@ -99,7 +99,8 @@ def augment_minority(
     # one count per class goes into this percentile
     median = F.floor(counts.agg(F.percentile("n", F.lit(0.5))).scalar())
     short = broadcast_small(counts.filter(F.col("n") < median).withColumn("needed", median - F.col("n")))
-    blocks = short.select(label, "n", "needed", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("needed") - 1) / block))).alias("_block"))
+    block_numbers = F.sequence(F.lit(0).cast("long"), F.floor((F.col("needed") - 1) / block))
+    blocks = short.select(label, "n", "needed", F.explode(block_numbers).alias("_block"))
     low = F.col("_block") * block + 1
     new_rows = (
         blocks.repartition(label, "_block")
@@ -112,8 +113,9 @@ def augment_minority(
     drawn = new_rows.join(ranked, [label, "rn"])
     coin = F.pmod(hash_int(row_hash(label, "copy_no", seed=f"{seed}coin")), F.lit(2))
     changed = F.when(coin == 0, synonym_replace("text")).otherwise(random_swap("text", [label, "copy_no"]))
-    made = drawn.select(label, changed.alias("text"), F.col(id_col).alias("source_id"), F.col("copy_no").cast("long").alias("copy_no"))
-    kept = df.select(label, "text", F.col(id_col).alias("source_id"), F.lit(0).cast("long").alias("copy_no"))
+    source = F.col(id_col).alias("source_id")
+    made = drawn.select(label, changed.alias("text"), source, F.col("copy_no").cast("long").alias("copy_no"))
+    kept = df.select(label, "text", source, F.lit(0).cast("long").alias("copy_no"))
     return kept.unionByName(made)
 
 
@@ -134,8 +136,14 @@ def class_weights(
     over_all = W.partitionBy()
     weight = F.sum("n").over(over_all) / (F.count(F.lit(1)).over(over_all) * F.col("n"))
     weighted = counts.withColumn("weight", weight)
-    shown = {"weight": F.col("weight"), "min_weight": F.min("weight").over(over_all), "max_weight": F.max("weight").over(over_all)}
-    return weighted.select(label, "n", *[(c if decimals is None else F.round(c, decimals)).alias(n) for n, c in shown.items()])
+    shown = {
+        "weight": F.col("weight"),
+        "min_weight": F.min("weight").over(over_all),
+        "max_weight": F.max("weight").over(over_all),
+    }
+    if decimals is not None:
+        shown = {name: F.round(c, decimals) for name, c in shown.items()}
+    return weighted.select(label, "n", *[c.alias(name) for name, c in shown.items()])
 
 
 def with_class_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
