@@ -33,7 +33,7 @@ def numeric_drift(
 
     Drift rule: p < ``p_limit`` up to ``small`` reference rows, normalised distance >=
     ``distance_limit`` above. Both statistics come from one pass over the distinct values in
-    order, spread over value ranges.
+    order, spread over value ranges. With an empty side they are null and nothing drifted.
     """
     is_ref = F.col("side") == "ref"
     spreads = [F.stddev_pop(F.when(is_ref, F.col(c).cast("double"))) for c in cols]
@@ -45,7 +45,7 @@ def numeric_drift(
     long = wide.select("side", F.inline(F.array(*entries))).filter("v is not null")
     ref, cur = _sides()
     counted = running_counts(long.select("column", "v", "b", ref, cur), ["column"], "b", "v", ["ref", "cur"])
-    gap = F.abs(F.col("cum_ref") / F.col("all_ref") - F.col("cum_cur") / F.col("all_cur"))
+    gap = F.abs(F.try_divide("cum_ref", "all_ref") - F.try_divide("cum_cur", "all_cur"))
     stats = counted.groupBy("column").agg(
         F.max("all_ref").alias("n_ref"),
         F.max("all_cur").alias("n_cur"),
@@ -63,7 +63,8 @@ def numeric_drift(
         lambda acc, j: acc + F.when(j % 2 == 1, 1.0).otherwise(-1.0) * F.exp(F.col("_e") * j * j),
     )
     tested = joined.withColumn("_e", -2.0 * lam * lam).withColumn(
-        "p", F.when(lam < 0.04, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2 * series)))
+        "p",
+        F.when(lam < 0.04, F.lit(1.0)).when(lam.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2 * series)))
     )
     distance = F.try_divide(F.col("w1"), F.col("std_ref"))
     drifted = F.when(F.col("n_ref") <= small, F.col("p") < p_limit).otherwise(distance >= distance_limit)
@@ -88,13 +89,14 @@ def _category_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def categorical_drift(df: DataFrame, cols: Sequence[str], js_limit: float = 0.1, floor: float = 1e-4) -> DataFrame:
     """Per categorical column over the union of values: Jensen-Shannon distance, chi-square, PSI.
 
-    Natural logarithm; an empty share counts as ``floor`` in the PSI. Counting both sides in one
+    Natural logarithm; an empty share counts as ``floor`` in the PSI. With an empty side all three
+    are null and nothing drifted. Counting both sides in one
     grouped pass makes the union; no side is joined to the other.
     """
     counts = _category_counts(df, cols)
     totals = counts.groupBy("column").agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))
     joined = counts.join(F.broadcast(totals), "column")  # one row per column
-    p, q = F.col("ref") / F.col("n_ref"), F.col("cur") / F.col("n_cur")
+    p, q = F.try_divide("ref", "n_ref"), F.try_divide("cur", "n_cur")
     m = (p + q) / 2
 
     def part(x: Column) -> Column:
@@ -103,22 +105,25 @@ def categorical_drift(df: DataFrame, cols: Sequence[str], js_limit: float = 0.1,
     fp, fq = F.greatest(p, F.lit(floor)), F.greatest(q, F.lit(floor))
     expected_ref = (F.col("ref") + F.col("cur")) * F.col("n_ref") / (F.col("n_ref") + F.col("n_cur"))
     expected_cur = (F.col("ref") + F.col("cur")) * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur"))
-    chi = F.pow(F.col("ref") - expected_ref, 2) / expected_ref + F.pow(F.col("cur") - expected_cur, 2) / expected_cur
+    chi = F.try_divide(F.pow(F.col("ref") - expected_ref, 2), expected_ref) + F.try_divide(
+        F.pow(F.col("cur") - expected_cur, 2), expected_cur
+    )
     stats = joined.groupBy("column", "n_ref", "n_cur").agg(
         F.count(F.lit(1)).alias("categories"),
         F.sqrt(F.greatest(F.sum((part(p) + part(q)) / 2), F.lit(0.0))).alias("js"),
         F.sum(chi).alias("chi"),
         F.sum((fq - fp) * F.log(fq / fp)).alias("psi"),
     )
+    comparable = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
     return stats.select(
         "column",
         "n_ref",
         "n_cur",
         "categories",
-        F.round("js", 6).alias("js_distance"),
-        F.round("chi", 6).alias("chi_square"),
-        F.round("psi", 6).alias("psi"),
-        (F.col("js") >= js_limit).alias("drifted"),
+        F.when(comparable, F.round("js", 6)).alias("js_distance"),
+        F.when(comparable, F.round("chi", 6)).alias("chi_square"),
+        F.when(comparable, F.round("psi", 6)).alias("psi"),
+        (comparable & (F.col("js") >= js_limit)).alias("drifted"),
     )
 
 

@@ -40,6 +40,29 @@ def test_disjoint_categories(spark):
     assert row["categories"] == 2 and row["chi_square"] == 10.0 and row["drifted"]
 
 
+@pytest.mark.parametrize("ref, cur", [([1.0, 2.0, 2.0], []), ([], [1.0, 2.0])])
+def test_empty_side(spark, ref, cur):
+    row = drift.numeric_drift(sides(spark, ref, cur), ["x"]).first()
+    assert (row["ks_statistic"], row["ks_p_value"], row["wasserstein_norm"], row["drifted"]) == (None, None, None, False)
+    row = drift.categorical_drift(sides(spark, ref, cur), ["x"]).first()
+    assert (row["js_distance"], row["chi_square"], row["psi"], row["drifted"]) == (None, None, None, False)
+    assert drift.label_shift(sides(spark, ref, cur), "x").first()["alert"]
+    assert drift.confidence_drop(sides(spark, ref, cur).withColumnRenamed("x", "confidence")).first()["alert"] is False
+
+
+def test_against_numpy(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(size=700).round(2), (rng.normal(size=900) * 1.3 + 0.2).round(2)
+    points = np.sort(np.unique(np.concatenate([a, b])))
+    fa, fb = (np.searchsorted(np.sort(x), points, side="right") / len(x) for x in (a, b))
+    row = drift.numeric_drift(sides(spark, a.tolist(), b.tolist()), ["x"], buckets=16).first()
+    assert row["ks_statistic"] == pytest.approx(np.abs(fa - fb).max(), abs=1e-6)
+    distance = (np.abs(fa - fb)[:-1] * np.diff(points)).sum() / a.std()
+    assert row["wasserstein_norm"] == pytest.approx(distance, abs=1e-6)
+
+
 def numbers(spark, **v):
     schema = ", ".join(f"{k} {'boolean' if isinstance(x, bool) else 'double'}" for k, x in v.items())
     return spark.createDataFrame([tuple(v.values())], schema)
