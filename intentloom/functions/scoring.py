@@ -13,8 +13,7 @@ def softmax(logits: str | Column) -> Column:
     source = F.col(logits) if isinstance(logits, str) else logits
 
     def shifted(x: Column) -> Column:
-        top = F.array_max(x)
-        return F.transform(x, lambda v: F.exp(v - top))
+        return let(F.array_max(x), lambda top: F.transform(x, lambda v: F.exp(v - top)))
 
     def scaled(e: Column) -> Column:
         return let(

@@ -10,6 +10,7 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from intentloom.functions.scale import broadcast_small
 from intentloom.functions.text import STOPWORDS, let, ngrams, term_counts, tokens
@@ -181,9 +182,28 @@ def tfidf_features(
     return long.select(id_col, *carry, "term", "idx", (F.col("raw") / norm).alias("weight"))
 
 
+def _sparse_parts(
+    df: DataFrame, vocab: DataFrame, id_col: str, ngram_range: tuple[int, int]
+) -> tuple[DataFrame, list[str]]:
+    """Every row with its known terms as ``_cells`` of (idx, raw weight), sorted by idx."""
+    carry = [c for c in df.columns if c not in (id_col, "text")]
+    long = (
+        df.select(id_col, *carry, "text")
+        .repartition(id_col)
+        .select(id_col, *carry, F.inline_outer(term_counts(terms("text", ngram_range))))
+        .join(broadcast_small(vocab), "term", "left")
+        .withColumn("raw", (F.log("tf") + 1) * F.col("idf"))
+    )
+    cell = F.when(F.col("idx").isNotNull(), F.struct("idx", "raw"))
+    firsts = [F.first(c).alias(c) for c in carry]
+    rows = long.groupBy(id_col).agg(*firsts, F.sort_array(F.collect_list(cell)).alias("_cells"))
+    return rows, [id_col, *carry]
+
+
 @F.udf(VectorUDT())
-def _sparse(size, idx, values):
-    return Vectors.sparse(size, idx, values)
+def _unit_vector(size, idx, raw):
+    norm = sum(v * v for v in raw) ** 0.5
+    return Vectors.sparse(size, idx, [v / norm for v in raw])
 
 
 def tfidf_vectors(
@@ -195,19 +215,30 @@ def tfidf_vectors(
     out: str = "features",
 ) -> DataFrame:
     """``df`` rows (every column but the text) with their TF-IDF vector; zero for a row without a known term."""
-    carry = [c for c in df.columns if c not in (id_col, "text")]
-    long = (
-        df.select(id_col, *carry, "text")
-        .repartition(id_col)
-        .select(id_col, *carry, F.inline_outer(term_counts(terms("text", ngram_range))))
-        .join(broadcast_small(vocab), "term", "left")
-        .withColumn("raw", (F.log("tf") + 1) * F.col("idf"))
-    )
-    cell = F.when(F.col("idx").isNotNull(), F.struct("idx", "raw"))
-    firsts = [F.first(c).alias(c) for c in carry]
-    rows = long.groupBy(id_col).agg(*firsts, F.sort_array(F.collect_list(cell)).alias("cells"))
-    norm = F.sqrt(F.aggregate("cells", F.lit(0.0).cast("double"), lambda a, c: a + c["raw"] * c["raw"]))
-    unit = F.transform("cells", lambda c: c["raw"] / F.col("_norm"))
-    return rows.withColumn("_norm", norm).select(
-        id_col, *carry, _sparse(F.lit(size), F.col("cells.idx"), unit).alias(out)
+    parts, cols = _sparse_parts(df, vocab, id_col, ngram_range)
+    return parts.select(*cols, _unit_vector(F.lit(size), "_cells.idx", "_cells.raw").alias(out))
+
+
+def stored_tfidf_vectors(
+    df: DataFrame,
+    vocab: DataFrame,
+    id_col: str = "sample_id",
+    ngram_range: tuple[int, int] = NGRAM_RANGE,
+    size: int = MAX_FEATURES,
+    out: str = "features",
+) -> DataFrame:
+    """The same by way of a written table, for readers that pass over the vectors many times.
+
+    The table stores a vector as a plain struct and is read back as vectors: no Python worker.
+    """
+    parts, cols = _sparse_parts(df, vocab, id_col, ngram_range)
+    norm = F.sqrt(F.aggregate("_cells", F.lit(0.0).cast("double"), lambda a, c: a + c["raw"] * c["raw"]))
+    vector = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),  # 0 marks a sparse vector
+        F.lit(size).alias("size"),
+        F.transform("_cells", lambda c: c["idx"].cast("int")).alias("indices"),
+        let(norm, lambda n: F.transform("_cells", lambda c: c["raw"] / n)).alias("values"),
     )
+    table = parts.select(*cols, vector.alias(out))
+    schema = T.StructType([f for f in table.schema if f.name != out]).add(out, VectorUDT())
+    return through_table(table, "vectors", schema)

@@ -48,8 +48,8 @@ def prepare(
     cols = ["sample_id", "text", "label"]
     # every fit reads its vectors many times: they are made once
     return (
-        through_table(features.tfidf_vectors(weighted.select(*cols, "weight"), vocab, size=max_features), "train"),
-        through_table(features.tfidf_vectors(test.select(*cols), vocab, size=max_features), "test"),
+        features.stored_tfidf_vectors(weighted.select(*cols, "weight"), vocab, size=max_features),
+        features.stored_tfidf_vectors(test.select(*cols), vocab, size=max_features),
         vocab,
     )
 

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -52,13 +53,14 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def through_table(df: DataFrame, purpose: str) -> DataFrame:
+def through_table(df: DataFrame, purpose: str, schema: StructType | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
     Used where several later steps read one costly result: the lineage ends here, so a
-    lost executor costs a re-read, not a recomputation.
+    lost executor costs a re-read, not a recomputation. ``schema`` reads other types of the same
+    storage format.
     """
     spark = df.sparkSession
     path = scratch_path(spark, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)

@@ -98,8 +98,14 @@ def test_vectors_equal_long_form(spark, sf_dir):
     df = t.samples(spark, sf_dir).filter("sample_id < 40")
     vocab = features.vocabulary(df, 300)
     long = {(r["sample_id"], r["idx"]): r["weight"] for r in features.tfidf_features(df, vocab).collect()}
-    vectors = features.tfidf_vectors(df.select("sample_id", "text", "label"), vocab, size=300).collect()
+    rows = df.select("sample_id", "text", "label")
+    vectors = features.tfidf_vectors(rows, vocab, size=300).collect()
     assert len(vectors) == 40
+    stored = features.stored_tfidf_vectors(rows, vocab, size=300).collect()
+    by_id = {r["sample_id"]: r["features"] for r in stored}
+    for r in vectors:
+        assert by_id[r["sample_id"]].indices.tolist() == r["features"].indices.tolist()
+        assert by_id[r["sample_id"]].values.tolist() == pytest.approx(r["features"].values.tolist())
     flat = {(r["sample_id"], int(i)): v for r in vectors for i, v in zip(r["features"].indices, r["features"].values)}
     assert flat == pytest.approx(long)
 
