@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from intentloom.llm import mix
+from intentloom.llm import mix, quality
 from intentloom.session import through_table
 
 
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that their own rules and their host's verdict keep."""
+    return quality.good_documents(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources drawn to their target weights; a document drawn twice is there twice."""
     return mix.mix_documents(docs)
 
 
-STAGES = [("mixing to target weights", mixed)]
+STAGES = [("quality rules", good), ("mixing to target weights", mixed)]
 
 #: Tokens and packing have no SQL form; tests compare the stages with plain Python.
 ORACLE_SQL = None

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from intentloom.llm import mix
+from intentloom.llm import mix, quality
 
 QUERIES = {
     "op3_mix": mix.op3_mix,
+    "op4_host_quality": quality.op4_host_quality,
 }
 ORACLE = {
     "op3_mix": mix.OP3_SQL,
+    "op4_host_quality": quality.OP4_SQL,
 }
