@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from intentloom.llm import mix, quality
+from intentloom.llm import mix, quality, secrets
 from intentloom.session import through_table
 
 
@@ -13,12 +13,17 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.good_documents(docs)
 
 
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret masked."""
+    return secrets.masked_documents(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources drawn to their target weights; a document drawn twice is there twice."""
     return mix.mix_documents(docs)
 
 
-STAGES = [("quality rules", good), ("mixing to target weights", mixed)]
+STAGES = [("quality rules", good), ("secret scans", without_secrets), ("mixing to target weights", mixed)]
 
 #: Tokens and packing have no SQL form; tests compare the stages with plain Python.
 ORACLE_SQL = None

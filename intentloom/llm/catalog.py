@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from intentloom.llm import mix, quality
+from intentloom.llm import mix, quality, secrets
 
 QUERIES = {
     "op3_mix": mix.op3_mix,
     "op4_host_quality": quality.op4_host_quality,
+    "op10_secrets": secrets.op10_secrets,
 }
 ORACLE = {
     "op3_mix": mix.OP3_SQL,
