@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from intentloom.llm import mix, quality, secrets
+from intentloom.llm import mix, quality, secrets, token_files
 
 QUERIES = {
     "op3_mix": mix.op3_mix,
     "op4_host_quality": quality.op4_host_quality,
+    "op6_token_files": token_files.op6_token_files,
     "op10_secrets": secrets.op10_secrets,
 }
 ORACLE = {
