@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from intentloom.llm import mix, quality, secrets
+from intentloom.llm import mix, packing, quality, secrets
 from intentloom.session import through_table
 
 
@@ -23,7 +23,12 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mix.mix_documents(docs)
 
 
-STAGES = [("quality rules", good), ("secret scans", without_secrets), ("mixing to target weights", mixed)]
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, each with its sequence and place there."""
+    return packing.packed_documents(docs)
+
+
+STAGES = [("quality rules", good), ("secret scans", without_secrets), ("mixing to target weights", mixed), ("best-fit packing", packed)]
 
 #: Tokens and packing have no SQL form; tests compare the stages with plain Python.
 ORACLE_SQL = None
