@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from intentloom.llm import mix, packing, quality, secrets
+from intentloom.llm import minhash, mix, packing, quality, secrets
 from intentloom.session import through_table
 
 
@@ -13,6 +13,11 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.good_documents(docs)
 
 
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return minhash.distinct_documents(docs)
+
+
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret masked."""
     return secrets.masked_documents(docs)
@@ -28,7 +33,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed_documents(docs)
 
 
-STAGES = [("quality rules", good), ("secret scans", without_secrets), ("mixing to target weights", mixed), ("best-fit packing", packed)]
+STAGES = [("quality rules", good), ("MinHash near-dedup", distinct), ("secret scans", without_secrets), ("mixing to target weights", mixed), ("best-fit packing", packed)]
 
 #: Tokens and packing have no SQL form; tests compare the stages with plain Python.
 ORACLE_SQL = None

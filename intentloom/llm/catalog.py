@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from intentloom.llm import mix, packing, quality, secrets, token_files
+from intentloom.llm import minhash, mix, packing, quality, secrets, token_files
 
 QUERIES = {
     "op3_mix": mix.op3_mix,
     "op4_host_quality": quality.op4_host_quality,
     "op6_token_files": token_files.op6_token_files,
     "op7_pattern_packing": packing.op7_pattern_packing,
+    "op9_minhash": minhash.op9_minhash,
     "op10_secrets": secrets.op10_secrets,
 }
 ORACLE = {
