@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from intentloom.llm import minhash, mix, packing, quality, secrets, token_files
+from intentloom.llm import grid_join, minhash, mix, packing, preferences, pseudonyms, quality, secrets, token_files
 
 QUERIES = {
+    "op1_pseudonyms": pseudonyms.op1_pseudonyms,
+    "op2_preferences": preferences.op2_preferences,
     "op3_mix": mix.op3_mix,
     "op4_host_quality": quality.op4_host_quality,
+    "op5_grid_join": grid_join.op5_grid_join,
     "op6_token_files": token_files.op6_token_files,
     "op7_pattern_packing": packing.op7_pattern_packing,
     "op9_minhash": minhash.op9_minhash,
     "op10_secrets": secrets.op10_secrets,
 }
 ORACLE = {
+    "op2_preferences": preferences.OP2_SQL,
     "op3_mix": mix.OP3_SQL,
     "op4_host_quality": quality.OP4_SQL,
+    "op5_grid_join": grid_join.OP5_SQL,
 }
