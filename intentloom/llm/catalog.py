@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from intentloom.llm import grid_join, minhash, mix, packing, preferences, pseudonyms, quality, secrets, token_files
+from intentloom.llm import grid_join, minhash, mix, packing, preferences, pseudonyms, quality, repeats, secrets, token_files
 
 QUERIES = {
     "op1_pseudonyms": pseudonyms.op1_pseudonyms,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_grid_join": grid_join.op5_grid_join,
     "op6_token_files": token_files.op6_token_files,
     "op7_pattern_packing": packing.op7_pattern_packing,
+    "op8_repeats": repeats.op8_repeats,
     "op9_minhash": minhash.op9_minhash,
     "op10_secrets": secrets.op10_secrets,
 }
