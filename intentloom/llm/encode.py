@@ -2,25 +2,48 @@
 
 The two public tokenizers never join characters across the start of a space that follows a character
 other than white space, so a text is cut there, every distinct word of a batch is encoded once, and the
-ids of a text are its words' ids put together. What is not certain to be cut rightly is encoded whole.
+ids of a text are its words' ids put together. Marks at a word's end are tokens of their own. What is not certain to be cut rightly is encoded whole.
 """
 
 from __future__ import annotations
 
 import os
 import zlib
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
 
-CACHED_WORDS = 400_000  # in one Python worker; then the cache starts anew
+CACHED_WORDS = 250_000  # in one generation of a Python worker's cache
+TAKEN = 1 << 21  # characters that are split at a time
+MARKS = ".,;:!?"
 _ENCODERS: dict[tuple, WordEncoder] = {}
 
 
+class Words(dict):
+    """Ids by word in two generations: a full one grows old, and what is not used again is let go with it."""
+
+    def __init__(self) -> None:
+        self.old: dict[str, bytes] = {}
+
+    def age(self) -> None:
+        if len(self) > CACHED_WORDS:
+            self.old = dict(self)
+            self.clear()
+
+    def recalled(self, words: set[str]) -> set[str]:
+        """Takes over what the old generation knows; returns the rest."""
+        known = words & self.old.keys()
+        self.update((w, self.old[w]) for w in known)
+        return words - known
+
+
 class WordEncoder:
     """``ids(texts)``: the little-endian ids of each text as bytes.
 
-    ``spaced``: a word's ids depend on the space before it (byte-level tokenizers); a word that is
-    empty or ends in white space then makes its text one to be encoded whole.
+    ``spaced``: a word's ids depend on the space before it, and a single line end is a token (byte-level
+    tokenizers); a line or word that is empty or has other white space at an end is never cut off, its
+    text is encoded whole. Otherwise white space only separates words.
     """
 
     def __init__(self, path: str, spaced: bool, width: int = 4) -> None:
@@ -28,35 +51,72 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.spaced, self.kind = spaced, f"<u{width}"
-        self.first: dict[str, bytes | None] = {}
-        self.later: dict[str, bytes | None] = {} if spaced else self.first
+        self.spaced, self.code = spaced, {2: "H", 4: "I"}[width]
+        self.later = Words()
+        self.first = Words() if spaced else self.later
+        self.marks: dict[str, bytes] = {}
+        self.line_end = self._bytes(["\n"])[0] if spaced else b""
 
     def _bytes(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in encoded]
+        return [array(self.code, e.ids).tobytes() for e in encoded]
 
-    def _learn(self, known: dict[str, bytes | None], words: set[str], before: str) -> None:
-        new = [w for w in words if w not in known]
+    def _learn(self, known: Words, words: set[str], before: str) -> None:
+        words = known.recalled(words)
         if self.spaced:
-            known.update((w, None) for w in new if not w or w[-1].isspace())
-            new = [w for w in new if w not in known]
+            words = {w for w in words if w and not w[-1].isspace() and (before or not w[0].isspace())}
+        if not words:
+            return
+        new, ended = [], []
+        for w in words:
+            core = w.rstrip(MARKS)
+            if core != w and core and core[-1].isalnum():  # its marks are a token run of their own
+                ended.append((w, core, w[len(core) :]))
+            else:
+                new.append(w)
+        new += {c for _, c, _ in ended if c not in known and c not in words}
         known.update(zip(new, self._bytes([before + w for w in new])))
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        if len(self.first) + len(self.later) > CACHED_WORDS:
-            self.first.clear()
-            self.later.clear()
-        split = [t.split(" ") for t in texts]
-        self._learn(self.first, {w[0] for w in split}, "")
-        self._learn(self.later, set().union(*(w[1:] for w in split)), " " if self.spaced else "")
-        out = []
-        for text, words in zip(texts, split):
+        marks = {m for _, _, m in ended if m not in self.marks}
+        self.marks.update(zip(marks, self._bytes(list(marks))))
+        for w, core, m in ended:
+            if core not in known:
+                known[core] = self._bytes([before + core])[0]
+            known[w] = known[core] + self.marks[m]
+
+    def ids(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text in order; texts are taken about ``TAKEN`` characters at a time."""
+        lo = hi = size = 0
+        while lo < len(texts):
+            while hi < len(texts) and size < TAKEN:
+                size += len(texts[hi])
+                hi += 1
+            yield from self._some(texts[lo:hi])
+            lo, size = hi, 0
+
+    def _lines(self, text: str) -> list[list[str]]:
+        if self.spaced:
+            return [line.split(" ") for line in text.split("\n")]
+        return [text.replace("\n", " ").split(" ")]
+
+    def _known(self, words: Words, wanted: set[str], before: str) -> dict[str, bytes]:
+        """The wanted words' ids in a table small enough to stay close to the processor; some may be left out."""
+        words.age()
+        self._learn(words, wanted.difference(words), before)
+        return {w: words[w] for w in wanted if w in words}
+
+    def _some(self, texts: list[str]) -> Iterator[bytes]:
+        split = [self._lines(t) for t in texts]
+        wanted: set[str] = set()
+        for lines in split:
+            for words in lines:
+                wanted.update(words[1:])
+        later = self._known(self.later, wanted, " " if self.spaced else "").__getitem__
+        first = self._known(self.first, {words[0] for lines in split for words in lines}, "")
+        for text, lines in zip(texts, split):
             try:
-                out.append(self.first[words[0]] + b"".join(map(self.later.__getitem__, words[1:])))
-            except TypeError:  # a word that can't be cut off
-                out.append(self._bytes([text])[0])
-        return out
+                yield self.line_end.join([first[words[0]] + b"".join(map(later, words[1:])) for words in lines])
+            except KeyError:  # something that can't be cut off
+                yield self._bytes([text])[0]
 
 
 def encoder(path: str, spaced: bool, width: int = 4) -> WordEncoder:
