@@ -14,7 +14,7 @@ from intentloom.session import local_session  # noqa: E402
 
 HEADLINE = """
 load_union schema_violations validate_split split_audit stratified_split few_shot_sample augment_minority_langs
-class_weights_rows perturb_predictions text_lengths length_stats length_histograms top_words class_documents class_tfidf
+class_weights_rows text_lengths length_stats length_histograms top_words class_documents class_tfidf
 class_overlap_pairs tfidf_features text_key_counts text_overview linear_attribution batch_score minmax_scale
 confusion_matrix per_class_report classification_metrics model_comparison validation_gate numeric_drift
 categorical_drift drift_summary alert_check window_summary window_summary_day threshold_alerts feedback_stats

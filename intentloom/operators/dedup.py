@@ -209,7 +209,8 @@ def ttl_dedup(
     """Every request with ``hit``, the id that was computed for it and the payload it is served.
 
     ``overwrite`` names a flag of requests that skip the cache read and always write it. Periods
-    are compared in milliseconds; order within one is by (ts, id); ids are unique, keys not null.
+    are compared in milliseconds; order within one is by (ts, id); ids are unique. A null key
+    matches nothing: its requests are computed each on their own.
     Keys with more than ``hot_rows`` requests go by chunks, and periods of a key with more than
     ``hot_rows`` requests by narrower slots; the result is the same.
     """
@@ -288,10 +289,14 @@ def ttl_dedup(
     slot = W.partitionBy(key, "_period", "_slot").orderBy("us", "id", "is_request")
     upto = slot.rowsBetween(W.unboundedPreceding, W.currentRow)
     served = entries.withColumn("_w", F.last("_write", ignorenulls=True).over(upto))
-    return served.filter("is_request").select(
+    alone = log.filter(F.col(key).isNull()).select(
+        id_col, key, F.lit(False).alias("hit"), F.col(id_col).alias("computed_id"), *payload
+    )
+    served = served.filter("is_request").select(
         F.col("id").alias(id_col),
         key,
         (F.col("_w.id") != F.col("id")).alias("hit"),
         F.col("_w.id").alias("computed_id"),
         *[F.col(f"_w.own.{c}").alias(c) for c in payload],
     )
+    return served.unionByName(alone)

@@ -26,19 +26,21 @@ def numeric_drift(
     cols: Sequence[str],
     p_limit: float = 0.05,
     distance_limit: float = 0.1,
-    small: int = 1_000,
+    rule: str = "distance",
     buckets: int = 256,
 ) -> DataFrame:
     """Per numeric column: Kolmogorov-Smirnov statistic and p-value, Wasserstein-1 / std(reference).
 
-    Drift rule: p < ``p_limit`` up to ``small`` reference rows, normalised distance >=
-    ``distance_limit`` above. Both statistics come from one pass over the distinct values in
-    order, spread over value ranges. With an empty side they are null and nothing drifted.
+    Drift rule, whatever the number of rows: normalised distance >= ``distance_limit``, or with
+    ``rule="p"`` p < ``p_limit``. Both statistics come from one pass over the distinct values in
+    order, spread over value ranges. Null and NaN are no values: ``n_ref`` and ``n_cur`` count the
+    rest. With an empty side the statistics are null and nothing drifted.
     """
     is_ref = F.col("side") == "ref"
+    valued = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols]
+    df = wide = df.select("side", *valued)
     spreads = [F.stddev_pop(F.when(is_ref, F.col(c).cast("double"))) for c in cols]
     cuts, stds = cut_points(df, cols, buckets, spreads)
-    wide = df.select("side", *[F.col(c).cast("double").alias(c) for c in cols])
     for c in cols:
         wide = with_bucket(wide, c, cuts[c], f"_b_{c}")
     entries = [F.struct(F.lit(c).alias("column"), F.col(c).alias("v"), F.col(f"_b_{c}").alias("b")) for c in cols]
@@ -67,7 +69,7 @@ def numeric_drift(
         F.when(lam < 0.04, F.lit(1.0)).when(lam.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2 * series)))
     )
     distance = F.try_divide(F.col("w1"), F.col("std_ref"))
-    drifted = F.when(F.col("n_ref") <= small, F.col("p") < p_limit).otherwise(distance >= distance_limit)
+    drifted = {"p": F.col("p") < p_limit, "distance": distance >= distance_limit}[rule]
     return tested.select(
         "column",
         "n_ref",

@@ -115,7 +115,7 @@ def model_comparison(metrics: DataFrame, model: str = "model") -> DataFrame:
 
 def macro_f1_from_report(report: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
     """Macro F1 recomputed as the mean of per-class F1."""
-    return report.groupBy(*by).agg(F.round(F.avg("f1_score"), 6).alias("f1_macro"))
+    return report.groupBy(*by).agg(F.round(F.avg("f1_score"), 9).alias("f1_macro"))
 
 
 def best_run(runs: DataFrame, run_name: str | None = None) -> DataFrame:

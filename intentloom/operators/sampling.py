@@ -25,19 +25,20 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``split``: per class, exact shares in whole percent, each row in one split.
 
-    The class cuts are two hash values per class; the rows themselves are never shuffled.
+    The class cuts are two hash values per class; the rows themselves are never shuffled. Rows
+    without a label belong to no class and get a null split.
     """
     hashed = df.withColumn("_hash", row_hash(id_col, seed=seed))
     names, upto, targets = list(percent), 0, {}
     for name in names[:-1]:
         upto += percent[name]
         targets[f"_cut_{name}"] = F.floor(F.col("_total") * upto / 100)
-    cuts = hash_cuts(hashed, [label], "_hash", targets)
+    cuts = hash_cuts(hashed.filter(F.col(label).isNotNull()), [label], "_hash", targets)
     joined = hashed.join(broadcast_small(cuts), label, "left")
     split = F.lit(names[-1])
     for name in reversed(names[:-1]):
         split = F.when(F.col("_hash") <= F.col(f"_cut_{name}"), name).otherwise(split)
-    return joined.withColumn("split", split).drop("_hash", *targets)
+    return joined.withColumn("split", F.when(F.col(label).isNotNull(), split)).drop("_hash", *targets)
 
 
 def few_shot_sample(
@@ -126,7 +127,7 @@ def class_weights(
 
     Raises when an ``expected`` class has no rows.
     """
-    counts = class_counts(df, label)
+    counts = class_counts(df.filter(F.col(label).isNotNull()), label)
     if expected is not None:
         present = {r[0] for r in counts.filter(F.col(label).isin(list(expected))).select(label).collect()}
         absent = sorted(set(expected) - present)
@@ -147,9 +148,9 @@ def class_weights(
 
 
 def with_class_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
-    """Every row with the balanced weight of its class."""
+    """Every row with the balanced weight of its class; null where the label is."""
     weights = class_weights(df, label).select(label, F.col("weight").alias(out))
-    return df.join(broadcast_small(weights), label)
+    return df.join(broadcast_small(weights), label, "left")
 
 
 def perturb_predictions(

@@ -45,12 +45,12 @@ def model_logits(
 
 
 def centroid_logits(
-    df: DataFrame, centers: DataFrame, vec: str = "vec", dims: int | None = None, out: str = "logits"
+    df: DataFrame, centers: DataFrame, vec: str = "vec", measure: str = "euclidean", out: str = "logits"
 ) -> DataFrame:
-    """Add minus the squared distance to every class centre, in label order.
+    """Add a closeness to every class centre, in label order.
 
-    The centres (one per class) travel with the function. ``dims`` uses only the first so many
-    elements of the vectors.
+    ``measure``: minus the squared distance (euclidean), minus the sum of absolute differences
+    (manhattan), or the cosine. The centres (one per class) travel with the function.
     """
     rows = centers.orderBy("label").collect()  # one row per class
     if [r["label"] for r in rows] != list(range(len(rows))):
@@ -59,8 +59,10 @@ def centroid_logits(
 
     def make_predict():
         def predict(x: np.ndarray) -> np.ndarray:
-            near = x[:, :dims]
-            return np.stack([-np.square(near - p).sum(axis=1) for p in points[:, :dims]], axis=1)
+            if measure == "cosine":
+                return (x @ points.T) / np.linalg.norm(x, axis=1)[:, None] / np.linalg.norm(points, axis=1)
+            distance = np.square if measure == "euclidean" else np.abs
+            return np.stack([-distance(x - p).sum(axis=1) for p in points], axis=1)
 
         return predict
 

@@ -8,12 +8,10 @@ from intentloom.functions.scale import broadcast_small
 from intentloom.operators import evaluation as e
 from intentloom.operators import scoring as s
 from intentloom.operators.quality import nan_logit_check
-from intentloom.operators.sampling import perturb_predictions
 from intentloom.plans.fixtures import with_views
-from intentloom.plans.sampling import PERTURB_SQL
 from intentloom.sources import tables as t
 
-DIMS = (16, 32, 64)
+MEASURES = ("euclidean", "manhattan", "cosine")
 
 
 def logits(spark, d):
@@ -36,14 +34,12 @@ def eval_pairs(spark, d):
 
 
 def model_pairs(spark, d):
-    """Predictions of three models, from one scan: centres over the first 16, 32 and 64 elements."""
+    """Predictions of three models, from one scan: the nearest centre by three measures."""
     emb = t.embeddings(spark, d)
     centers = broadcast_small(s.centroids(emb))
-    for dims in DIMS:
-        emb = s.centroid_logits(emb, centers, dims=dims, out=f"logits{dims}")
-    calls = [
-        F.struct(F.lit(f"centre{n}").alias("model"), s.argmax(f"logits{n}").alias("predicted_label")) for n in DIMS
-    ]
+    for m in MEASURES:
+        emb = s.centroid_logits(emb, centers, measure=m, out=m)
+    calls = [F.struct(F.lit(m).alias("model"), s.argmax(m).alias("predicted_label")) for m in MEASURES]
     return emb.select("label", F.inline(F.array(*calls)))
 
 
@@ -66,10 +62,10 @@ def confidence_tiers(spark, d):
 
 
 def prediction_summary(spark, d):
-    before = t.predictions(spark, d).select("prediction_id", F.col("predicted_label").alias("was"))
-    after = perturb_predictions(t.predictions(spark, d), t.event_dictionary(spark, d))
-    both = after.join(before, "prediction_id").withColumn("changed", F.col("was") != F.col("predicted_label"))
-    return s.prediction_summary(both, "changed")
+    """Both sides of the log, and how many of their rows are of doubtful confidence."""
+    log = t.ref_cur(spark, d).withColumn("doubtful", F.col("confidence") < 0.5)
+    sides = [s.prediction_summary(log.filter(F.col("side") == x), "doubtful").withColumn("side", F.lit(x)) for x in ("ref", "cur")]
+    return sides[0].unionByName(sides[1])
 
 
 def minmax_scale(spark, d):
@@ -174,9 +170,10 @@ def _metrics_sql(by: str = "") -> str:
 METRICS_SQL = _metrics_sql()
 
 # the same three models from the raw vectors
-MODELS_SQL = """mlogit as (select 'centre' || g.dims as model, e.vec_id, any_value(e.label) as label, t.c,
-      -sum((e.v - t.m) * (e.v - t.m)) as z
-    from emb_long e join centers t using (d) join (values (16), (32), (64)) g(dims) on e.d <= g.dims group by 1, 2, 4),
+MODELS_SQL = """near as (select e.vec_id, any_value(e.label) as label, t.c, -sum((e.v - t.m) * (e.v - t.m)) as euclidean,
+      -sum(abs(e.v - t.m)) as manhattan, sum(e.v * t.m) / sqrt(sum(e.v * e.v)) / sqrt(sum(t.m * t.m)) as cosine
+    from emb_long e join centers t using (d) group by 1, 3),
+  mlogit as (unpivot near on euclidean, manhattan, cosine into name model value z),
   mpairs as (select model, vec_id, any_value(label) as label, arg_min(c, {'a': -z, 'b': c}) as predicted_label
     from mlogit group by 1, 2),
 """
@@ -203,13 +200,11 @@ ORACLE = {
         "predictions",
     ),
     "prediction_summary": with_views(
-        PERTURB_SQL
-        + """select count(*) as rows, round(avg(c.confidence), 6) as mean_confidence, round(min(c.confidence), 6) as min_confidence,
-             count(distinct c.predicted_label) as distinct_labels,
-             count(*) filter (where c.predicted_label <> p.predicted_label) as labels_changed,
-             round(avg((c.predicted_label <> p.predicted_label)::int::double), 6) as changed_share
-           from changed c join predictions p using (prediction_id)""",
-        "predictions",
+        """select side, count(*) as rows, round(avg(confidence), 6) as mean_confidence, round(min(confidence), 6) as min_confidence,
+             count(distinct predicted_label) as distinct_labels, count(*) filter (where confidence < 0.5::double) as labels_changed,
+             round(avg((confidence < 0.5::double)::int::double), 6) as changed_share
+           from ref_cur group by 1""",
+        "ref_cur",
     ),
     "minmax_scale": with_views(
         """x as (select vec_id, d - 1 as pos, (v - min(v) over (partition by vec_id))
@@ -238,7 +233,7 @@ ORACLE = {
         "emb_long", "centers",
     ),
     "macro_f1_from_report": with_views(
-        MODELS_SQL + report_sql("mpairs", "model") + "select model, round(avg(f1_score), 6) as f1_macro from report group by 1",
+        MODELS_SQL + report_sql("mpairs", "model") + "select model, round(avg(f1_score), 9) as f1_macro from report group by 1",
         "emb_long", "centers",
     ),
     "best_run": with_views(

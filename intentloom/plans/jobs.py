@@ -9,6 +9,7 @@ import argparse
 from collections.abc import Callable, Mapping
 
 from pyspark.ml import Model
+from pyspark.ml.classification import OneVsRestModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,9 +67,14 @@ def train(
     return ranked.withColumn("status", status), model, vocab
 
 
+def vector_size(model: Model) -> int:
+    """Number of features a fitted classifier reads; a one-vs-rest model has it in its parts."""
+    return model.models[0].numFeatures if isinstance(model, OneVsRestModel) else model.numFeatures
+
+
 def score(rows: DataFrame, model: Model, vocab: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Score a table of (sample_id, text, ...) with a trained model."""
-    vectors = features.tfidf_vectors(rows, vocab, size=model.numFeatures)
+    vectors = features.tfidf_vectors(rows, vocab, size=vector_size(model))
     return scoring.batch_score(scoring.classifier_logits(model, vectors).drop("features"), dictionary)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from intentloom.functions.scale import exact_percentiles
 from intentloom.functions.text import text_key
 from intentloom.operators import dedup, drift, monitor
 from intentloom.plans.fixtures import with_views
@@ -28,10 +29,21 @@ def categorical_drift(spark, d):
 
 
 def shifted(spark, d):
-    """A current side that did move: errors only against everything, confidences halved."""
-    log = t.ref_cur(spark, d)
-    current = log.filter("side = 'cur' and predicted_label in (1, 2)").withColumn("confidence", F.col("confidence") / 2)
-    return log.filter("side = 'ref'").unionByName(current)
+    """The whole log with a current side that did move: values of all its rows are changed, none is left out."""
+    return moved(t.ref_cur(spark, d), F.col("side") == "cur")
+
+
+def moved(log, rows: Column):
+    """In ``rows``: confidences halved, latencies doubled, clicks called errors and sign-ups purchases."""
+    label = F.when(F.col("predicted_label") == 0, 1).when(F.col("predicted_label") == 3, 2).otherwise(F.col("predicted_label"))
+    name = F.when(F.col("predicted_label") == 0, "error").when(F.col("predicted_label") == 3, "purchase")
+    changed = {
+        "predicted_label": label.cast(dict(log.dtypes)["predicted_label"]),
+        "predicted_label_name": F.coalesce(name, F.col("predicted_label_name")),
+        "confidence": F.col("confidence") / 2,
+        "latency_ms": F.col("latency_ms") * 2,
+    }
+    return log.withColumns({c: F.when(rows, new).otherwise(F.col(c)) for c, new in changed.items()})
 
 
 def summary_of(sides):
@@ -91,14 +103,17 @@ def retention_trim(spark, d):
     return monitor.retention_trim(t.predictions(spark, d)).select("prediction_id", at("ts").alias("ts"), "latency_ms")
 
 
-def threshold_alerts(spark, d):
-    hourly = t.predictions(spark, d).groupBy(F.window("ts", "1 hour")["start"].alias("w")).agg(
-        F.avg("confidence").alias("mean_confidence"),
-        F.avg((F.col("status") >= 400).cast("double")).alias("error_rate"),
-        F.when(F.count(F.lit(1)) > 3, F.max("latency_ms")).alias("latency_p95"),
-        (F.min("confidence") < 0.01).alias("drift_detected"),
+def hourly_metrics(log, name: str, edge: str):
+    """Mean confidence, error rate and exact 95th percentile of the latency for each hour."""
+    hours = log.withColumn(name, F.window("ts", "1 hour")[edge])
+    means = hours.groupBy(name).agg(
+        F.avg("confidence").alias("mean_confidence"), F.avg((F.col("status") >= 400).cast("double")).alias("error_rate")
     )
-    out = monitor.threshold_alerts(hourly, carry=["w"])
+    return means.join(exact_percentiles(hours, [name], "latency_ms", {"latency_p95": 0.95}), name, "left")
+
+
+def threshold_alerts(spark, d):
+    out = monitor.threshold_alerts(hourly_metrics(t.predictions(spark, d), "w", "start"), carry=["w"])
     return out.select(at("w").alias("w"), "type", "severity", F.round("value", 6).alias("value"), "threshold")
 
 
@@ -176,7 +191,10 @@ QUERIES = {
 }
 
 SHIFTED_SQL = """shifted as (select * from ref_cur where side = 'ref'
-    union all select * replace (confidence / 2 as confidence) from ref_cur where side = 'cur' and predicted_label in (1, 2))"""
+    union all select * replace (confidence / 2 as confidence, latency_ms * 2 as latency_ms,
+      case predicted_label when 0 then 1 when 3 then 2 else predicted_label end as predicted_label,
+      case predicted_label when 0 then 'error' when 3 then 'purchase' else predicted_label_name end as predicted_label_name)
+    from ref_cur where side = 'cur')"""
 
 
 def drift_sql(view: str) -> str:
@@ -194,9 +212,7 @@ def drift_sql(view: str) -> str:
       num as (select "column", n_ref, n_cur, round(ks, 6) as ks_statistic, round(case when lam < 0.04 then 1 else
           least(1, greatest(0, 2 * list_sum(list_transform(range(1, 101), lambda j:
             (case when j % 2 = 1 then 1 else -1 end) * exp(-2 * lam * lam * j * j))))) end, 6) as ks_p_value,
-          round(w1 / sd, 6) as wasserstein_norm, case when n_ref <= 1000 then case when lam < 0.04 then 1 else
-          least(1, greatest(0, 2 * list_sum(list_transform(range(1, 101), lambda j:
-            (case when j % 2 = 1 then 1 else -1 end) * exp(-2 * lam * lam * j * j))))) end < 0.05 else w1 / sd >= 0.1 end as drifted from np),
+          round(w1 / sd, 6) as wasserstein_norm, w1 / sd >= 0.1 as drifted from np),
       cl as ({melted_c}),
       cv as (select "column", v, count(*) filter (where side = 'ref') as r, count(*) filter (where side = 'cur') as c from cl group by 1, 2),
       ct as (select "column", sum(r)::bigint as n_ref, sum(c)::bigint as n_cur from cv group by 1),
@@ -315,9 +331,8 @@ ORACLE = {
     ),
     "threshold_alerts": with_views(
         f"""h as (select time_bucket(interval '1 hour', ts) as w, avg(confidence) as c, avg((status >= 400)::int::double) as e,
-              case when count(*) > 3 then max(latency_ms) end as l, min(confidence) < 0.01::double as dd from predictions group by 1),
-          a as (select w, 'drift_detected' as type, 'critical' as severity, 1::double as value, 0::double as threshold from h where dd
-            union all select w, 'confidence_drop', 'warning', c, 0.7::double from h where c < 0.7::double
+              quantile_cont(latency_ms, 0.95) as l from predictions group by 1),
+          a as (select w, 'confidence_drop' as type, 'warning' as severity, c as value, 0.7::double as threshold from h where c < 0.7::double
             union all select w, 'error_rate_spike', 'critical', e, 0.05::double from h where e > 0.05::double
             union all select w, 'latency_spike', 'warning', l, 100 from h where l > 100)
           select strftime(w, '{SECONDS}') as w, type, severity, round(value, 6) as value, threshold from a""",

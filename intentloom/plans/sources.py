@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from intentloom.operators import evaluation, monitor, sampling
 from intentloom.plans.evaluation import eval_pairs, report_sql, METRICS_SQL
 from intentloom.plans.fixtures import with_views
+from intentloom.plans.monitoring import hourly_metrics
 from intentloom.plans.sampling import SPLIT_SQL
 from intentloom.session import scratch_path
 from intentloom.sources import io
@@ -50,17 +51,9 @@ def metrics_json_io(spark, d):
     return io.read_metrics_json(spark, path)
 
 
-def hourly_metrics(log):
-    return log.groupBy(F.window("ts", "1 hour")["end"].alias("window_end")).agg(
-        F.avg("confidence").alias("mean_confidence"),
-        F.avg((F.col("status") >= 400).cast("double")).alias("error_rate"),
-        F.max("latency_ms").alias("latency_p95"),
-    )
-
-
 def alert_sink(spark, d):
     path = scratch_path(spark, "alerts")
-    alerts = monitor.threshold_alerts(hourly_metrics(t.predictions(spark, d)), carry=["window_end"])
+    alerts = monitor.threshold_alerts(hourly_metrics(t.predictions(spark, d), "window_end", "end"), carry=["window_end"])
     io.write_alerts(alerts.withColumnRenamed("window_end", "timestamp"), path)
     return io.read_alerts(spark, path).select(
         "type", "severity", F.round("value", 6).alias("value"), "threshold", "timestamp"
@@ -92,12 +85,9 @@ def audit_rows(spark, d):
 
 def feedback_rows(spark, d):
     path = scratch_path(spark, "feedback")
-    io.write_feedback(t.feedback(spark, d), path)
-    back = spark.read.parquet(path)
-    # a second write of the same requests adds no new id
-    io.write_feedback(t.feedback(spark, d), path)
-    again = spark.read.parquet(path).select("feedback_id").distinct()
-    return back.join(again, "feedback_id").select(
+    for _ in range(2):  # a repeated batch replaces its own rows
+        io.write_feedback(t.feedback(spark, d), path, "1")
+    return spark.read.parquet(path).select(
         "prediction_id",
         F.col("correct_label").cast("long").alias("correct_label"),
         "correct_label_name",
@@ -106,7 +96,7 @@ def feedback_rows(spark, d):
 
 
 HOURLY_SQL = """hourly as (select time_bucket(interval '1 hour', ts) + interval '1 hour' as window_end,
-    avg(confidence) as c, avg((status >= 400)::int::double) as e, max(latency_ms) as l from predictions group by 1)"""
+    avg(confidence) as c, avg((status >= 400)::int::double) as e, quantile_cont(latency_ms, 0.95) as l from predictions group by 1)"""
 
 QUERIES = {
     f.__name__: f

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from intentloom.operators import drift
 from intentloom.plans.fixtures import with_views
-from intentloom.plans.monitoring import SECONDS, at, check_of, keyed, ttl_sql
+from intentloom.plans.monitoring import SECONDS, at, check_of, keyed, moved, ttl_sql
 from intentloom.plans.sources import ORACLE as SOURCE_ORACLE
 from intentloom.session import scratch_path
 from intentloom.sources import io
@@ -94,12 +94,11 @@ def stream_metric_log(spark, d):
 
 
 def stream_monitor(spark, d):
-    """The stream's requests with errors and purchases only, against the first half of the log."""
+    """All requests of the second half of the log as a stream, their values moved, against the first half."""
     cols = ["predicted_label", "predicted_label_name", "method", "endpoint", "confidence", "latency_ms"]
     reference = t.ref_cur(spark, d).filter("side = 'ref'").select(*cols, "side")
     late = F.col("ts") >= F.to_timestamp(F.lit("2024-01-16 00:00:00+00:00"))
-    stream = _requests(spark, d).filter(late & F.col("predicted_label").isin(1, 2))
-    stream = stream.withColumn("confidence", F.col("confidence") / 2).select(*cols)
+    stream = moved(_requests(spark, d).filter(late), F.lit(True)).select(*cols)
 
     def decide(current):
         sides = reference.unionByName(current.withColumn("side", F.lit("cur")))

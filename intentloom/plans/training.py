@@ -28,8 +28,8 @@ def _vectors(spark, d, evaluate_on="test"):
 
 def _estimators(n: int) -> dict:
     return {
-        "tfidf_logreg": tr.logreg(n, max_iter=100),
-        "tfidf_svm": tr.linear_svc(n, max_iter=100),
+        "tfidf_logreg": tr.logreg(n),
+        "tfidf_svm": tr.linear_svc(n),
         "tfidf_forest": tr.random_forest(n, trees=TREES, depth=DEPTH),
     }
 
@@ -49,7 +49,7 @@ def model_sweep(spark, d):
 
 def learning_curve(spark, d):
     train, _, test = _splits(spark, d)
-    return tr.learning_curve(train, test, lambda n: tr.logreg(n, max_iter=50), SHOTS, FEATURES)
+    return tr.learning_curve(train, test, tr.logreg, SHOTS, FEATURES)
 
 
 def param_search(spark, d):
@@ -61,7 +61,7 @@ def batch_score_model(spark, d):
     """Score the test split with a freshly trained model, by its own vocabulary."""
     train, _, test = _splits(spark, d)
     vectors, _, vocab = tr.prepare(train, test, FEATURES)
-    model = tr.logreg(vectors.count(), max_iter=20).fit(vectors)
+    model = tr.logreg(vectors.count()).fit(vectors)
     names = t.samples(spark, d).select("label", "label_name").distinct()
     out = jobs.score(test.select("sample_id", "text", "label"), model, vocab, names)
     return out.select("sample_id", "label", "predicted_label", "predicted_label_name", "confidence", "low_confidence")
@@ -70,7 +70,7 @@ def batch_score_model(spark, d):
 def explain_model(spark, d):
     train, _, test = _splits(spark, d)
     vectors, _, vocab = tr.prepare(train, test, FEATURES)
-    model = tr.logreg(vectors.count(), max_iter=20).fit(vectors)
+    model = tr.logreg(vectors.count()).fit(vectors)
     names = {r["label"]: r["label_name"] for r in t.samples(spark, d).select("label", "label_name").distinct().collect()}
     return jobs.explain_model(test, model, vocab, names)
 

@@ -62,8 +62,14 @@ def write_metrics_json(metrics: DataFrame, path: str) -> None:
 
 
 def read_metrics_json(spark: SparkSession, path: str) -> DataFrame:
-    """Numbers (and flags, as 1 or 0) of a flat JSON object as (metric, value) rows; the rest is dropped."""
-    objects = spark.read.option("multiLine", True).option("singleVariantColumn", "v").json(path)
+    """Numbers (and flags, as 1 or 0) of flat JSON objects as (metric, value) rows; the rest is dropped.
+
+    A file holds one object over several lines, or several, each from a line of its own on.
+    """
+    text = spark.read.text(path, wholetext=True)
+    several = F.concat(F.lit("["), F.regexp_replace("value", r"\}\s*\n\s*\{", "},{"), F.lit("]"))
+    files = text.filter(F.trim("value") != "").select(F.parse_json(several).alias("v"))
+    objects = files.lateralJoin(spark.tvf.variant_explode(F.col("v").outer())).select(F.col("value").alias("v"))
     entries = objects.lateralJoin(spark.tvf.variant_explode(F.col("v").outer())).select("key", "value")
     kind = F.schema_of_variant("value")
     number = F.try_variant_get("value", "$", "double")
@@ -146,5 +152,6 @@ def feedback_rows(requests: DataFrame) -> DataFrame:
     return requests.select(F.substring(F.sha2(key, 256), 1, 32).alias("feedback_id"), *parts)
 
 
-def write_feedback(requests: DataFrame, path: str) -> None:
-    feedback_rows(requests).write.mode("append").parquet(path)
+def write_feedback(requests: DataFrame, path: str, batch: str) -> None:
+    """One folder for each batch: a repeated write of a batch replaces its rows."""
+    feedback_rows(requests).write.mode("overwrite").parquet(f"{path}/batch={batch}")

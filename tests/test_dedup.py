@@ -91,3 +91,14 @@ def test_period_does_not_slide(spark):
     df = spark.createDataFrame(rows, SCHEMA.replace("timestamp_ntz", "string")).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     hits = {r["prediction_id"]: r["hit"] for r in dedup.ttl_dedup(df).collect()}
     assert hits == {0: False, 1: True, 2: True, 3: False, 4: True, 5: False}
+
+
+def test_requests_without_a_key_stand_alone(spark):
+    from intentloom.operators.dedup import ttl_dedup
+
+    rows = [(1, None, "2024-01-01 00:00:00"), (2, None, "2024-01-01 00:00:01"), (3, "a", "2024-01-01 00:00:00"), (4, "a", "2024-01-01 00:00:01")]
+    log = spark.createDataFrame(rows, "prediction_id long, text_key string, ts string").selectExpr(
+        "prediction_id", "text_key", "cast(ts as timestamp) ts", "cast(prediction_id as int) predicted_label", "0.5D confidence"
+    )
+    got = {r["prediction_id"]: (r["hit"], r["computed_id"], r["predicted_label"]) for r in ttl_dedup(log).collect()}
+    assert got == {1: (False, 1, 1), 2: (False, 2, 2), 3: (False, 3, 3), 4: (True, 3, 3)}

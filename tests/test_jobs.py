@@ -79,3 +79,14 @@ def test_monitor_job(spark, tmp_path):
 def test_label_names(spark):
     assert len(LABEL_NAMES) == len(set(LABEL_NAMES)) == 77
     assert label_dictionary(spark).filter("label = 11").first()["label_name"] == "card_arrival"
+
+
+@pytest.mark.parametrize("make", [training.linear_svc, lambda n: training.random_forest(n, trees=10, depth=5)])
+def test_every_kind_of_model_scores(spark, raw, tmp_path, make):
+    splits = str(tmp_path / "splits")
+    jobs.prepare(spark, str(raw / "first"), str(raw / "second"), splits)
+    _, model, vocab = jobs.train(spark, splits, str(tmp_path / "out"), lambda n: {"model": make(n)}, max_features=100)
+    test = io.read_splits(spark, splits, ["test"]).select("sample_id", "text", "label")
+    names = spark.createDataFrame([(0, "a"), (1, "b")], "label int, label_name string")
+    scored = jobs.score(test, model, vocab, names)
+    assert scored.count() == 90 and scored.filter("label = predicted_label").count() >= 80

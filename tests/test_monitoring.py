@@ -146,3 +146,18 @@ def test_feedback_stats(spark):
     assert [(r["label"], r["label_name"], r["count"]) for r in rows] == [(2, "class_2", 3), (1, "one", 2), (3, "class_3", 1)]
     assert rows[0]["total_corrections"] == 6
     assert monitor.feedback_stats(df.limit(0)).isEmpty()
+
+
+@pytest.mark.parametrize("rows", [1_000, 1_001])
+def test_the_drift_rule_does_not_depend_on_the_number_of_rows(spark, rows):
+    ref = [float(i % 100) for i in range(rows)]
+    moved = sides(spark, ref, [v + 2 for v in ref])
+    assert not drift.numeric_drift(moved, ["x"]).first()["drifted"]
+    assert drift.numeric_drift(sides(spark, ref, [v + 35 for v in ref]), ["x"]).first()["drifted"]
+    assert not drift.numeric_drift(moved, ["x"], rule="p").first()["drifted"]
+
+
+def test_nan_is_no_value(spark):
+    values = [float(i % 37) for i in range(200)]
+    row = drift.numeric_drift(sides(spark, values, [*values, float("nan"), None]), ["x"]).first()
+    assert (row["n_ref"], row["n_cur"], row["wasserstein_norm"], row["drifted"]) == (200, 200, 0.0, False)

@@ -121,3 +121,13 @@ def test_perturb_bounds(spark):
     moved = [r for r in rows if r["predicted_label"] != r["prediction_id"] % 5]
     assert 0 < len(moved) <= 40
     assert all(abs(r["predicted_label"] - r["prediction_id"] % 5) == 1 for r in moved)
+
+
+def test_rows_without_a_label(spark):
+    df = spark.createDataFrame([(i, None if i % 5 == 0 else i % 2) for i in range(100)], "sample_id long, label int")
+    split = s.stratified_split(df)
+    assert split.count() == 100 and split.filter("label is null and split is null").count() == 20
+    assert {r["split"]: r["count"] for r in split.filter("label = 0").groupBy("split").count().collect()} == {"train": 28, "val": 6, "test": 6}
+    weighted = s.with_class_weights(df).collect()
+    assert len(weighted) == 100
+    assert all(r["weight"] == (None if r["label"] is None else 1.0) for r in weighted)

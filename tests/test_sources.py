@@ -85,3 +85,20 @@ def test_feedback_id_is_stable(spark):
     first = [r["feedback_id"] for r in io.feedback_rows(requests).collect()]
     assert first == [r["feedback_id"] for r in io.feedback_rows(requests).collect()]
     assert len(set(first)) == 2 and all(len(x) == 32 for x in first)
+
+
+def test_metrics_of_several_rows(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    rows = spark.createDataFrame([(0.5, 1), (0.25, 2), (0.75, 3)], "f1 double, n int").coalesce(1)
+    io.write_metrics_json(rows, path)
+    got = sorted((r["metric"], r["value"]) for r in io.read_metrics_json(spark, path).collect())
+    assert got == [("f1", 0.25), ("f1", 0.5), ("f1", 0.75), ("n", 1.0), ("n", 2.0), ("n", 3.0)]
+
+
+def test_a_repeated_feedback_batch_adds_no_rows(spark, tmp_path):
+    path = str(tmp_path / "feedback")
+    schema = "prediction_id long, correct_label int, correct_label_name string, comment string, created_at string"
+    first = spark.createDataFrame([(1, 2, "a", None, "x"), (2, 3, None, "c", "y")], schema)
+    for batch, rows in (("1", first), ("1", first), ("2", first.limit(1))):
+        io.write_feedback(rows, path, batch)
+    assert spark.read.parquet(path).count() == 3
