@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from intentloom.functions.scale import broadcast_small
 from intentloom.operators import drift, evaluation, explain, features, quality, sampling, scoring, training
-from intentloom.session import through_table
+from intentloom.session import drop_scratch, through_table
 from intentloom.sources import io
 
 
@@ -131,6 +131,7 @@ def main() -> None:
     spark = SparkSession.builder.appName(f"intentloom-{job}").getOrCreate()
     result = {"prepare": prepare, "train": train, "monitor": monitor}[job](spark, **args)
     (result[0] if job == "train" else result).show(truncate=False)
+    drop_scratch(spark)
 
 
 if __name__ == "__main__":

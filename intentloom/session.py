@@ -18,6 +18,7 @@ SESSION_CONF = {
 
 
 _OWN_DIR: dict[str, str] = {}
+_MADE: list[str] = []
 
 
 def local_session(cores: str = "8", memory: str = "8g") -> SparkSession:
@@ -49,8 +50,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh sub-folder of the shared folder."""
-    return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A fresh sub-folder of the shared folder; ``drop_scratch`` deletes it."""
+    _MADE.append(f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables made so far. For a job's end: frames that read them are done then."""
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def through_table(df: DataFrame, purpose: str, schema: StructType | None = None) -> DataFrame:

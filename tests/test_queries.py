@@ -7,8 +7,6 @@ from check_oracle import compare, connect
 
 import __spark_entry__ as entry
 
-SLOW = {"model_sweep", "learning_curve", "param_search", "train_linear_svc", "train_random_forest"}
-
 
 @pytest.fixture(scope="module")
 def duck(sf_dir):

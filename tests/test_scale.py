@@ -79,3 +79,14 @@ def test_broadcast_small_checks_the_size(spark):
 def test_hash_unit_range(spark):
     stats = spark.range(5_000).select(hash_unit(row_hash("id")).alias("u")).agg(F.min("u"), F.max("u"), F.avg("u")).first()
     assert 0 <= stats[0] and stats[1] < 1 and abs(stats[2] - 0.5) < 0.02
+
+
+def test_intermediate_tables_are_deleted(spark, monkeypatch, tmp_path):
+    from intentloom import session
+
+    monkeypatch.setattr(session, "_MADE", [])
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    kept = session.through_table(spark.range(3), "numbers")
+    assert kept.count() == 3 and len(list(tmp_path.iterdir())) == 1
+    session.drop_scratch(spark)
+    assert list(tmp_path.iterdir()) == [] and session._MADE == []
