@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Sequence
 from functools import reduce
 
@@ -81,6 +82,27 @@ def components(edges: DataFrame) -> DataFrame:
     return now.unionByName(roots).select(F.col("x").alias("node"), F.col("y").alias("root"))
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``through_table``, then let go of shuffles that no frame refers to any more.
+
+    Spark deletes the files of a shuffle when the driver collects the objects that stand for it, which
+    on a roomy driver may never happen while a query of many steps runs.
+    """
+    out = through_table(df, purpose)
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that no later step reads."""
+    for table in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            spark = table.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 

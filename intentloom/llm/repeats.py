@@ -32,9 +32,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intentloom.llm.blocks import whole_units
-from intentloom.llm.common import read, union_all
+from intentloom.llm.common import discard, read, stored, union_all
 from intentloom.llm.shingles import mixed
-from intentloom.session import through_table
 
 SPAN = 400
 GRAM = 128
@@ -235,49 +234,63 @@ def scanned(pieces: DataFrame) -> DataFrame:
     return dealt.mapInArrow(scan, "key long, sub long, lo int, hi int")
 
 
+def shared_anchors(found: DataFrame) -> DataFrame:
+    """The anchors whose gram comes twice or more; most grams come once and go no further."""
+    several = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    out = stored(found.join(stored(several, "shared-grams"), "gram"), "shared-anchors")
+    discard(found)
+    return out
+
+
 def covered_starts(found: DataFrame, rows: DataFrame) -> DataFrame:
     """(gram, context, lo, hi): an anchor at ``at`` with this context has repeated strings from at - hi to at - lo."""
     spot = F.min(F.struct("row", "at")).alias("spot")
     kinds = found.groupBy("gram", "context").agg(
         F.count(F.lit(1)).alias("n"), spot, F.first("before").alias("before"), F.first("after").alias("after")
     )
-    kinds = through_table(kinds, "contexts")
+    kinds = stored(kinds, "contexts")
     low = F.greatest(SPAN - F.col("after"), F.lit(0))
-    parts = [kinds.filter((F.col("n") > 1) & (low <= F.col("before"))).select("gram", "context", low.alias("lo"), F.col("before").alias("hi"))]
-    several = through_table(kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "grams")
+    copies = kinds.filter((F.col("n") > 1) & (low <= F.col("before")))
+    parts = [stored(copies.select("gram", "context", low.alias("lo"), F.col("before").alias("hi")), "copied-starts")]
+    several = stored(kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "grams")
     wanted = kinds.join(several, "gram").select("gram", "context", "spot.row", "spot.at", "members")
     pieces = contexts(wanted.select("gram", "context", "row", "at"), rows).join(several.withColumnRenamed("gram", "key"), "key")
-    pieces = through_table(pieces, "pieces")
+    pieces = stored(pieces, "pieces")
     whole = ["gram", "context", "lo", "hi"]
+    discard(kinds)
     done = scanned(pieces.filter(F.col("members") <= MEMBERS))
-    parts.append(done.select(F.col("key").alias("gram"), F.col("sub").alias("context"), "lo", "hi"))
+    done = done.select(F.col("key").alias("gram"), F.col("sub").alias("context"), "lo", "hi")
+    parts.append(stored(done, "scanned-starts"))
     crowded = pieces.filter(F.col("members") > MEMBERS)
     while not crowded.isEmpty():
-        smaller = through_table(split(crowded.drop("members")), "parts")
+        smaller = stored(split(crowded.drop("members")), "parts")
+        discard(crowded)
         same = smaller.groupBy("key", "sub").agg(
             F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("gram", "context", "a0", "a1", "o", "ctx")]
         )
-        same = through_table(same, "distinct-parts")
+        same = stored(same, "distinct-parts")
         low = F.greatest(SPAN - (F.length("ctx") - F.col("o")), F.col("a0"))
         high = F.least(F.col("o"), F.col("a1"))
         shared = same.filter("n > 1").select("key", "sub", low.alias("lo"), high.alias("hi"))
-        several = through_table(same.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "cores")
-        left = through_table(same.drop("n").join(several, "key"), "pieces")
-        shared = through_table(shared.unionByName(scanned(left.filter(F.col("members") <= MEMBERS))), "shared")
-        parts.append(smaller.select("key", "sub", "gram", "context").join(shared, ["key", "sub"]).select(*whole).distinct())
+        several = stored(same.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "cores")
+        left = stored(same.drop("n").join(several, "key"), "pieces")
+        shared = stored(shared.unionByName(scanned(left.filter(F.col("members") <= MEMBERS))), "shared")
+        told = smaller.select("key", "sub", "gram", "context").join(shared, ["key", "sub"])
+        parts.append(stored(told.select(*whole).distinct(), "part-starts"))
+        discard(smaller, same)
         # of equal parts one goes on as a partner; all of them have their starts already
         crowded = left.filter(F.col("members") > MEMBERS)
-    return through_table(union_all(parts).filter("lo <= hi").distinct(), "starts")
+    return stored(union_all(parts).filter("lo <= hi").distinct(), "starts")
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, spans): the byte ranges of every document that repeats of ``SPAN`` bytes or more cover."""
     rows = documents(docs, id_col, text_col)
-    found = through_table(occurrences(rows), "anchors")
+    found = shared_anchors(stored(occurrences(rows), "anchors"))
     starts = covered_starts(found, rows)
     hits = found.select("row", "gram", "context", "at").join(starts, ["gram", "context"])
     span = F.struct((F.col("at") - F.col("hi")).alias("start"), (F.col("at") - F.col("lo") + SPAN).alias("end"))
-    spans = through_table(hits.groupBy("row").agg(F.collect_set(span).alias("spans")), "spans")
+    spans = stored(hits.groupBy("row").agg(F.collect_set(span).alias("spans")), "spans")
     return rows.join(spans, "row", "left").select("doc_id", "text", F.sort_array("spans").alias("spans"))
 
 
