@@ -33,7 +33,13 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed_documents(docs)
 
 
-STAGES = [("quality rules", good), ("MinHash near-dedup", distinct), ("secret scans", without_secrets), ("mixing to target weights", mixed), ("best-fit packing", packed)]
+STAGES = [
+    ("quality rules", good),
+    ("MinHash near-dedup", distinct),
+    ("secret scans", without_secrets),
+    ("mixing to target weights", mixed),
+    ("best-fit packing", packed),
+]
 
 #: Tokens and packing have no SQL form; tests compare the stages with plain Python.
 ORACLE_SQL = None
