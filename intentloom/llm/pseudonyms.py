@@ -1,12 +1,19 @@
 """Format-preserving Feistel pseudonyms for personal numbers, dates and mail names.
 
-One pass finds candidates; each is validated (Luhn, mod 97, calendar, octets, numbering plan) and turned
-into a vector of small numbers with a radix each: digits, letters, octets, a day's place in its century.
+The text is cut where a candidate may start. From each such place every kind and every end is tried until
+one is valid (Luhn, mod 97, calendar, octets, numbering plan); after a valid one the search goes on behind
+it, otherwise at the next place. A valid candidate is turned into a vector of small numbers with a radix
+each: digits, letters, octets, a day's place in its century.
 A keyed Feistel network permutes the vectors of one kind and shape: the halves take turns in being added,
 modulo their radices, to a hash of the other half. So the result is a valid value of the same format,
 different values stay different, and equal values, in whatever punctuation, stay linked across
 documents. Check digits are computed anew. Only DataFrame functions are used.
 
+An IBAN has its country's length, and any length only if its country is unknown or nothing follows it. A
+card next to other numbers is looked for in groups of four or more digits, the last of any length, with one
+kind of separator; other groupings are tried once for a stretch of numbers, at its longest, and only if no
+other value starts inside. Of several valid ends the longest is taken.
+
 Defined results: null text stays null; candidates that fail their check stay as they are; repeated rows
 are treated each on their own and alike; an empty table gives no rows; the caller's columns travel in one
 struct, so no name of theirs can clash.
@@ -31,7 +38,18 @@ SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 NATIONAL = r"(?:\+?1[\x20.-]?)?(?:\([2-9][0-9]{2}\)[\x20.-]?|[2-9][0-9]{2}[\x20.-])[2-9][0-9]{2}[\x20.-]?[0-9]{4}"
 ABROAD = r"\+[1-9](?:[\x20.-]?\(?[0-9]\)?){7,14}"
 CARD = r"[0-9](?:[\x20-]?[0-9]){12,18}"
-FOUND = rf"(?<![A-Za-z0-9._%+-]){EMAIL}|(?<![A-Za-z0-9.])(?:{IBAN}|{DATE}|{IP}|{SSN}|{CARD}|{NATIONAL}|{ABROAD})(?![A-Za-z0-9])"
+GROUPED = r"[0-9]{4,}(?:([\x20-])(?:[0-9]{4,}\1)*[0-9]+)?"
+END = "(?![A-Za-z0-9])"
+MAIL = rf"(?<![A-Za-z0-9._%+-]){EMAIL}"
+START = rf"(?<![A-Za-z0-9._%+-])(?={EMAIL})|(?<![A-Za-z0-9.])(?=(?:{IBAN}|{DATE}|{IP}|{SSN}|{CARD}|{NATIONAL}|{ABROAD}){END})"
+REACH = 80  # no candidate but a mail address is as long; pieces between starts have two characters, but for one at a +
+IBAN_LENGTHS = {
+    k[:2]: int(k[2:])
+    for k in """AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29
+    ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32
+    LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22
+    RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30""".split()
+}
 
 
 def _let(value: Column, body) -> Column:
@@ -283,21 +301,152 @@ def pseudonym(m: Column, key: str) -> Column:
     )
 
 
+def _ends(m: Column, separator: str) -> Column:
+    """``m``, then what is left of it when its groups are taken off one by one from the end."""
+    return _let(
+        F.split(m, f"(?={separator})", -1),
+        lambda g: F.transform(F.sequence(F.size(g), F.lit(1), F.lit(-1)), lambda i: F.array_join(F.slice(g, F.lit(1), i), "")),
+    )
+
+
+def _ibans(m: Column) -> Column:
+    lengths = F.str_to_map(F.lit(",".join(f"{k}:{n}" for k, n in IBAN_LENGTHS.items())))
+
+    def admitted(length: Column) -> Column:
+        def size(x: Column) -> Column:
+            return F.length(F.replace(x, F.lit(" "), F.lit("")))
+
+        fits = F.filter(_ends(m, r"\x20"), lambda x: F.when(length.isNull(), size(x) >= 15).otherwise(size(x) == length))
+        return F.when(length.isNull(), fits).otherwise(F.concat(fits, F.array(m)))
+
+    return F.when(m != "", _let(F.try_element_at(lengths, F.substring(m, 1, 2)).cast("int"), admitted)).otherwise(F.array().cast("array<string>"))
+
+
+def _cards(m: Column) -> Column:
+    return F.filter(_ends(m, r"[\x20-]"), lambda x: x.rlike(f"^{GROUPED}$") & (F.length(F.regexp_replace(x, "[^0-9]", "")) >= 13))
+
+
+def _values(text: Column, key: str) -> Column:
+    """The valid candidates at the start of ``text``, the first to be preferred: struct(m, any, kind, value).
+
+    ``any`` marks a card in any grouping; that one is there whether it is valid or not.
+    """
+
+    def first(p: str) -> Column:
+        return F.regexp_extract(text, f"^(?:{p}){END}", 0)
+
+    def listed(card_: Column) -> Column:
+        strict = F.concat(
+            _let(first(IBAN), _ibans), F.array(*[first(p) for p in (DATE, IP, SSN, NATIONAL)]), _cards(card_), F.array(first(ABROAD))
+        )
+        marked = F.transform(strict, lambda m: F.struct(m.alias("m"), F.lit(False).alias("any")))
+        return F.filter(F.array_append(marked, F.struct(card_.alias("m"), F.lit(True).alias("any"))), lambda c: c["m"] != "")
+
+    def valued(c: Column) -> Column:
+        return _let(pseudonym(c["m"], key), lambda v: F.struct(c["m"].alias("m"), c["any"].alias("any"), v["kind"].alias("kind"), v["value"].alias("value")))
+
+    return F.filter(F.transform(_let(first(CARD), listed), valued), lambda c: c["any"] | c["value"].isNotNull())
+
+
+def _tried(pieces: Column, key: str) -> Column:
+    """Of each piece struct(p, hit, loose): itself, its preferred value and the card of any grouping at its start."""
+    heads = F.transform(pieces, lambda p: F.left(p, F.lit(REACH)))
+
+    def values(h: Column) -> Column:
+        return F.transform(h, lambda _, i: _values(F.left(F.array_join(F.slice(h, i + 1, F.lit(REACH // 2 + 1)), ""), F.lit(REACH)), key))
+
+    return F.zip_with(
+        pieces,
+        _let(heads, values),
+        lambda p, v: F.struct(
+            p.alias("p"), F.get(F.filter(v, lambda c: ~c["any"]), F.lit(0)).alias("hit"), F.get(F.filter(v, lambda c: c["any"]), F.lit(0)).alias("loose")
+        ),
+    )
+
+
+def _alone(tried: Column) -> Column:
+    """``tried`` with ``alone``: no other value starts inside the card of any grouping."""
+
+    def inside(c: Column, i: Column) -> Column:
+        start = F.struct(F.length(c["p"]).alias("at"), F.lit(False).alias("met"))
+        return F.aggregate(
+            F.slice(tried, i + 2, F.lit(REACH // 4)),
+            start,
+            lambda s, x: F.struct(
+                (s["at"] + F.length(x["p"])).alias("at"), (s["met"] | ((s["at"] < F.length(c["loose"]["m"])) & x["hit"].isNotNull())).alias("met")
+            ),
+            lambda s: s["met"],
+        )
+
+    return F.transform(
+        tried,
+        lambda c, i: F.struct(
+            *[c[k].alias(k) for k in ("p", "hit", "loose")], F.when(c["loose"]["value"].isNotNull(), ~inside(c, i)).otherwise(False).alias("alone")
+        ),
+    )
+
+
+def _mails(mails: Column, gaps: Column, key: str) -> Column:
+    """struct(at, m, kind, value) of each mail address."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<at:int,m:string,kind:string,value:string>>").alias("out"))
+
+    def step(s: Column, x: Column) -> Column:
+        at = s["at"] + F.length(x["gap"])
+        mail = F.struct(at.alias("at"), x["m"].alias("m"), F.lit("email").alias("kind"), email(x["m"], key).alias("value"))
+        return F.struct((at + F.length(x["m"])).alias("at"), F.array_append(s["out"], mail).alias("out"))
+
+    pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(mails)), mails, lambda g, m: F.struct(g.alias("gap"), m.alias("m")))
+    return F.aggregate(pairs, start, step, lambda s: s["out"])
+
+
+def _woven(tried: Column, mails: Column) -> Column:
+    """struct(out, kinds): the new pieces and the kinds of the replaced values, taken from left to right."""
+    none = F.array().cast("array<string>")
+    start = F.struct(*[F.lit(0).alias(k) for k in ("at", "until", "loose", "mail")], none.alias("out"), none.alias("kinds"))
+
+    def step(s: Column, c: Column) -> Column:
+        free = s["at"] >= s["until"]
+        mail = F.get(mails, s["mail"])
+        is_mail = F.coalesce(mail["at"] == s["at"], F.lit(False))
+        tries = free & (s["at"] >= s["loose"]) & c["loose"].isNotNull()
+
+        def pick(x: Column) -> Column:
+            return F.struct(x["m"].alias("m"), x["kind"].alias("kind"), x["value"].alias("value"))
+
+        def after(v: Column) -> Column:
+            taken = v["value"].isNotNull()
+            until = F.when(taken, s["at"] + F.length(v["m"])).otherwise(s["until"])
+            rest = F.substr(c["p"], F.greatest(until - s["at"], F.lit(0)) + 1)
+            return F.struct(
+                (s["at"] + F.length(c["p"])).alias("at"),
+                until.alias("until"),
+                F.when(tries & ~taken, s["at"] + F.length(c["loose"]["m"])).otherwise(s["loose"]).alias("loose"),
+                (s["mail"] + is_mail.cast("int")).alias("mail"),
+                F.array_append(s["out"], F.concat(F.coalesce(v["value"], F.lit("")), rest)).alias("out"),
+                F.when(taken, F.array_append(s["kinds"], v["kind"])).otherwise(s["kinds"]).alias("kinds"),
+            )
+
+        hit = F.when(free & is_mail, pick(mail)).when(free & c["hit"].isNotNull(), pick(c["hit"])).when(tries & c["alone"], pick(c["loose"]))
+        return _let(hit, after)
+
+    return F.aggregate(tried, start, step, lambda s: F.struct(F.array_join(s["out"], "").alias("text"), s["kinds"].alias("kinds")))
+
+
 def pseudonymised(docs: DataFrame, key: str = KEY, text_col: str = "text") -> DataFrame:
     """``doc`` (the whole row), the new ``text``, and ``kinds``, one entry for each value replaced."""
     t = F.col("t")
+    none = F.array().cast("array<string>")
     rows = docs.select(F.struct("*").alias("doc"), F.col(text_col).alias("t"))
-    some = t.rlike("[0-9@]") & t.rlike(FOUND)
+    some, mail = t.rlike("[0-9@]") & t.rlike(START), t.contains("@")
     rows = rows.select(
-        "doc", "t", F.when(some, F.regexp_extract_all(t, F.lit(FOUND), F.lit(0))).alias("found"), F.when(some, F.split(t, FOUND, -1)).alias("between")
+        "doc", "t", F.when(some, F.split(t, START, -1)).alias("pieces"),
+        F.when(some & mail, F.regexp_extract_all(t, F.lit(MAIL), F.lit(0))).otherwise(none).alias("mails"),
+        F.when(some & mail, F.split(t, MAIL, -1)).otherwise(none).alias("gaps"),
     )
-    rows = rows.select("doc", "t", "found", "between", F.transform("found", lambda m: pseudonym(m, key)).alias("new"))
-    told = F.zip_with("found", "new", lambda m, n: F.coalesce(n["value"], m))
-    woven = F.array_join(F.flatten(F.zip_with("between", told, lambda b, m: F.array(b, F.coalesce(m, F.lit(""))))), "")
-    kinds = F.filter(F.transform("new", lambda n: n["kind"]), lambda k: k.isNotNull())
-    return rows.select(
-        "doc", F.when(F.col("found").isNull(), t).otherwise(woven).alias("text"), F.coalesce(kinds, F.array().cast("array<string>")).alias("kinds")
-    )
+    rows = rows.select("doc", "t", _tried(F.col("pieces"), key).alias("tried"), _mails(F.col("mails"), F.col("gaps"), key).alias("mails"))
+    rows = rows.select("doc", "t", _alone(F.col("tried")).alias("tried"), "mails")
+    rows = rows.select("doc", "t", _woven(F.col("tried"), F.col("mails")).alias("new"))
+    return rows.select("doc", F.when(F.col("new").isNull(), t).otherwise(F.col("new.text")).alias("text"), F.coalesce("new.kinds", none).alias("kinds"))
 
 
 def op1_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:

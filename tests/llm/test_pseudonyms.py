@@ -93,6 +93,26 @@ def test_values_equal_plain_python(spark):
         assert made(spark, [f"é {v} end" for v in values]) == [f"é {plain(v)} end" for v in values]
 
 
+def test_values_next_to_other_numbers_change(spark):
+    card, phones, ibans = "4111 1111 1111 1111", ["212-555-0123", "646-555-0199"], ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"]
+    alone = dict(zip([*phones, *ibans], made(spark, [*phones, *ibans])))
+    alone[card] = plain_card(card)
+    assert all(v != m for v, m in alone.items())
+    texts = [
+        f"{card} 124", f"{card} 12/26", f"No 12 {card}", f"{card} {card}", f"{card}-7", f"4111111111111112 {card}", f"{phones[0]} {phones[1]}",
+        f"{phones[0]} 1234", f"1235 {phones[0]}", f"{ibans[0]} EUR 500", f"{ibans[0]} {ibans[1]} 7", f"AB12 {ibans[1]} USD", f"{card} {phones[1]} {ibans[0]}",
+        f"7 x-{card}@mail.org", f"123-45-678 {phones[0]}",
+    ]
+    for text, new in zip(texts, made(spark, texts)):
+        want = text
+        for v, m in alone.items():
+            want = want.replace(v, m) if "@" not in text else want
+        if "@" in text:
+            assert "4111 1111 1111" not in new and new.endswith("@mail.org"), (text, new)
+        else:
+            assert new == want, (text, new)
+
+
 def test_equal_values_stay_linked_and_others_apart(spark):
     a, b, c, d = made(spark, ["x +1 (383) 555-6083", "y 383-555-6083 z", "383.555.6084", "+1 (383) 555-6083, +1 (383) 555-6083"])
     assert re.sub(r"\D", "", a)[1:] == re.sub(r"\D", "", b) != re.sub(r"\D", "", c)
