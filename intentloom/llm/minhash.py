@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intentloom.llm.blocks import lagged, linked
-from intentloom.llm.common import read
+from intentloom.llm.common import WORD, read
 from intentloom.llm.shingles import mixed, set_key, shingle_set
 from intentloom.session import through_table
 
@@ -115,8 +115,11 @@ def similar(units: np.ndarray, table: pa.Table) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate([*i, np.zeros(0, int)]), np.concatenate([*j, np.zeros(0, int)])
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, row, n_shingles, component_id, kept) for every row of ``docs``."""
+def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, row, n_shingles, component_id, component) for every row of ``docs``.
+
+    ``component`` tells components apart that have no id; it is null where the set is empty.
+    """
     rows = through_table(shingled(docs, id_col, text_col), "shingled")
     sets = rows.filter("key is not null").groupBy(F.col("key").alias("node"))
     one = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("one")
@@ -134,21 +137,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     ids = nodes.select("node", "doc_id")
     least = same.join(ids, "node").groupBy("root").agg(F.min("doc_id").alias("least"))
-    least = through_table(same.join(least, "root").select("node", "least"), "least")
+    least = through_table(same.join(least, "root").select("node", "root", "least"), "least")
     ids = ids.join(least.withColumn("linked", F.lit(True)), "node", "left")
-    ids = ids.select(F.col("node").alias("key"), F.when(F.col("linked"), F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+    ids = ids.select(
+        F.col("node").alias("key"),
+        F.when(F.col("linked"), F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.coalesce("root", "node").alias("component"),
+    )
     known = rows.select("doc_id", "row", "n", "key").join(through_table(ids, "component-ids"), "key", "left")
-    component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    known = known.select("doc_id", "row", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    component_id = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return known.select("doc_id", "row", F.col("n").alias("n_shingles"), component_id.alias("component_id"), "component")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, row, n_shingles, component_id, kept) for every row of ``docs``."""
+    known = grouped(docs, id_col, text_col).drop("component")
     return known.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each component, with the columns of ``docs``."""
-    out = near_duplicates(docs, id_col, text_col).filter(~F.col("kept")).select(F.col("row").alias("gone")).distinct()
-    packed = docs.select(F.struct("*").alias("doc"), same_row(id_col, text_col).alias("row"))
-    out = through_table(out, "duplicates")
-    return packed.join(out, F.col("row") == F.col("gone"), "left_anti").select("doc.*")
+    """Exactly one row of each component, with the columns of ``docs``, and all rows without words.
+
+    The row of the smallest id stays, null last; of rows with that id the one of the smallest hash of id and
+    text, and of rows equal in both the one of the smallest hash of all columns. Equal rows are reduced to
+    one before they are shuffled, so a hot group costs a row per task.
+    """
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("least")
+    stays = grouped(docs, id_col, text_col).filter("component is not null").groupBy("component").agg(least)
+    stays = through_table(stays.select("least.row"), "kept-rows")
+    packed = docs.select(F.struct("*").alias("doc"), same_row(id_col, text_col).alias("row"), F.coalesce(F.col(text_col).rlike(WORD), F.lit(False)).alias("words"))
+    single = packed.filter("words").groupBy("row").agg(F.min_by("doc", F.xxhash64("doc")).alias("doc"))
+    single = single.join(stays, "row", "left_semi")
+    return single.select("doc").unionAll(packed.filter(~F.col("words")).select("doc")).select("doc.*")
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

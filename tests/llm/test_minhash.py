@@ -94,6 +94,21 @@ def test_planted_groups_equal_brute_force(spark, tmp_path):
     assert sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in stay.collect()) == want
 
 
+def test_one_row_of_each_component_stays(spark):
+    rng = random.Random(3)
+    a, b, c, d = (" ".join(prose(rng, 60)) for _ in range(4))
+    near = a.split(" ")
+    near[0] = "changed"
+    rows = [(5, a)] * 40 + [(5, a.upper()), (5, " ".join(near)), (7, a), (None, a)] + [(None, b)] * 30 + [(None, c), (None, c + "\n")] + [(9, d), (1, ""), (1, ""), (None, None)]
+    df = spark.createDataFrame([(i, t, "en", f"s{k % 3}", k) for k, (i, t) in enumerate(rows)], SCHEMA).repartition(5)
+    stay = minhash.distinct_documents(df)
+    assert stay.schema == df.schema
+    got = collections.Counter((r["doc_id"], (r["text"] or "").lower().strip().split(" ")[-1]) for r in stay.collect())
+    last = [x.split(" ")[-1] for x in (a, b, c, d)]
+    assert got == {(5, last[0]): 1, (None, last[1]): 1, (None, last[2]): 1, (9, last[3]): 1, (1, ""): 2, (None, ""): 1}
+    assert sorted(map(str, stay.collect())) == sorted(map(str, minhash.distinct_documents(df.repartition(3)).collect()))
+
+
 def test_given_documents_equal_brute_force(spark, sf_dir):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     got = minhash.op9_minhash(spark, sf_dir).collect()
