@@ -2,9 +2,9 @@
 
 The patterns give labelled strings: their matches are random, the other identifiers of the same rows are
 ordinary. First-order models of both, over character classes, are fitted on a bounded sample of rows
-(``TRAIN_DOCS``, chosen by a hash of the id); a long token is added as a secret when the mean
-log-likelihood ratio per step is above ``MIN_RATIO`` and it does not touch a pattern's span. Everything
-is DataFrame functions: matches come from ``regexp_extract_all``, their places from the lengths of the
+(``TRAIN_DOCS``, chosen by a hash of the id). A long token is cut at the patterns' spans, and each part
+left that is still long is added as a secret when its mean log-likelihood ratio per step is above
+``MIN_RATIO``. Everything is DataFrame functions: matches come from ``regexp_extract_all``, their places from the lengths of the
 pieces that ``split`` leaves between them, and a score is one fold over a token's characters.
 
 Spans count code points from 0, end exclusive. Defined results: a null or empty text has no spans;
@@ -30,7 +30,8 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"  # AKIA[A-Z0-9]+ of 20 characters or more
 HEX = r"[0-9a-f]{24,}"  # [0-9a-f]+ of 24 characters or more
 
 KINDS = ("assign", "access", "hex", "random")
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+LONG = 20
+TOKEN = rf"[A-Za-z0-9+/_=-]{{{LONG},}}"
 IDENTIFIER = r"[A-Za-z0-9+/_=-]{6,}"
 CLASSES = 54  # 26 small letters, 26 capitals, digits, the rest
 TRAIN_DOCS = 20_000
@@ -122,6 +123,23 @@ def _places(found: str, pieces: str, kind: int, keep: str) -> Column:
     )
 
 
+def _parts(found: str, places: str, base: str) -> Column:
+    """struct(start, end, token) of what the spans of ``base`` (sorted) leave of each token, where it is long."""
+    none = "cast(array() as array<struct<start: int, end: int, token: string>>)"
+
+    def added(end: str) -> str:
+        cut = f"substring(get({found}, i), acc.at - s.start + 1, {end} - acc.at)"
+        return f"if({end} - acc.at >= {LONG}, array_append(acc.out, named_struct('start', acc.at, 'end', {end}, 'token', {cut})), acc.out)"
+
+    return F.expr(
+        f"""flatten(transform({places}, (s, i) -> aggregate(
+            filter({base}, b -> b.start < s.end and s.start < b.end),
+            named_struct('at', s.start, 'out', {none}),
+            (acc, b) -> named_struct('at', greatest(acc.at, b.end), 'out', {added("b.start")}),
+            acc -> {added("s.end")})))"""
+    )
+
+
 def scan(docs: DataFrame, ratio: MarkovRatio, text_col: str = "text") -> DataFrame:
     """``doc`` (the whole row), ``t`` (its text), and the sorted spans: ``base`` of the patterns, ``spans`` of all."""
     rows = docs.select(F.struct("*").alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
@@ -144,10 +162,11 @@ def scan(docs: DataFrame, ratio: MarkovRatio, text_col: str = "text") -> DataFra
             _places("m1", "p1", 1, "true"),
             _places("m2", "p2", 2, "true"),
         )).alias("base"),
-        F.when(F.col("m3").isNotNull(), F.transform("m3", ratio.mean)).alias("score"), "m3", "p3",
+        _places("m3", "p3", 3, "true").alias("tokens"), "m3",
     )
-    rows = rows.select("doc", "t", "base", _places("m3", "p3", 3, f"get(score, i) > {MIN_RATIO}").alias("more"))
-    added = F.expr("filter(more, s -> not exists(base, b -> b.start < s.end and s.start < b.end))")
+    rows = rows.select("doc", "t", "base", _parts("m3", "tokens", "base").alias("parts"))
+    random = F.filter("parts", lambda p: ratio.mean(p["token"]) > MIN_RATIO)
+    added = F.transform(random, lambda p: F.struct(p["start"].alias("start"), F.lit(3).alias("k"), p["end"].alias("end")))
     return rows.select("doc", "t", "base", F.array_sort(F.concat("base", added)).alias("spans"))
 
 
