@@ -10,7 +10,7 @@ from intentloom.plans import jobs
 from intentloom.sources import tables as t
 
 FEATURES = tr.features.MAX_FEATURES
-TREES, DEPTH = 200, 10
+TREES = 200
 SHOTS = tr.SHOT_COUNTS
 TRIALS = tr.N_TRIALS
 
@@ -30,7 +30,7 @@ def _estimators(n: int) -> dict:
     return {
         "tfidf_logreg": tr.logreg(n),
         "tfidf_svm": tr.linear_svc(n),
-        "tfidf_forest": tr.random_forest(n, trees=TREES, depth=DEPTH),
+        "tfidf_forest": tr.random_forest(n, trees=TREES),
     }
 
 

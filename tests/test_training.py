@@ -5,6 +5,7 @@ from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import functions as F
 
 from intentloom.operators import explain, training
+from intentloom.plans import training as plans
 
 
 @pytest.fixture(scope="module")
@@ -64,3 +65,9 @@ def test_attribution_of_fitted_models(vectors):
     forest, _ = training.train_and_evaluate("rf", training.random_forest(train.count(), trees=3, depth=3), train, test)
     with pytest.raises(TypeError):
         explain.coefficient_table(forest, vocab)
+
+
+def test_fits_are_not_cut_short(spark):
+    forest = plans._estimators(100)["tfidf_forest"]
+    assert forest.getMaxDepth() == 30 and forest.getNumTrees() == 200
+    assert {p["max_iter"] for p in training.draw_trials(50)} == {training.logreg(100).getMaxIter()}
