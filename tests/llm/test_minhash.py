@@ -20,8 +20,8 @@ def shingle_set(text):
     return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4)))
 
 
-def brute(rows):
-    """doc_id -> (n_shingles, component) by comparing all pairs of distinct sets that share a shingle."""
+def brute_groups(rows):
+    """(doc_id, n_shingles, component id, component) by comparing all pairs of sets that share a shingle."""
     sets = [shingle_set(t) for _, t in rows]
     up = list(range(len(rows)))
 
@@ -48,7 +48,18 @@ def brute(rows):
     for i, (doc, _) in enumerate(rows):
         if doc is not None:
             least[root(i)] = min(doc, least.get(root(i), doc))
-    return [(doc, len(sets[i]), least.get(root(i))) for i, (doc, _) in enumerate(rows)]
+    return [(doc, len(sets[i]), least.get(root(i)), root(i)) for i, (doc, _) in enumerate(rows)]
+
+
+def brute(rows):
+    return [x[:3] for x in brute_groups(rows)]
+
+
+def staying(rows):
+    """Ids of the rows that stay: the least of each component, and of every row without words."""
+    found = brute_groups(rows)
+    least = {at: c for _, n, c, at in found if n}
+    return [*least.values(), *[doc for doc, n, _, _ in found if not n]]
 
 
 def prose(rng, n, words=4000):
@@ -90,7 +101,7 @@ def test_planted_groups_equal_brute_force(spark, tmp_path):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
     stay = minhash.distinct_documents(df.selectExpr("*", "1 as row", "2 as gone", "3 as doc"))
     assert stay.columns[-3:] == ["row", "gone", "doc"]
-    want = sorted(-1 if d is None else d for d, _, c in brute(rows) if d == c)
+    want = sorted(-1 if d is None else d for d in staying(rows))
     assert sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in stay.collect()) == want
 
 
