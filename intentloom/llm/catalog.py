@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from intentloom.llm import grid_join, minhash, mix, packing, preferences, pseudonyms, quality, repeats, secrets, token_files
+from intentloom.llm import (
+    fill_middle,
+    grid_join,
+    importance,
+    minhash,
+    mix,
+    packing,
+    prefix_bpe,
+    preferences,
+    pseudonyms,
+    quality,
+    repeats,
+    secrets,
+    token_files,
+)
 
 QUERIES = {
     "op1_pseudonyms": pseudonyms.op1_pseudonyms,
@@ -15,10 +29,15 @@ QUERIES = {
     "op8_repeats": repeats.op8_repeats,
     "op9_minhash": minhash.op9_minhash,
     "op10_secrets": secrets.op10_secrets,
+    "op11_prefix_bpe": prefix_bpe.op11_prefix_bpe,
+    "op12_fill_middle": fill_middle.op12_fill_middle,
+    "op13_importance": importance.op13_importance,
 }
 ORACLE = {
     "op2_preferences": preferences.OP2_SQL,
     "op3_mix": mix.OP3_SQL,
     "op4_host_quality": quality.OP4_SQL,
     "op5_grid_join": grid_join.OP5_SQL,
+    "op12_fill_middle": fill_middle.OP12_SQL,
+    "op13_importance": importance.OP13_SQL,
 }

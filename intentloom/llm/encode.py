@@ -13,6 +13,7 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 CACHED_WORDS = 250_000  # in one generation of a Python worker's cache
 TAKEN = 1 << 21  # characters that are split at a time
@@ -132,5 +133,23 @@ def texts_of(column) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of a batch's texts, one after the other, and where each starts and ends; null is empty."""
+    column = column.cast(pa.large_binary()).fill_null(b"")
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(lo, hi, bytes, offsets) of runs of texts of about ``TAKEN`` bytes; a longer text comes by itself."""
+    lo = 0
+    while lo < len(offsets) - 1:
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + TAKEN, "right")) - 1)
+        yield lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+        lo = hi
+
+
 def crc32_of(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
