@@ -152,15 +152,17 @@ def running_counts(df: DataFrame, keys: Sequence[str], bucket: str, value: str,
 
 
 def exact_percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], buckets: int = 256
+    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], buckets: int = 256, weight: str | None = None
 ) -> DataFrame:
     """Exact percentiles with linear interpolation, one row per group.
 
     Equal to the built-in ``percentile``, whose buffer holds every distinct value of a group in
-    one task; here the group is spread over value ranges.
+    one task; here the group is spread over value ranges. ``weight`` names a column that tells
+    how often a row's value counts.
     """
     keys = list(keys)
-    rows = df.select(*keys, F.col(value).cast("double").alias("_v"), F.lit(1).cast("long").alias("n"))
+    times = F.col(weight) if weight else F.lit(1)
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v"), times.cast("long").alias("n"))
     rows = rows.filter("_v is not null")
     cuts = cut_points(rows, ["_v"], buckets)[0]["_v"]
     ranked = running_counts(with_bucket(rows, "_v", cuts, "_b"), keys, "_b", "_v", ["n"])

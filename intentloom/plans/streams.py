@@ -8,7 +8,7 @@ from intentloom.operators import drift
 from intentloom.plans.fixtures import with_views
 from intentloom.plans.monitoring import SECONDS, at, check_of, keyed, moved, ttl_sql
 from intentloom.plans.sources import ORACLE as SOURCE_ORACLE
-from intentloom.session import scratch_path
+from intentloom.session import scratch_path, through_table
 from intentloom.sources import io
 from intentloom.sources import tables as t
 from intentloom.streaming import jobs, windows
@@ -40,28 +40,52 @@ def _utc(c):
     return at(io.utc_clock(c))
 
 
+def _shown(metrics):
+    """Window metrics as the checks read them."""
+    numbers = ("latency_mean", "latency_p50", "latency_p95", "mean_confidence", "confidence_min", "error_rate", "throughput_per_sec")
+    return metrics.select("window", _utc("window_start").alias("window_start"), "count", *[F.round(c, 6).alias(c) for c in numbers])
+
+
 def stream_window_metrics(spark, d):
-    """Closed windows of one minute, five minutes and one hour (the longer ones sliding)."""
-    whole = None
-    for name, size, slide in (("1min", 60, 60), ("5min", 300, 60), ("1hour", 3600, 600)):
-        out = _to_table(spark, windows.window_metrics(_requests(spark, d), size, slide, DELAY), "windows")
-        part = out.select(
-            F.lit(name).alias("window"),
-            _utc("window_start").alias("window_start"),
-            "count",
-            *[F.round(c, 6).alias(c) for c in ("latency_mean", "latency_p50", "latency_p95", "mean_confidence", "confidence_min", "throughput_per_sec")],
-        )
-        whole = part if whole is None else whole.unionByName(part)
-    return whole
+    """Closed windows of one minute, five minutes and one hour (the longer ones sliding), from one stream."""
+    folder = scratch_path(spark, "windows")
+    run_all(windows.stream_windows(_requests(spark, d), folder, scratch_path(spark, "checkpoint"), delay=DELAY))
+    return _shown(windows.read_windows(spark, folder))
 
 
 def stream_alerts(spark, d):
-    path, checkpoint = scratch_path(spark, "alerts"), scratch_path(spark, "checkpoint")
-    metrics = windows.window_metrics(_requests(spark, d), 3600, 3600, DELAY)
-    run_all(windows.stream_alerts(metrics, path, checkpoint))
+    path, folder, checkpoint = (scratch_path(spark, p) for p in ("alerts", "windows", "checkpoint"))
+    run_all(windows.stream_alerts(_requests(spark, d), path, folder, checkpoint, {"1hour": (3600, 3600)}, DELAY))
     return io.read_alerts(spark, path).select("type", "severity", F.round("value", 6).alias("value"), "threshold")
 
 
+def _arrivals(spark, d, parts: int = 4):
+    """The events with the batch they arrive in: quarters of their time, every seventh a quarter too late."""
+    events = t.read_table(spark, d, "events").withColumn("us", t.micros("ts"))
+    span = events.agg(F.min("us").alias("lo"), F.max("us").alias("hi"))
+    share = (F.col("us") - span.select("lo").scalar()) / (span.select("hi").scalar() - span.select("lo").scalar() + 1)
+    return events.withColumn("arrival", F.floor(share * parts) + (F.col("event_id") % 7 == 0).cast("int")).drop("us")
+
+
+def _late_stream(spark, d):
+    """Folder of window tables after all arrivals were streamed, one trigger for each."""
+    files, folder, checkpoint = (scratch_path(spark, p) for p in ("arrivals", "windows", "checkpoint"))
+    arrivals = through_table(_arrivals(spark, d), "arrivals")
+    for k in range(5):
+        arrivals.filter(F.col("arrival") == k).drop("arrival").write.mode("append").parquet(files)
+        run_all(windows.stream_windows(event_stream(spark, files), folder, checkpoint, delay=DELAY))
+    return folder
+
+
+def stream_late_rows(spark, d):
+    """Where every row went when a seventh of them arrives too late: closed minutes, open ones, the ledger."""
+    folder = _late_stream(spark, d)
+    parts = {"closed": windows.read_minutes, "open": windows.read_open, "late": windows.read_late}
+    tables = [read(spark, folder).select(F.lit(name).alias("found_in"), "minute", "n") for name, read in parts.items()]
+    whole = tables[0].unionByName(tables[1]).unionByName(tables[2])
+    return whole.groupBy("found_in", _utc(F.timestamp_seconds("minute")).alias("minute")).agg(F.sum("n").alias("n"))
+
+
 def stream_ttl(spark, d):
     use_rocksdb(spark)
     stream = keyed(_requests(spark, d))
@@ -115,6 +139,7 @@ def stream_monitor(spark, d):
 QUERIES = {
     "stream_window_metrics": stream_window_metrics,
     "stream_alerts": stream_alerts,
+    "stream_late_rows": stream_late_rows,
     "stream_ttl_dedup": stream_ttl,
     "stream_ttl_batches": stream_ttl_by_batch,
     "stream_logs": stream_logs,
@@ -123,8 +148,8 @@ QUERIES = {
 }
 
 CLOSED = f"(select max(ts) - interval '{DELAY} seconds' from predictions)"
-_METRICS = """count(*) as count, avg(latency_ms) as latency_mean, quantile_disc(latency_ms, 0.5) as latency_p50,
-    quantile_disc(latency_ms, 0.95) as latency_p95, avg(confidence) as mean_confidence, min(confidence) as confidence_min,
+_METRICS = """count(*) as count, avg(latency_ms) as latency_mean, quantile_cont(latency_ms, 0.5) as latency_p50,
+    quantile_cont(latency_ms, 0.95) as latency_p95, avg(confidence) as mean_confidence, min(confidence) as confidence_min,
     avg((status >= 400)::int::double) as error_rate"""
 
 
@@ -136,8 +161,9 @@ def _windows_sql() -> str:
               from predictions cross join (select unnest(range(0, {size // slide})) as k) group by 2"""
         )
     return f"""m as ({' union all '.join(parts)})
-      select "window", strftime(w, '{SECONDS}') as window_start, count, round(latency_mean, 6) as latency_mean, latency_p50, latency_p95,
-        round(mean_confidence, 6) as mean_confidence, round(confidence_min, 6) as confidence_min, round(count::double / size, 6) as throughput_per_sec
+      select "window", strftime(w, '{SECONDS}') as window_start, count, round(latency_mean, 6) as latency_mean, round(latency_p50, 6) as latency_p50,
+        round(latency_p95, 6) as latency_p95, round(mean_confidence, 6) as mean_confidence, round(confidence_min, 6) as confidence_min,
+        round(error_rate, 6) as error_rate, round(count::double / size, 6) as throughput_per_sec
       from m where w + to_seconds(size) <= {CLOSED}"""
 
 
@@ -154,6 +180,17 @@ ORACLE = {
           select type, severity, round(value, 6) as value, threshold from a""",
         "predictions",
     ),
+    "stream_late_rows": with_views(
+        f"""s as (select min(epoch_us(ts)) as lo, max(epoch_us(ts)) as hi from predictions),
+          a as (select epoch_us(ts) // 60000000 * 60 as minute, epoch_us(ts) // 1000000 as sec,
+              floor((epoch_us(ts) - lo)::double / (hi - lo + 1) * 4)::int + (prediction_id % 7 = 0)::int as k from predictions, s),
+          top as (select k, max(max(sec)) over (order by k) - {DELAY} as mark from a group by k),
+          f as (select case when minute + 60 <= lag_mark then 'late' when minute + 60 <= (select max(mark) from top) then 'closed'
+              else 'open' end as found_in, minute
+            from a left join (select k + 1 as k, mark as lag_mark from top) using (k))
+          select found_in, strftime(to_timestamp(minute) at time zone 'UTC', '{SECONDS}') as minute, count(*) as n from f group by 1, 2""",
+        "predictions",
+    ),
     "stream_ttl_dedup": with_views(ttl_sql("false"), "predictions"),
     "stream_ttl_batches": with_views(ttl_sql("false"), "predictions"),
     "stream_logs": with_views(

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import collections
 import json
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,18 +41,91 @@ def stream_of(spark, folder):
     return event_stream(spark, folder, max_files=1)
 
 
-@pytest.mark.parametrize("size, slide", [(60, 60), (3600, 600)])
-def test_windows_equal_batch(spark, sf_dir, event_files, tmp_path, size, slide):
-    got = drain(spark, windows.window_metrics(stream_of(spark, event_files), size, slide, 600), tmp_path)
-    batch = t.predictions(spark, sf_dir).withColumn("ts", F.timestamp_micros(t.micros("ts")))
-    last = batch.agg(F.max("ts")).first()[0]
-    want = (
-        batch.groupBy(F.window("ts", f"{size} seconds", f"{slide} seconds").alias("w"))
-        .agg(F.count(F.lit(1)).alias("n"), F.avg("latency_ms").alias("m"))
-        .filter(F.col("w.end") <= F.lit(last) - F.expr("interval 600 seconds"))
-    )
-    expected = {r["w"]["start"]: (r["n"], pytest.approx(r["m"])) for r in want.collect()}
-    assert {r["window_start"]: (r["count"], r["latency_mean"]) for r in got.collect()} == expected
+def expected_windows(rows, size, slide, mark):
+    """{start: (count, mean, p50, p95)} of the windows that end by ``mark``, with numpy."""
+    found = collections.defaultdict(list)
+    for sec, latency in rows:
+        start = sec - sec % 60 - (sec - sec % 60) % slide
+        while start + size > sec - sec % 60:
+            found[start].append(latency)
+            start -= slide
+    out = {}
+    for start, values in found.items():
+        known = [v for v in values if v is not None]
+        if start + size <= mark:
+            spots = (np.mean(known), *np.percentile(known, [50, 95])) if known else (None, None, None)
+            out[start] = (len(values), *(None if x is None else pytest.approx(x) for x in spots))
+    return out
+
+
+def check_windows(spark, folder, rows, mark):
+    got = windows.read_windows(spark, folder).withColumn("sec", F.unix_seconds("window_start")).collect()
+    assert len(got) == len({(r["window"], r["sec"]) for r in got})  # each once
+    for name, (size, slide) in windows.WINDOWS.items():
+        mine = {r["sec"]: (r["count"], r["latency_mean"], r["latency_p50"], r["latency_p95"]) for r in got if r["window"] == name}
+        assert mine == expected_windows(rows, size, slide, mark), name
+
+
+def test_windows_equal_numpy(spark, sf_dir, event_files, tmp_path):
+    folder = str(tmp_path / "windows")
+    run_all(windows.stream_windows(stream_of(spark, event_files), folder, str(tmp_path / "checkpoint")))
+    log = t.predictions(spark, sf_dir).select(F.floor(t.micros("ts") / 1_000_000), "latency_ms").collect()
+    rows = [(int(sec), latency) for sec, latency in log]
+    check_windows(spark, folder, rows, max(sec for sec, _ in rows) - 600)
+    # what is carried along is the longest window and what is still open, not the whole stream
+    kept = spark.read.parquet(f"{folder}/kept").groupBy("batch").agg(F.min("minute"), F.max("minute")).orderBy("batch").collect()
+    assert [r["batch"] for r in kept] == [2, 3]
+    marks = {r["batch"]: r["mark"] for r in spark.read.parquet(f"{folder}/marks").collect()}
+    assert kept[1][1] >= marks[2] - 3600
+
+
+def out_of_order(spark):
+    """Four batches of (sec, latency, confidence, status): disorder, rows far behind, rows without time or latency."""
+    rng, base, out = random.Random(3), 1_704_067_200, []
+    for b in range(4):
+        rows = [(base + 1800 * b + rng.randrange(2400), rng.choice([None, 1.0, 2.5, rng.random() * 300])) for _ in range(400)]
+        rows += [(base + rng.randrange(1800), 7.0) for _ in range(60)] + [(None, 1.0)] * 3
+        out.append(rows)
+    return out
+
+
+def as_batch(spark, rows):
+    made = [(sec, latency, 0.5, None if i % 9 == 0 else 200 + i % 2 * 300) for i, (sec, latency) in enumerate(rows)]
+    df = spark.createDataFrame(made, "sec long, latency_ms double, confidence double, status int")
+    return df.withColumn("ts", F.timestamp_seconds("sec"))
+
+
+def test_every_row_is_in_a_minute_or_in_the_ledger(spark, tmp_path):
+    folder, batches = str(tmp_path), out_of_order(spark)
+    for k in (0, 1, 1, 2, 3, 3):  # two batches are tried again
+        windows.write_window_batch(as_batch(spark, batches[k]), k, folder, windows.WINDOWS, 600)
+    mark, on_time, late = None, [], []
+    for rows in batches:
+        for sec, latency in rows:
+            behind = sec is None or (mark is not None and sec - sec % 60 + 60 <= mark)
+            (late if behind else on_time).append((sec, latency))
+        mark = max([sec for sec, _ in rows if sec is not None] + ([mark + 600] if mark is not None else [])) - 600
+    assert len(late) > 150
+    total = lambda df: df.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    closed, still_open, ledger = (read(spark, folder) for read in (windows.read_minutes, windows.read_open, windows.read_late))
+    assert total(ledger) == len(late)
+    assert total(closed) + total(still_open) + total(ledger) == sum(map(len, batches))
+    assert closed.select("minute").distinct().count() == closed.select("minute", "batch").distinct().count()  # written once
+    check_windows(spark, folder, on_time, mark)
+
+
+def test_batches_without_rows_or_times(spark, tmp_path):
+    folder, none = str(tmp_path), as_batch(spark, [(1_704_067_200, 1.0)]).limit(0)
+    for k, batch in enumerate([none, as_batch(spark, [(None, 1.0)]), none, as_batch(spark, [(1_704_067_200 + s, 1.0) for s in (0, 2000)]), none]):
+        windows.write_window_batch(batch, k, folder, windows.WINDOWS, 600)
+    assert windows.read_late(spark, folder).count() == 1
+    assert windows.read_minutes(spark, folder).count() == windows.read_open(spark, folder).count() == 1
+    assert windows.read_windows(spark, folder).filter("window = '1min'").count() == 1
+
+
+def test_windows_need_whole_minutes(spark):
+    with pytest.raises(ValueError, match="odd"):
+        windows.window_metrics(spark.createDataFrame([], windows.COUNTS), {"odd": (90, 30)})
 
 
 def test_ttl_stream_equals_batch(spark, sf_dir, event_files, tmp_path):
