@@ -2,32 +2,40 @@
 
 Per key, the first request is computed and cached; requests within ``ttl`` of that computation
 are served from it; the first request after that is computed again. The period does not slide.
-Each computation thus depends on the one before it. For ordinary keys that chain is one fold over
-the key's instants. A hot key may hold a third of all rows, so its time line is cut into chunks:
+Each computation thus depends on the one before it.
+
+*Ordinary keys* are sorted together, many keys to a partition, and read as a stream of Arrow batches. Inside
+a batch every request has a successor, the request computed next if this one is; the computed ones are
+those reached from the first of each key, ranked by doubling the successor arrays. The open period of the last
+key is carried into the next batch, so a task holds one batch, and time grows with the rows alone.
+
+*Hot keys* may hold a third of all rows. Their time line is cut into chunks:
 each chunk is reduced to a table "earliest allowed time in -> earliest allowed time out", tables
 are composed level by level up to the whole time line, and the true entry times are handed back
-down. No task ever sees more than a few chunks of a key, and a chunk holds at most one row per
-millisecond.
+down. A chunk holds at most one row per millisecond. Their requests then meet the computations in sorted
+slots of equal row counts, however many fall in one period or one millisecond: a slot takes the last
+computation before each request from its own rows, or from the slots before it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from intentloom.functions.scale import broadcast_small
-from intentloom.functions.text import let
 from intentloom.session import through_table
 from intentloom.sources.tables import MICROS, micros
 
 TTL_SECONDS = 3600
-HOT_ROWS = 20_000
-MAX_PARTS = 36_000  # slots of a period: a tenth of a second each at the usual ttl
+HOT_ROWS = 200_000
+SLOT_ROWS = 500_000  # entries of hot keys that one task sorts
 FAN_IN = 4
 CHUNK_PERIODS = 4  # least length of a chunk, in periods of the ttl
 NEVER, ALWAYS = np.iinfo(np.int64).max, np.iinfo(np.int64).min
@@ -146,50 +154,142 @@ def _hot_misses(instants: DataFrame, most_chunks: int, ttl: int) -> DataFrame:
     return instants.join(entries, ["k", "chunk"]).groupBy("k", "chunk").applyInPandas(walk, "k long, t long")
 
 
-def _fold_misses(instants: DataFrame, key: str, ttl: int) -> DataFrame:
-    """(key, head) of the computed instants of ordinary keys: one ordered fold per key.
+# --- ordinary keys: a stream of batches sorted by key and time ---------------------------------------
+
 
-    The fold's state is the list of positions computed so far; an overwrite inside a period is on
-    that list but is no miss.
+def computed_in(run: np.ndarray, t: np.ndarray, forced: np.ndarray, allowed: int, ttl: int) -> np.ndarray:
+    """Which requests are computed, several keys one after the other.
+
+    ``run`` numbers the keys from 0, ``t`` rises within a key; key 0 was last computed such that it may be
+    again from ``allowed`` on.
     """
+    n = len(t)
+    span = int(t.max()) - int(t.min()) + ttl + 1
+    if n > 1 and (int(run[-1]) + 1) * span >= 1 << 62:  # places would not fit a number: take the halves
+        first = computed_in(run[: n // 2], t[: n // 2], forced[: n // 2], allowed, ttl)
+        rest, done = run[n // 2 :], np.flatnonzero(first)
+        if run[n // 2 - 1] != rest[0]:
+            allowed = ALWAYS
+        elif len(done) and run[done[-1]] == rest[0]:
+            allowed = int(t[done[-1]]) + ttl
+        return np.concatenate([first, computed_in(rest - rest[0], t[n // 2 :], forced[n // 2 :], allowed, ttl)])
+    place = run * span + (t - t.min())  # rises over all keys
+    end = np.searchsorted(run, run, side="right")
+    upcoming = np.minimum.accumulate(np.where(forced, np.arange(n), n)[::-1])[::-1]
+    following = np.minimum(np.searchsorted(place, place + ttl, side="left"), np.append(upcoming, n)[1:])
+    following = np.append(np.where(following < end, following, n), n)  # n: no more of this key
+    heads = np.flatnonzero(np.diff(run, prepend=-1))
+    able = forced[: end[0]] | (t[: end[0]] >= allowed)
+    heads[0] = int(np.argmax(able)) if able.any() else n
+    done = np.zeros(n + 1, bool)
+    done[heads] = True
+    while True:
+        reached = following[np.flatnonzero(done)]
+        if done[reached].all():
+            return done[:n]
+        done[reached] = True
+        following = following[following]
+
+
+class _Served:
+    """Requests of sorted batches with the computation each is served from; the last one is carried on."""
+
+    def __init__(self, ttl: int) -> None:
+        self.ttl = ttl
+        self.key, self.allowed = None, int(ALWAYS)
+        self.last: pa.RecordBatch | None = None  # the row that was computed last
+
+    def batch(self, rows: pa.RecordBatch) -> pa.RecordBatch:
+        """``rows`` has key, t, forced, id, payload; returns key, id, hit, computed_id, payload."""
+        keys = rows.column(0)
+        change = np.ones(len(keys), bool)
+        if len(keys) > 1:
+            change[1:] = ~np.asarray(pa.compute.equal(keys.slice(1), keys.slice(0, len(keys) - 1)))
+        run = np.cumsum(change) - 1
+        goes_on = self.last is not None and keys[0].as_py() == self.key
+        t, forced = np.asarray(rows.column(1)), np.asarray(rows.column(2)).astype(bool)
+        done = computed_in(run, t, forced, self.allowed if goes_on else int(ALWAYS), self.ttl)
+        # what serves each row: the last computed row before it, or the carried one, put in front
+        source = np.maximum.accumulate(np.where(done, np.arange(len(t)), -1))
+        both = rows if self.last is None else pa.concat_batches([self.last, rows])
+        source = source + (0 if self.last is None else 1)
+        by = both.take(pa.array(source))
+        out = pa.RecordBatch.from_arrays(
+            [keys, rows.column(3), pa.array(~done), by.column(3), by.column(4)], ["key", "id", "hit", "computed_id", "own"]
+        )
+        self.last = both.slice(int(source[-1]), 1)
+        self.key, self.allowed = keys[-1].as_py(), int(self.last.column(1)[0].as_py()) + self.ttl
+        return out
+
+
+def _serve_ordinary(rows: DataFrame, ttl: int) -> DataFrame:
+    """(key, id, hit, computed_id, own) of requests (key, us, t, forced, id, own)."""
 
-    def heads(rows: Column) -> Column:
-        def step(done: Column, i: Column) -> Column:
-            last = F.get(rows, F.get(done, F.size(done) - 1))
-            write = F.coalesce(F.get(rows, i)["t"] >= last["t"] + ttl, F.lit(True)) | F.get(rows, i)["forced"]
-            return F.when(write, F.concat(done, F.array(i))).otherwise(done)
+    def serve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = _Served(ttl)
+        for batch in batches:
+            if len(batch):
+                yield state.batch(batch)
 
-        positions = F.sequence(F.lit(0), F.size(rows) - 1)
+    types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    schema = f"key {types['key']}, id {types['id']}, hit boolean, computed_id {types['id']}, own {types['own']}"
+    ordered = rows.repartition("key").sortWithinPartitions("key", "us", "id")
+    return ordered.select("key", "t", "forced", "id", "own").mapInArrow(serve, schema)
 
-        def misses(done: Column) -> Column:
-            late = F.filter(
-                done,
-                lambda p, j: F.coalesce(F.get(rows, p)["t"] >= F.get(rows, F.get(done, j - 1))["t"] + ttl, F.lit(True)),
-            )
-            return F.transform(late, lambda p: F.get(rows, p)["_head"])
 
-        return let(F.aggregate(positions, F.array().cast("array<int>"), step), misses)
+# --- hot keys: computations by chunks, requests by slots of equal row counts --------------------------
 
-    ordered = F.sort_array(F.collect_list(F.struct("t", "forced", "_head")))
-    folded = instants.groupBy(key).agg(ordered.alias("_rows"))
-    return folded.select(key, F.explode(let(F.col("_rows"), heads)).alias("_head"))
 
+def _serve_hot(rows: DataFrame, hot: DataFrame, most_chunks: int, ttl: int) -> DataFrame:
+    """(key, id, hit, computed_id, own) of the requests of hot keys; ``hot`` has key, k, _from, _length."""
+    chunk = F.floor((F.col("t") - F.col("_from")) / F.col("_length"))
+    numbered = rows.join(hot, "key").withColumn("chunk", chunk)
+    request = F.struct("us", "id", "own")
+    # one row per key and millisecond: the first request, and whether any overwrites
+    instants = numbered.groupBy("k", "chunk", "t", (F.col("_from") + F.col("chunk") * F.col("_length") + ttl).alias("reach")).agg(
+        F.min(request).alias("head"), F.max("forced").alias("forced")
+    )
+    instants = through_table(instants, "hot")
+    found = _hot_misses(instants.select("k", "chunk", "reach", "t", "forced"), most_chunks, ttl)
+    made = instants.join(found, ["k", "t"]).select("k", F.col("head").alias("made"))
+    made = made.unionByName(numbered.filter("forced").select("k", request.alias("made"))).distinct()
+
+    asked = numbered.select("k", "key", "us", "id", F.lit(True).alias("asks"), F.lit(None).cast(made.schema["made"].dataType).alias("made"))
+    entries = asked.unionByName(
+        made.select("k", F.lit(None).cast(rows.schema["key"].dataType).alias("key"), "made.us", "made.id", F.lit(False).alias("asks"), "made")
+    )
+    entries = through_table(entries, "entries")
+    order = ["k", "us", "id", "asks"]  # a computation comes just before the request it is made for
+    slots = max(1, math.ceil(entries.count() / SLOT_ROWS))
+    placed = entries.repartitionByRange(slots, *order).withColumn("slot", F.spark_partition_id())
+    placed = through_table(placed, "slots")
+    inside = W.partitionBy("slot", "k").orderBy("us", "id", "asks").rowsBetween(W.unboundedPreceding, W.currentRow)
+    served = placed.withColumn("by", F.last("made", ignorenulls=True).over(inside))
+    # a row per slot and key: what the slots before it leave
+    last = placed.groupBy("slot", "k").agg(F.max_by("made", F.when(F.col("made").isNotNull(), F.struct("us", "id"))).alias("made"))
+    before = W.partitionBy("k").orderBy("slot").rowsBetween(W.unboundedPreceding, -1)
+    last = last.select("slot", "k", F.last("made", ignorenulls=True).over(before).alias("earlier"))
+    by = F.coalesce("by", "earlier")
+    return served.filter("asks").join(last, ["slot", "k"]).select(
+        "key", "id", (by["id"] != F.col("id")).alias("hit"), by["id"].alias("computed_id"), by["own"].alias("own")
+    )
 
-def _hot_keys(rows: DataFrame, key: str, ttl: int, hot_rows: int) -> tuple[DataFrame | None, int]:
+
+def _hot_keys(rows: DataFrame, ttl: int, hot_rows: int) -> tuple[DataFrame | None, int]:
     """Keys over ``hot_rows`` requests with a number, their first instant and chunk length.
 
     A chunk spans about ``hot_rows`` requests, and at least a few periods. The second result is the
     largest number of chunks of a key; no hot key gives (None, 0).
     """
-    busy = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min("t").alias("_from"), F.max("t").alias("_to"))
+    busy = rows.groupBy("key").agg(F.count(F.lit(1)).alias("_n"), F.min("t").alias("_from"), F.max("t").alias("_to"))
     busy = busy.filter(F.col("_n") > hot_rows)
     periods = F.floor((F.col("_to") - F.col("_from")) / ttl) + 1
     length = F.greatest(F.lit(CHUNK_PERIODS), F.ceil(periods * hot_rows / F.col("_n"))).cast("long") * ttl
     chunks = F.floor((F.col("_to") - F.col("_from")) / F.col("_length")) + 1
     seed = 0
     while True:
-        number = F.xxhash64(F.lit(seed), F.col(key)).alias("k")
-        hot = broadcast_small(busy.select(key, number, "_from", length.alias("_length"), "_to"))
+        number = F.xxhash64(F.lit(seed), "key").alias("k")
+        hot = broadcast_small(busy.select("key", number, "_from", length.alias("_length"), "_to"))
         row = hot.agg(F.count("k"), F.countDistinct("k"), F.max(chunks)).first()
         if row[0] == row[1]:  # numbers are unique; if not, number again
             return (hot.drop("_to"), row[2]) if row[0] else (None, 0)
@@ -210,93 +310,30 @@ def ttl_dedup(
 
     ``overwrite`` names a flag of requests that skip the cache read and always write it. Periods
     are compared in milliseconds; order within one is by (ts, id); ids are unique. A null key
-    matches nothing: its requests are computed each on their own.
-    Keys with more than ``hot_rows`` requests go by chunks, and periods of a key with more than
-    ``hot_rows`` requests by narrower slots; the result is the same.
+    matches nothing: its requests are computed each on their own, and so is a request without a time.
+    Keys with more than ``hot_rows`` requests go by chunks; the result is the same.
     """
-    ttl, ttl_us = ttl_seconds * 1_000, ttl_seconds * MICROS
+    ttl = ttl_seconds * 1_000
     at = micros(ts) if dict(log.dtypes)[ts] == "timestamp_ntz" else F.unix_micros(ts)
     forced = F.coalesce(F.col(overwrite), F.lit(False)) if overwrite else F.lit(False)
-    rows = log.select(
-        key,
+    rows = log.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(
+        F.col(key).alias("key"),
+        at.alias("us"),
         F.floor(at / 1_000).alias("t"),
-        F.floor(at / ttl_us).alias("_period"),
         forced.alias("forced"),
-        F.struct(at.alias("us"), F.col(id_col).alias("id"), F.struct(*payload).alias("own")).alias("_row"),
-    ).filter(F.col(key).isNotNull())
-
-    def instants(of: DataFrame, *by: str) -> DataFrame:
-        """One row per key and millisecond: the first request, and whether any overwrites."""
-        return of.groupBy(*by, "t").agg(F.min("_row").alias("_head"), F.max("forced").alias("forced"))
-
-    hot, most_chunks = _hot_keys(rows, key, ttl, hot_rows)
-    crowded = None
+        F.col(id_col).alias("id"),
+        F.struct(*payload).alias("own"),
+    )
+    hot, most_chunks = _hot_keys(rows, ttl, hot_rows)
     if hot is None:
-        misses = _fold_misses(instants(rows, key), key, ttl)
+        served = _serve_ordinary(rows, ttl)
     else:
-        cold = instants(rows.join(hot.select(key), key, "left_anti"), key)
-        chunk = F.floor((F.col("t") - F.col("_from")) / F.col("_length"))
-        heated = instants(rows.join(hot, key), key, "k", "_from", "_length").withColumn("chunk", chunk)
-        heated = heated.withColumn("reach", F.col("_from") + F.col("chunk") * F.col("_length") + ttl)
-        heated = through_table(heated.select(key, "k", "chunk", "reach", "t", "forced", "_head"), "hot")
-        found = _hot_misses(heated.select("k", "chunk", "reach", "t", "forced"), most_chunks, ttl)
-        misses = _fold_misses(cold, key, ttl).unionByName(heated.join(found, ["k", "t"]).select(key, "_head"))
-        of_hot = rows.join(hot.select(key), key, "left_semi")
-        per_period = of_hot.groupBy(key, "_period").agg(F.count(F.lit(1)).alias("_n"))
-        parts = F.least(F.ceil(F.col("_n") / hot_rows), F.lit(MAX_PARTS)).alias("_parts")
-        crowded = broadcast_small(per_period.filter(F.col("_n") > hot_rows).select(key, "_period", parts))
-
-    def with_parts(df: DataFrame) -> DataFrame:
-        """Into how many slots the row's period is cut: one, unless it is crowded."""
-        one = F.lit(1).cast("long")
-        if crowded is None:
-            return df.withColumn("_parts", one)
-        return df.join(crowded, [key, "_period"], "left").withColumn("_parts", F.coalesce("_parts", one))
-
-    def slot_of(us: Column) -> Column:
-        return F.floor((us - F.col("_period") * ttl_us) * F.col("_parts") / ttl_us)
-
-    writes = misses.select(key, F.col("_head").alias("_write"))
-    if overwrite:
-        writes = writes.unionByName(rows.filter("forced").select(key, F.col("_row").alias("_write")))
-    written = F.col("_write.us")
-    writes = with_parts(writes.withColumn("_period", F.floor(written / ttl_us))).withColumn("_slot", slot_of(written))
-    # The last write of a slot also opens the slots after it: those of its period up to the next
-    # slot with a write, and those of the next period that its answer can still reach.
-    last = writes.groupBy(key, "_period", "_parts", "_slot").agg(F.max("_write").alias("_write"))
-    following = F.lead("_slot").over(W.partitionBy(key, "_period").orderBy("_slot"))
-    last = last.withColumn("_next", following).withColumn("_until", F.coalesce("_next", F.col("_parts") - 1))
-    here = last.filter("_until > _slot").withColumn("_slot", F.explode(F.sequence(F.col("_slot") + 1, F.col("_until"))))
-    over = last.filter("_next is null").select(key, (F.col("_period") + 1).alias("_period"), "_write")
-    over = with_parts(over).withColumn("_slot", F.explode(F.sequence(F.lit(0).cast("long"), slot_of(written + ttl_us))))
-
-    def entry(df: DataFrame, row: str, is_request: bool) -> DataFrame:
-        """Requests and writes in one shape; a write comes just before the request it is made for."""
-        write = F.lit(None).cast(rows.schema["_row"].dataType) if is_request else F.col(row)
-        return df.select(
-            key,
-            "_period",
-            "_slot",
-            F.col(f"{row}.us").alias("us"),
-            F.col(f"{row}.id").alias("id"),
-            F.lit(is_request).alias("is_request"),
-            write.alias("_write"),
-        )
-
-    entries = entry(with_parts(rows).withColumn("_slot", slot_of(F.col("_row.us"))), "_row", True)
-    for marks in (writes, here, over):
-        entries = entries.unionByName(entry(marks, "_write", False))
-    slot = W.partitionBy(key, "_period", "_slot").orderBy("us", "id", "is_request")
-    upto = slot.rowsBetween(W.unboundedPreceding, W.currentRow)
-    served = entries.withColumn("_w", F.last("_write", ignorenulls=True).over(upto))
-    alone = log.filter(F.col(key).isNull()).select(
+        served = _serve_ordinary(rows.join(hot.select("key"), "key", "left_anti"), ttl)
+        served = served.unionByName(_serve_hot(rows, hot, most_chunks, ttl))
+    alone = log.filter(F.col(key).isNull() | F.col(ts).isNull()).select(
         id_col, key, F.lit(False).alias("hit"), F.col(id_col).alias("computed_id"), *payload
     )
-    served = served.filter("is_request").select(
-        F.col("id").alias(id_col),
-        key,
-        (F.col("_w.id") != F.col("id")).alias("hit"),
-        F.col("_w.id").alias("computed_id"),
-        *[F.col(f"_w.own.{c}").alias(c) for c in payload],
+    served = served.select(
+        F.col("id").alias(id_col), F.col("key").alias(key), "hit", "computed_id", *[F.col(f"own.{c}").alias(c) for c in payload]
     )
     return served.unionByName(alone)
