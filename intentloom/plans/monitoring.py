@@ -274,17 +274,17 @@ def quantile_sql(value: str, bounds, quantiles, minutes: int) -> str:
       select strftime(w, '{SECONDS}') as window_start, any_value(n) as n, {picks}, round(any_value(mean), 6) as mean from c group by w"""
 
 
-def ttl_sql(forced: str) -> str:
+def ttl_sql(forced: str, log: str = "predictions", more: str = "") -> str:
     return f"""o as (select prediction_id, ts, text, sha256(text) as text_key, epoch_us(ts) // 1000 as t, ({forced}) as forced,
           predicted_label, confidence,
-          row_number() over (partition by text order by ts, prediction_id) as rn from predictions),
+          row_number() over (partition by text order by ts, prediction_id) as rn from {log}),
       chain(text, rn, allowed, computed, id) as (
         select text, rn, t + 3600000, true, prediction_id from o where rn = 1
         union all
         select o.text, o.rn, case when o.forced or o.t >= c.allowed then o.t + 3600000 else c.allowed end,
           o.forced or o.t >= c.allowed, case when o.forced or o.t >= c.allowed then o.prediction_id else c.id end
         from chain c join o on o.text = c.text and o.rn = c.rn + 1)
-      select o.prediction_id, o.text_key, not c.computed as hit, c.id as computed_id, s.predicted_label, s.confidence
+      select o.prediction_id, o.text_key, not c.computed as hit, c.id as computed_id, s.predicted_label, s.confidence{more}
       from chain c join o using (text, rn) join predictions s on s.prediction_id = c.id"""
 
 

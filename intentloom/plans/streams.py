@@ -13,7 +13,7 @@ from intentloom.sources import io
 from intentloom.sources import tables as t
 from intentloom.streaming import jobs, windows
 from intentloom.streaming.source import event_stream
-from intentloom.streaming.ttl import stream_ttl_batches, stream_ttl_dedup, use_rocksdb
+from intentloom.streaming.ttl import rocksdb, stream_ttl_batches, stream_ttl_dedup
 
 DELAY = 600
 
@@ -59,18 +59,22 @@ def stream_alerts(spark, d):
     return io.read_alerts(spark, path).select("type", "severity", F.round("value", 6).alias("value"), "threshold")
 
 
-def _arrivals(spark, d, parts: int = 4):
-    """The events with the batch they arrive in: quarters of their time, every seventh a quarter too late."""
+def _arrivals(spark, d, behind: int, upto: int):
+    """The events with the batch they arrive in: quarters of their time, every seventh of the quarters up to
+    ``upto`` comes ``behind`` quarters too late."""
     events = t.read_table(spark, d, "events").withColumn("us", t.micros("ts"))
     span = events.agg(F.min("us").alias("lo"), F.max("us").alias("hi"))
     share = (F.col("us") - span.select("lo").scalar()) / (span.select("hi").scalar() - span.select("lo").scalar() + 1)
-    return events.withColumn("arrival", F.floor(share * parts) + (F.col("event_id") % 7 == 0).cast("int")).drop("us")
+    slow = (F.col("event_id") % 7 == 0) & (F.col("quarter") <= upto)
+    events = events.withColumn("quarter", F.floor(share * 4))
+    events = events.withColumn("arrival", F.col("quarter") + F.when(slow, behind).otherwise(0)).drop("us", "quarter")
+    return through_table(events, "arrivals")
 
 
 def _late_stream(spark, d):
     """Folder of window tables after all arrivals were streamed, one trigger for each."""
     files, folder, checkpoint = (scratch_path(spark, p) for p in ("arrivals", "windows", "checkpoint"))
-    arrivals = through_table(_arrivals(spark, d), "arrivals")
+    arrivals = _arrivals(spark, d, 1, 3)
     for k in range(5):
         arrivals.filter(F.col("arrival") == k).drop("arrival").write.mode("append").parquet(files)
         run_all(windows.stream_windows(event_stream(spark, files), folder, checkpoint, delay=DELAY))
@@ -87,20 +91,31 @@ def stream_late_rows(spark, d):
 
 
 def stream_ttl(spark, d):
-    use_rocksdb(spark)
     stream = keyed(_requests(spark, d))
     out = stream_ttl_dedup(stream.select("prediction_id", "text_key", "ts", "predicted_label", "confidence"), delay=DELAY)
-    return _to_table(spark, out, "ttl")
+    with rocksdb(spark):
+        return _to_table(spark, out, "ttl")
 
 
 def stream_ttl_by_batch(spark, d):
-    """The form for very hot keys: the batch operator per trigger, last writes carried in a table."""
+    """The form for very hot keys: the batch operator per trigger, live writes carried in a table."""
     out, state, checkpoint = (scratch_path(spark, p) for p in ("ttl-out", "ttl-state", "checkpoint"))
     run_all(stream_ttl_batches(keyed(_requests(spark, d)), out, state, checkpoint, delay=DELAY))
     cols = ["prediction_id", "text_key", "hit", "computed_id", "predicted_label", "confidence"]
     return spark.read.parquet(out).select(*cols)
 
 
+def stream_ttl_late(spark, d):
+    """The same when a seventh of the first half arrives too late: those are served as misses of their own."""
+    files, out, state, checkpoint = (scratch_path(spark, p) for p in ("arrivals", "ttl-out", "ttl-state", "checkpoint"))
+    arrivals = _arrivals(spark, d, 2, 1)
+    for k in range(4):
+        arrivals.filter(F.col("arrival") == k).drop("arrival").write.mode("append").parquet(files)
+        run_all(stream_ttl_batches(keyed(event_stream(spark, files)), out, state, checkpoint, delay=DELAY))
+    cols = ["prediction_id", "text_key", "hit", "computed_id", "predicted_label", "confidence", "late"]
+    return spark.read.parquet(out).select(*cols)
+
+
 def stream_logs(spark, d):
     path, checkpoint = scratch_path(spark, "audit"), scratch_path(spark, "checkpoint")
     run_all(jobs.stream_logs(_requests(spark, d), path, checkpoint))
@@ -142,6 +157,7 @@ QUERIES = {
     "stream_late_rows": stream_late_rows,
     "stream_ttl_dedup": stream_ttl,
     "stream_ttl_batches": stream_ttl_by_batch,
+    "stream_ttl_late": stream_ttl_late,
     "stream_logs": stream_logs,
     "stream_metric_log": stream_metric_log,
     "stream_monitor": stream_monitor,
@@ -193,6 +209,15 @@ ORACLE = {
     ),
     "stream_ttl_dedup": with_views(ttl_sql("false"), "predictions"),
     "stream_ttl_batches": with_views(ttl_sql("false"), "predictions"),
+    "stream_ttl_late": with_views(
+        """s as (select min(epoch_us(ts)) as lo, max(epoch_us(ts)) as hi from predictions),
+          slow as (select p.* from predictions p, s where prediction_id % 7 = 0 and floor((epoch_us(ts) - lo)::double / (hi - lo + 1) * 4) <= 1),
+          quick as (select * from predictions where prediction_id not in (select prediction_id from slow)),"""
+        + ttl_sql("false", "quick", ", false as late")
+        + """ union all select prediction_id, sha256(text) as text_key, false as hit, prediction_id as computed_id, predicted_label, confidence,
+          true as late from slow""",
+        "predictions",
+    ),
     "stream_logs": with_views(
         """select prediction_id as id, 'prediction' as action, substr(text, 1, 200) as text_preview,
              predicted_label::bigint as label, confidence from predictions""",

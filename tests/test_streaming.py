@@ -3,6 +3,7 @@ from __future__ import annotations
 import collections
 import json
 import random
+import time
 
 import numpy as np
 import pytest
@@ -15,7 +16,7 @@ from intentloom.operators import drift
 from intentloom.sources import tables as t
 from intentloom.streaming import jobs, windows
 from intentloom.streaming.source import event_stream
-from intentloom.streaming.ttl import stream_ttl_batches, stream_ttl_dedup, use_rocksdb
+from intentloom.streaming.ttl import LateRows, read_late_rows, rocksdb, stream_ttl_batches, stream_ttl_dedup, write_ttl_batch
 
 
 @pytest.fixture(scope="module")
@@ -129,9 +130,11 @@ def test_windows_need_whole_minutes(spark):
 
 
 def test_ttl_stream_equals_batch(spark, sf_dir, event_files, tmp_path):
-    use_rocksdb(spark)
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     stream = keyed(stream_of(spark, event_files))
-    got = drain(spark, stream_ttl_dedup(stream, delay=600), tmp_path)
+    with rocksdb(spark):
+        got = drain(spark, stream_ttl_dedup(stream, delay=600), tmp_path)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
     want = dedup.ttl_dedup(keyed(t.predictions(spark, sf_dir)))
     cols = ["prediction_id", "hit", "computed_id", "predicted_label", "confidence"]
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
@@ -148,6 +151,61 @@ def test_ttl_by_batches_equals_batch(spark, sf_dir, event_files, tmp_path, hot_r
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
 
 
+REQUESTS = "prediction_id long, text_key string, sec long, predicted_label int, confidence double"
+
+
+def requests(spark, rows):
+    df = spark.createDataFrame([(i, k, sec, i % 5, i / 100) for i, k, sec in rows], REQUESTS)
+    return df.withColumn("ts", F.timestamp_seconds("sec"))
+
+
+def test_late_requests_are_misses_of_their_own(spark, tmp_path):
+    """Period 100 s, delay 50 s: what is late is served, changes nothing, and a retry changes nothing either."""
+    base = 1_704_067_200
+    batches = [
+        [(1, "a", base), (2, "a", base + 99), (3, "b", base + 40), (4, None, base)],
+        [(5, "a", base + 130), (6, "b", base + 139), (7, "a", base + 60), (8, "c", base + 400)],  # 7 is behind, but not late
+        [(9, "a", base + 229), (10, "b", base + 300), (11, "c", base + 499), (12, "c", base + 500), (13, "a", base + 351)],
+    ]
+    for k in (0, 1, 1, 2):
+        write_ttl_batch(requests(spark, batches[k]), k, f"{tmp_path}/out", f"{tmp_path}/state", 100, 50, 20_000)
+    got = {r["prediction_id"]: (r["hit"], r["computed_id"], r["late"]) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {
+        1: (False, 1, False), 2: (True, 1, False), 3: (False, 3, False), 4: (False, 4, False),
+        5: (False, 5, False), 6: (True, 3, False), 7: (True, 1, False), 8: (False, 8, False),
+        9: (False, 9, True), 10: (False, 10, True), 11: (True, 8, False), 12: (False, 12, False), 13: (False, 13, False),
+    }
+    state = {r["prediction_id"] for r in spark.read.parquet(f"{tmp_path}/state/writes/batch=2").collect()}
+    assert state == {8, 12, 13}
+
+
+def test_dropped_rows_are_counted(spark, tmp_path):
+    """The stateful form: rows out and the listener's ledger add up to the rows in."""
+    base, files, ledger = 1_704_067_200, str(tmp_path / "in"), str(tmp_path / "late")
+    listener = LateRows(spark, ledger)
+    spark.streams.addListener(listener)
+    rows = [[(i, "ab"[i % 2], base + 10 * i) for i in range(100)], [(200 + i, "abc"[i % 3], base + 20 * i) for i in range(100)]]
+    try:
+        with rocksdb(spark):
+            for part in rows:
+                requests(spark, part).coalesce(1).write.mode("append").parquet(files)
+                stream = spark.readStream.schema(f"{REQUESTS}, ts timestamp").parquet(files)
+                out = stream_ttl_dedup(stream, ttl_seconds=100, delay=60)
+                writer = out.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/c")
+                run_all(writer)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        for _ in range(100):  # the events reach Python through another thread
+            if (tmp_path / "late").exists() and list((tmp_path / "late").glob("*/*/_SUCCESS")):
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    dropped = read_late_rows(spark, ledger).agg(F.sum("dropped")).first()[0]
+    behind = sum(sec < base + 990 - 60 for _, _, sec in rows[1])
+    assert dropped == behind > 40
+    assert spark.read.parquet(f"{tmp_path}/out").count() + dropped == 200
+
+
 def test_logs_are_written_once(spark, sf_dir, event_files, tmp_path):
     path, checkpoint = str(tmp_path / "log"), str(tmp_path / "checkpoint")
     for _ in range(2):  # the second run finds nothing new
