@@ -10,6 +10,7 @@ the buckets (partial aggregation, a few thousand rows), and then either
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -17,7 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from intentloom.session import through_table
+
 SMALL_ROWS = 200_000
+RANGE_ROWS = 250_000  # distinct values that one task cumulates
 RANK_DIGITS = 3  # 4,096 hash buckets per group
 CUT_DIGITS = 4  # 65,536
 
@@ -151,6 +155,19 @@ def running_counts(df: DataFrame, keys: Sequence[str], bucket: str, value: str,
     )
 
 
+def ranged(per_value: DataFrame, keys: Sequence[str], value: str, out: str, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """``per_value`` (one row per keys and value) with the number of the value range a row is in.
+
+    There are as many ranges as the rows need, and Spark cuts them where the rows are: by a sample of
+    (keys, value), so neither a crowded stretch of values nor a group with most of them makes a range long.
+    The result is a written table, so every reader sees the same ranges.
+    """
+    collapsed = through_table(per_value, "values")
+    ranges = max(1, math.ceil(collapsed.count() / range_rows))
+    cut = collapsed.repartitionByRange(ranges, *keys, value).withColumn(out, F.spark_partition_id())
+    return through_table(cut, "ranges")
+
+
 def exact_percentiles(
     df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], buckets: int = 256, weight: str | None = None
 ) -> DataFrame:

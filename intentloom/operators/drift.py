@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from intentloom.functions.scale import cut_points, running_counts, with_bucket
+from intentloom.functions.scale import RANGE_ROWS, ranged, running_counts
 
 DRIFT_SHARE_ALERT = 0.15
 CONFIDENCE_DROP_ALERT = 0.05
@@ -21,32 +21,45 @@ def _sides() -> tuple[Column, Column]:
     return ref.alias("ref"), (1 - ref).alias("cur")
 
 
+def number_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, v, ref, cur): how often each number occurs on each side. Null and NaN are no values."""
+    ref, cur = _sides()
+    entries = [F.struct(F.lit(c).alias("column"), F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias("v")) for c in cols]
+    long = df.select("side", F.inline(F.array(*entries))).filter("v is not null")
+    return long.groupBy("column", "v").agg(F.sum(ref).alias("ref"), F.sum(cur).alias("cur"))
+
+
 def numeric_drift(
     df: DataFrame,
     cols: Sequence[str],
     p_limit: float = 0.05,
     distance_limit: float = 0.1,
     rule: str = "distance",
-    buckets: int = 256,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Per numeric column: Kolmogorov-Smirnov statistic and p-value, Wasserstein-1 / std(reference).
 
     Drift rule, whatever the number of rows: normalised distance >= ``distance_limit``, or with
-    ``rule="p"`` p < ``p_limit``. Both statistics come from one pass over the distinct values in
-    order, spread over value ranges. Null and NaN are no values: ``n_ref`` and ``n_cur`` count the
+    ``rule="p"`` p < ``p_limit``. Null and NaN are no values: ``n_ref`` and ``n_cur`` count the
     rest. With an empty side the statistics are null and nothing drifted.
     """
-    is_ref = F.col("side") == "ref"
-    valued = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols]
-    df = wide = df.select("side", *valued)
-    spreads = [F.stddev_pop(F.when(is_ref, F.col(c).cast("double"))) for c in cols]
-    cuts, stds = cut_points(df, cols, buckets, spreads)
-    for c in cols:
-        wide = with_bucket(wide, c, cuts[c], f"_b_{c}")
-    entries = [F.struct(F.lit(c).alias("column"), F.col(c).alias("v"), F.col(f"_b_{c}").alias("b")) for c in cols]
-    long = wide.select("side", F.inline(F.array(*entries))).filter("v is not null")
-    ref, cur = _sides()
-    counted = running_counts(long.select("column", "v", "b", ref, cur), ["column"], "b", "v", ["ref", "cur"])
+    return drift_of_numbers(number_counts(df, cols), p_limit, distance_limit, rule, range_rows)
+
+
+def drift_of_numbers(
+    counts: DataFrame, p_limit: float = 0.05, distance_limit: float = 0.1, rule: str = "distance", range_rows: int = RANGE_ROWS
+) -> DataFrame:
+    """``numeric_drift`` from counted values (column, v, ref, cur).
+
+    Both statistics come from one pass over the distinct values in order, in ranges of about
+    ``range_rows`` of them.
+    """
+    counts = ranged(counts.select("column", "v", "ref", "cur"), ["column"], "v", "b", range_rows)
+    counted = running_counts(counts, ["column"], "b", "v", ["ref", "cur"])
+    means = counts.groupBy("column").agg(F.try_divide(F.sum(F.col("v") * F.col("ref")), F.sum("ref")).alias("mean"), F.sum("ref").alias("n"))
+    off = F.col("v") - F.col("mean")
+    spreads = counts.join(F.broadcast(means), "column").groupBy("column")  # one row per column
+    spreads = spreads.agg(F.sqrt(F.try_divide(F.sum(off * off * F.col("ref")), F.max("n"))).alias("std_ref"))
     gap = F.abs(F.try_divide("cum_ref", "all_ref") - F.try_divide("cum_cur", "all_cur"))
     stats = counted.groupBy("column").agg(
         F.max("all_ref").alias("n_ref"),
@@ -54,8 +67,7 @@ def numeric_drift(
         F.max(gap).alias("ks"),
         F.sum(gap * (F.col("next_value") - F.col("v"))).alias("w1"),
     )
-    std_of = F.create_map(*[F.lit(x) for c, s in zip(cols, stds) for x in (c, float(s or 0.0))])
-    joined = stats.withColumn("std_ref", F.element_at(std_of, F.col("column")))
+    joined = stats.join(F.broadcast(spreads), "column")
     n = F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur"))
     lam = F.sqrt(n) * F.col("ks")
     # asymptotic p-value: 2 * sum over j of (-1)^(j-1) exp(-2 j^2 lambda^2)
@@ -81,7 +93,8 @@ def numeric_drift(
     )
 
 
-def _category_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def category_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, v, ref, cur): how often each value occurs on each side. Null is no value."""
     ref, cur = _sides()
     entries = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v")) for c in cols]
     long = df.select("side", F.inline(F.array(*entries))).filter("v is not null")
@@ -95,7 +108,11 @@ def categorical_drift(df: DataFrame, cols: Sequence[str], js_limit: float = 0.1,
     are null and nothing drifted. Counting both sides in one
     grouped pass makes the union; no side is joined to the other.
     """
-    counts = _category_counts(df, cols)
+    return drift_of_categories(category_counts(df, cols), js_limit, floor)
+
+
+def drift_of_categories(counts: DataFrame, js_limit: float = 0.1, floor: float = 1e-4) -> DataFrame:
+    """``categorical_drift`` from counted values (column, v, ref, cur)."""
     totals = counts.groupBy("column").agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))
     joined = counts.join(F.broadcast(totals), "column")  # one row per column
     p, q = F.try_divide("ref", "n_ref"), F.try_divide("cur", "n_cur")
@@ -155,6 +172,14 @@ def confidence_drop(df: DataFrame, limit: float = CONFIDENCE_DROP_ALERT) -> Data
     )
 
 
+def drop_of_confidence(counts: DataFrame, limit: float = CONFIDENCE_DROP_ALERT) -> DataFrame:
+    """``confidence_drop`` from the counted values (v, ref, cur) of one column."""
+    ref, cur = (F.try_divide(F.sum(F.col("v") * F.col(s)), F.sum(s)) for s in ("ref", "cur"))
+    both = counts.agg(ref.alias("ref_confidence"), cur.alias("cur_confidence"))
+    drop = F.col("ref_confidence") - F.col("cur_confidence")
+    return both.select("ref_confidence", "cur_confidence", drop.alias("drop"), F.coalesce(drop > limit, F.lit(False)).alias("alert"))
+
+
 def label_distribution(df: DataFrame, label: str = "predicted_label") -> DataFrame:
     counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n")).scalar()
@@ -163,7 +188,11 @@ def label_distribution(df: DataFrame, label: str = "predicted_label") -> DataFra
 
 def label_shift(df: DataFrame, label: str = "predicted_label", limit: float = LABEL_SHIFT_ALERT) -> DataFrame:
     """Largest change of a label's share between the sides, over all labels of either side."""
-    counts = _category_counts(df, [label])
+    return shift_of_labels(category_counts(df, [label]), limit)
+
+
+def shift_of_labels(counts: DataFrame, limit: float = LABEL_SHIFT_ALERT) -> DataFrame:
+    """``label_shift`` from the counted values of one column."""
     totals = counts.groupBy("column").agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))
     shares = counts.join(F.broadcast(totals), "column")
     ref, cur = (F.coalesce(F.try_divide(s, f"n_{s}"), F.lit(0.0)) for s in ("ref", "cur"))

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from intentloom.operators import drift
 from intentloom.plans.fixtures import with_views
-from intentloom.plans.monitoring import SECONDS, at, check_of, keyed, moved, ttl_sql
+from intentloom.plans.monitoring import CATEGORICAL, NUMERIC, SECONDS, at, keyed, moved, ttl_sql
 from intentloom.plans.sources import ORACLE as SOURCE_ORACLE
 from intentloom.session import scratch_path, through_table
 from intentloom.sources import io
@@ -133,20 +132,19 @@ def stream_metric_log(spark, d):
 
 
 def stream_monitor(spark, d):
-    """All requests of the second half of the log as a stream, their values moved, against the first half."""
-    cols = ["predicted_label", "predicted_label_name", "method", "endpoint", "confidence", "latency_ms"]
-    reference = t.ref_cur(spark, d).filter("side = 'ref'").select(*cols, "side")
-    late = F.col("ts") >= F.to_timestamp(F.lit("2024-01-16 00:00:00+00:00"))
-    stream = moved(_requests(spark, d).filter(late), F.lit(True)).select(*cols)
-
-    def decide(current):
-        sides = reference.unionByName(current.withColumn("side", F.lit("cur")))
-        return drift.retrain_trigger(check_of(sides))
-
-    current_path, decision_path = scratch_path(spark, "current"), scratch_path(spark, "decisions")
-    run_all(jobs.stream_monitor(stream, current_path, decide, decision_path, scratch_path(spark, "checkpoint")))
-    schema = "should_retrain boolean, reasons array<string>, drift_detected boolean, alert_count int"
-    out = spark.read.schema(schema).json(decision_path)
+    """The second half of the log as a stream in four triggers, its values moved, against the first half.
+
+    Returned is the decision after the last trigger, over all of them.
+    """
+    files, folder, checkpoint = (scratch_path(spark, p) for p in ("arrivals", "monitor", "checkpoint"))
+    arrivals = t.read_table(spark, d, "events").filter(F.expr(f"ts >= {t.SPLIT_DAY}"))
+    arrivals = through_table(arrivals.withColumn("arrival", F.pmod("event_id", F.lit(4))), "arrivals")
+    reference = t.ref_cur(spark, d).filter("side = 'ref'")
+    for k in range(4):
+        arrivals.filter(F.col("arrival") == k).drop("arrival").write.mode("append").parquet(files)
+        stream = moved(event_stream(spark, files), F.lit(True))
+        run_all(jobs.stream_monitor(stream, reference, folder, checkpoint, NUMERIC, CATEGORICAL))
+    out = jobs.read_decisions(spark, folder).filter("batch = 3")
     codes = F.transform("reasons", lambda r: F.split_part(r, F.lit(":"), F.lit(1)))
     return out.select("should_retrain", F.array_join(codes, ",").alias("reasons"), "drift_detected", "alert_count")
 

@@ -55,11 +55,21 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return _MADE[-1]
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Delete a folder that no later step reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete the intermediate tables made so far. For a job's end: frames that read them are done then."""
     while _MADE:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        forget(spark, _MADE.pop())
 
 
 def through_table(df: DataFrame, purpose: str, schema: StructType | None = None) -> DataFrame:

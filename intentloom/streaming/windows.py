@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from intentloom.functions.scale import exact_percentiles
 from intentloom.operators.monitor import threshold_alerts
+from intentloom.session import forget
 from intentloom.sources.io import iso_utc, utc_clock
 
 MINUTE = 60
@@ -98,11 +99,6 @@ def window_metrics(counts: DataFrame, windows: Mapping[str, tuple[int, int]] = W
     )
 
 
-def _forget(spark: SparkSession, path: str) -> None:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
 def write_window_batch(
     batch: DataFrame, batch_id: int, folder: str, windows: Mapping[str, tuple[int, int]], delay: int,
     then: Callable[[DataFrame, int], None] | None = None,
@@ -142,7 +138,7 @@ def write_window_batch(
         then(spark.read.schema(METRICS).parquet(done), batch_id)
     if batch_id > 1:  # a retry of this batch needs the one before it
         for name in ("kept", "came", "marks"):
-            _forget(spark, f"{folder}/{name}/batch={batch_id - 2}")
+            forget(spark, f"{folder}/{name}/batch={batch_id - 2}")
 
 
 def stream_windows(

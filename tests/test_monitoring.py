@@ -5,6 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from intentloom.functions import scale
 from intentloom.operators import drift, monitor
 
 
@@ -20,9 +21,9 @@ def test_no_drift_against_itself(spark):
     assert (row["js_distance"], row["chi_square"], row["psi"], row["drifted"]) == (0.0, 0.0, 0.0, False)
 
 
-@pytest.mark.parametrize("buckets", [2, 64])
-def test_numeric_drift_by_hand(spark, buckets):
-    row = drift.numeric_drift(sides(spark, [0.0, 1.0, 2.0, 3.0], [2.0, 3.0, 4.0, 5.0]), ["x"], buckets=buckets).first()
+@pytest.mark.parametrize("range_rows", [1, 3, 250_000])
+def test_numeric_drift_by_hand(spark, range_rows):
+    row = drift.numeric_drift(sides(spark, [0.0, 1.0, 2.0, 3.0], [2.0, 3.0, 4.0, 5.0]), ["x"], range_rows=range_rows).first()
     assert row["ks_statistic"] == 0.5
     assert row["wasserstein_norm"] == pytest.approx(2.0 / math.sqrt(1.25), abs=1e-6)
 
@@ -50,6 +51,25 @@ def test_empty_side(spark, ref, cur):
     assert drift.confidence_drop(sides(spark, ref, cur).withColumnRenamed("x", "confidence")).first()["alert"] is False
 
 
+def test_ranges_follow_the_values(spark):
+    """Nearly all distinct values lie in one narrow stretch; still no range is much longer than asked for."""
+    df = spark.range(40_000).selectExpr("case when id < 39000 then 1 + id / 1e9 else id * 1e6 end as v", "'x' as column", "1L as n")
+    made = scale.ranged(df, ["column"], "v", "part", range_rows=1_000)
+    sizes = [r["count"] for r in made.groupBy("part").count().collect()]
+    assert len(sizes) >= 35 and max(sizes) <= 2_000
+    edges = made.groupBy("part").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("lo").collect()
+    assert all(a["hi"] < b["lo"] for a, b in zip(edges, edges[1:]))
+
+
+def test_decisions_from_counts(spark):
+    rows = [("a", 0.9, 1, "ref")] * 50 + [("b", 0.8, 2, "ref")] * 50 + [("a", 0.4, 1, "cur")] * 70 + [("c", float("nan"), None, "cur")] * 30
+    df = spark.createDataFrame(rows, "name string, confidence double, predicted_label int, side string")
+    counts = drift.number_counts(df, ["confidence"])
+    exact = drift.confidence_drop(df.withColumn("confidence", F.nanvl("confidence", F.lit(None).cast("double")))).first()
+    assert tuple(drift.drop_of_confidence(counts).first()) == pytest.approx(tuple(exact))
+    assert drift.shift_of_labels(drift.category_counts(df, ["predicted_label"])).first()["max_shift"] == 0.5
+
+
 def test_against_numpy(spark):
     import numpy as np
 
@@ -57,7 +77,7 @@ def test_against_numpy(spark):
     a, b = rng.normal(size=700).round(2), (rng.normal(size=900) * 1.3 + 0.2).round(2)
     points = np.sort(np.unique(np.concatenate([a, b])))
     fa, fb = (np.searchsorted(np.sort(x), points, side="right") / len(x) for x in (a, b))
-    row = drift.numeric_drift(sides(spark, a.tolist(), b.tolist()), ["x"], buckets=16).first()
+    row = drift.numeric_drift(sides(spark, a.tolist(), b.tolist()), ["x"], range_rows=16).first()
     assert row["ks_statistic"] == pytest.approx(np.abs(fa - fb).max(), abs=1e-6)
     distance = (np.abs(fa - fb)[:-1] * np.diff(points)).sum() / a.std()
     assert row["wasserstein_norm"] == pytest.approx(distance, abs=1e-6)

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from intentloom.operators import dedup
-from intentloom.plans.monitoring import check_of, keyed
+from intentloom.plans.monitoring import CATEGORICAL, NUMERIC, check_of, keyed, moved
 from intentloom.plans.streams import run_all
 from intentloom.operators import drift
 from intentloom.sources import tables as t
@@ -233,16 +233,32 @@ def test_alerts_survive_a_retried_batch(spark, tmp_path):
 
 
 def test_monitor_decides_after_every_batch(spark, sf_dir, event_files, tmp_path):
-    cols = ["predicted_label", "predicted_label_name", "method", "endpoint", "confidence", "latency_ms"]
-    reference = t.predictions(spark, sf_dir).select(*cols, F.lit("ref").alias("side"))
-
-    def decide(current):
-        return drift.retrain_trigger(check_of(reference.unionByName(current.withColumn("side", F.lit("cur")))))
-
-    paths = [str(tmp_path / x) for x in ("current", "decisions", "checkpoint")]
-    run_all(jobs.stream_monitor(stream_of(spark, event_files).select(*cols), paths[0], decide, paths[1], paths[2]))
-    rows = spark.read.json(paths[1]).orderBy("batch").collect()
-    assert len(rows) == 4
-    # after the last batch the current table is the reference itself
-    assert rows[-1]["should_retrain"] is False
-    assert spark.read.parquet(paths[0]).count() == reference.count()
+    """Four triggers: each decision equals the batch check over the rows so far, earlier batches are not read."""
+    reference = t.predictions(spark, sf_dir)
+    folder, checkpoint = str(tmp_path / "monitor"), str(tmp_path / "checkpoint")
+    stream = moved(stream_of(spark, event_files), F.col("predicted_label") == 1)
+    run_all(jobs.stream_monitor(stream, reference, folder, checkpoint, NUMERIC, CATEGORICAL))
+    got = {r["batch"]: r for r in jobs.read_decisions(spark, folder).collect()}
+    assert sorted(got) == [0, 1, 2, 3]
+    n = reference.count()
+    for k in (0, 2, 3):
+        so_far = moved(reference.filter(F.col("prediction_id") < (k + 1) * n // 4), F.col("predicted_label") == 1)
+        sides = reference.withColumn("side", F.lit("ref")).unionByName(so_far.withColumn("side", F.lit("cur")))
+        want = drift.retrain_trigger(check_of(sides)).first()
+        codes = lambda row: [reason.split(" ")[0] for reason in row["reasons"]]
+        assert codes(got[k]) == codes(want)  # means may differ in the last digit shown
+        assert [got[k][c] for c in ("should_retrain", "drift_detected", "alert_count")] == [want[c] for c in ("should_retrain", "drift_detected", "alert_count")]
+    # only the counts of the last two batches are kept, with a row for each distinct value
+    assert sorted(x.name for x in (tmp_path / "monitor" / "current").iterdir()) == ["batch=2", "batch=3"]
+    counts = spark.read.parquet(f"{folder}/current/batch=3")
+    assert counts.filter("column = 'method'").agg(F.sum("n")).first()[0] == n
+
+
+def test_monitor_batch_written_twice(spark, sf_dir, tmp_path):
+    reference = t.predictions(spark, sf_dir)
+    jobs.stream_monitor(spark.readStream.format("rate").load(), reference, str(tmp_path), "", NUMERIC, CATEGORICAL)
+    for k in (0, 0, 1, 1):
+        jobs.write_monitor_batch(reference, k, str(tmp_path), NUMERIC, CATEGORICAL, "predicted_label", "confidence")
+    last = spark.read.schema(jobs.COUNTED).parquet(f"{tmp_path}/current/batch=1")
+    assert last.filter("column = 'endpoint'").agg(F.sum("n")).first()[0] == 2 * reference.count()
+    assert not any(r["should_retrain"] for r in jobs.read_decisions(spark, str(tmp_path)).collect())
