@@ -135,4 +135,5 @@ def linked(members: DataFrame, payload: DataFrame, compare: Compare) -> DataFram
     rows = rows.select("g", F.col("mine").alias("u"), F.explode(F.sequence(zero, F.col("k") - 1)).alias("v"), "node")
     cols = sides.select("g", F.explode(F.sequence(zero, F.col("o") - 1)).alias("u"), "v", "node")
     rest = _compared(_payload(rows.unionByName(cols).distinct(), payload), compare)
-    return through_table(components(through_table(edges.unionByName(rest), "links")), "components")
+    first = found.select(F.col("node").alias("a"), F.col("root").alias("b"))  # says what the first links said
+    return through_table(components(first, through_table(rest, "links")), "components")

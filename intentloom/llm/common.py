@@ -6,6 +6,8 @@ import gc
 from collections.abc import Sequence
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -52,16 +54,40 @@ def bucketed_rank(df: DataFrame, group: Sequence[str], bucket: str, order: Seque
     )
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """Connected components of ``edges`` (a, b): one row (node, root) per node that has an edge.
+#: Links that one task joins up by itself: some megabytes, whatever the corpus. More go by rounds.
+FEW_LINKS = 100_000
 
-    The root is the smallest node of the component. Each round points every node at its smallest
+
+def _joined_up(batches):
+    """(node, root) of all links (a, b) of one task."""
+    parts = [batch for batch in batches if batch.num_rows]
+    if parts:
+        links = pa.Table.from_batches(parts)
+        a, b = (links.column(k).combine_chunks() for k in (0, 1))
+        nodes = pc.unique(pa.concat_arrays([a, b]))
+        nodes = nodes.take(pc.sort_indices(nodes))
+        sets = Forest(len(nodes))
+        for i, j in zip(pc.index_in(a, nodes).to_pylist(), pc.index_in(b, nodes).to_pylist()):
+            sets.link(i, j)
+        roots = pa.array([sets.root(i) for i in range(len(nodes))], pa.int64())
+        yield pa.RecordBatch.from_arrays([nodes, nodes.take(roots)], ["node", "root"])
+
+
+def components(*links: DataFrame) -> DataFrame:
+    """Connected components of stored tables of links (a, b): one row (node, root) per node of a link.
+
+    The root is the smallest node of the component. Up to ``FEW_LINKS`` links are joined up in one task.
+    More go by rounds: each points every node at its smallest
     neighbour, links its other smaller neighbours to that one, and then jumps one pointer ahead, so
     the depth halves. Rounds end in written tables: a lost executor costs a read. No node's
-    neighbours are gathered; the joins are on keys that Spark can split where a hub is hot.
+    neighbours are gathered; the joins are on keys that Spark can split where a hub is hot. Both ways give the same rows.
     """
     a, b = F.col("a"), F.col("b")
-    now = edges.filter(a != b).select(F.greatest(a, b).alias("x"), F.least(a, b).alias("y")).distinct()
+    edges = union_all([t.select("a", "b") for t in links]).filter(a != b)
+    kind = dict(edges.dtypes)["a"]
+    if sum(t.count() for t in links) <= FEW_LINKS:
+        return edges.coalesce(1).mapInArrow(_joined_up, f"node {kind}, root {kind}")
+    now = edges.select(F.greatest(a, b).alias("x"), F.least(a, b).alias("y")).distinct()
     now = through_table(now, "links")
     while True:
         least = through_table(now.groupBy("x").agg(F.min("y").alias("m")), "least")

@@ -8,6 +8,9 @@ ids of a text are its words' ids put together. Marks at a word's end are tokens
 from __future__ import annotations
 
 import os
+import re
+import sys
+import types
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -15,10 +18,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CACHED_WORDS = 250_000  # in one generation of a Python worker's cache
+CACHED_WORDS = 500_000  # in one generation of a Python worker's cache
 TAKEN = 1 << 21  # characters that are split at a time
+TOGETHER = 100  # words of letters that are encoded as one text
 MARKS = ".,;:!?"
-_ENCODERS: dict[tuple, WordEncoder] = {}
+#: Words of these are one run of letters for every tokenizer's split, also in lower case.
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ſ]+")
 
 
 class Words(dict):
@@ -57,11 +62,33 @@ class WordEncoder:
         self.first = Words() if spaced else self.later
         self.marks: dict[str, bytes] = {}
         self.line_end = self._bytes(["\n"])[0] if spaced else b""
+        vocab = self.tokenizer.get_vocab()
+        self.edge = np.zeros(max(vocab.values()) + 1, bool)  # tokens that begin (or else end) a word
+        mark = (lambda t: t.startswith("Ġ")) if spaced else (lambda t: t.endswith("</w>"))
+        self.edge[[i for t, i in vocab.items() if mark(t)]] = True
 
     def _bytes(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.code, e.ids).tobytes() for e in encoded]
 
+    def _words(self, words: list[str], before: str) -> list[bytes]:
+        """The ids of each word. Words of letters are encoded many at a time, and cut apart where tokens say so."""
+        runs = [w for w in words if LETTERS.fullmatch(w)] if before or not self.spaced else []
+        if len(runs) < 2:
+            return self._bytes([before + w for w in words])
+        groups = [before + " ".join(runs[k : k + TOGETHER]) for k in range(0, len(runs), TOGETHER)]
+        ids = np.concatenate([np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch_fast(groups, add_special_tokens=False)])
+        at = np.flatnonzero(self.edge[ids])
+        at = np.append(at, len(ids)) if self.spaced else np.append(0, at + 1)
+        if len(at) != len(runs) + 1:
+            return self._bytes([before + w for w in words])
+        raw = ids.astype(f"<u{array(self.code).itemsize}").tobytes()
+        at = (at * array(self.code).itemsize).tolist()
+        found = {w: raw[a:b] for w, a, b in zip(runs, at, at[1:])}
+        rest = [w for w in words if w not in found]
+        found.update(zip(rest, self._bytes([before + w for w in rest])))
+        return [found[w] for w in words]
+
     def _learn(self, known: Words, words: set[str], before: str) -> None:
         words = known.recalled(words)
         if self.spaced:
@@ -76,7 +103,7 @@ class WordEncoder:
             else:
                 new.append(w)
         new += {c for _, c, _ in ended if c not in known and c not in words}
-        known.update(zip(new, self._bytes([before + w for w in new])))
+        known.update(zip(new, self._words(new, before)))
         marks = {m for _, _, m in ended if m not in self.marks}
         self.marks.update(zip(marks, self._bytes(list(marks))))
         for w, core, m in ended:
@@ -120,12 +147,18 @@ class WordEncoder:
                 yield self._bytes([text])[0]
 
 
+def worker_cache() -> dict:
+    """What a Python worker keeps from task to task. The module's own names are made anew for each task, as
+    functions travel by value; an entry in ``sys.modules`` lasts as long as the worker."""
+    return sys.modules.setdefault("_intentloom_worker", types.ModuleType("_intentloom_worker")).__dict__
+
+
 def encoder(path: str, spaced: bool, width: int = 4) -> WordEncoder:
     """One encoder for each Python worker, kept between its batches and tasks."""
-    key = (path, spaced, width)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = WordEncoder(path, spaced, width)
-    return _ENCODERS[key]
+    key = f"{path} {spaced} {width}"
+    if key not in worker_cache():
+        worker_cache()[key] = WordEncoder(path, spaced, width)
+    return worker_cache()[key]
 
 
 def texts_of(column) -> list[str]:

@@ -28,6 +28,7 @@ from intentloom.session import through_table
 
 COORDINATES = 64
 MATCHES = 33
+STEP = 16  # coordinates counted at a time
 PERCENT = 75
 COLUMNS = 1 << 13  # shingles compared at a time
 
@@ -44,8 +45,9 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def same_row(id_col: str, text_col: str) -> Column:
-    """A number that rows of equal id and text share."""
-    return F.xxhash64(id_col, text_col)
+    """128 bits that rows of equal id and text share: two hashes with unlike beginnings."""
+    halves = [F.lpad(F.hex(F.xxhash64(F.lit(seed), id_col, text_col)), 16, "0") for seed in ("one", "two")]
+    return F.unhex(F.concat(*halves))
 
 
 def shingled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -63,7 +65,7 @@ def shingled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], ["doc_id", "row", "n", "key", "sig"])
 
     picked = docs.select(F.col(id_col).cast("long"), same_row(id_col, text_col), F.col(text_col))
-    return picked.mapInArrow(rows, "doc_id long, row long, n long, key binary, sig array<int>")
+    return picked.mapInArrow(rows, "doc_id long, row binary, n long, key binary, sig array<int>")
 
 
 def posting_lists(nodes: DataFrame) -> DataFrame:
@@ -78,13 +80,21 @@ def posting_lists(nodes: DataFrame) -> DataFrame:
 
 
 def agreeing(units: np.ndarray, table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one unit whose signatures agree in ``MATCHES`` places or more."""
+    """Pairs of one unit that collide under ``MATCHES`` coordinates or more.
+
+    Collisions are counted ``STEP`` coordinates at a time; a pair that cannot reach the threshold with the
+    coordinates left is skipped from there on.
+    """
     sig = np.asarray(table.column("sig").combine_chunks().flatten()).reshape(-1, COORDINATES)
     i, j = [], []
     for a, b in lagged(units):
-        hit = (sig[a] == sig[b]).sum(axis=1) >= MATCHES
-        i.append(a[hit])
-        j.append(b[hit])
+        count = np.zeros(len(a), np.int64)
+        for c in range(0, COORDINATES, STEP):
+            count += (sig[a, c : c + STEP] == sig[b, c : c + STEP]).sum(axis=1)
+            on = count + (COORDINATES - c - STEP) >= MATCHES
+            a, b, count = a[on], b[on], count[on]
+        i.append(a)
+        j.append(b)
     return np.concatenate([*i, np.zeros(0, int)]), np.concatenate([*j, np.zeros(0, int)])
 
 

@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from intentloom.llm import blocks, minhash, shingles
+from intentloom.llm import blocks, common, minhash, shingles
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -159,3 +159,22 @@ def test_lags_give_every_pair_of_a_unit(n):
     units = np.repeat([0, 1, 2], [n, 2, 3])
     pairs = {(int(a), int(b)) for i, j in blocks.lagged(units) for a, b in zip(i, j)}
     assert pairs == {(a, b) for a in range(n + 5) for b in range(a + 1, n + 5) if units[a] == units[b]}
+
+
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_components_in_one_task_and_by_rounds(spark, monkeypatch, few, tmp_path):
+    monkeypatch.setattr(common, "FEW_LINKS", few)
+    rng = random.Random(4)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 460)] + [(7, 7)]
+    tables = []
+    for k in range(2):
+        spark.createDataFrame(links[k::2], "a long, b long").repartition(3).write.parquet(f"{tmp_path}/{k}")
+        tables.append(spark.read.parquet(f"{tmp_path}/{k}"))
+    sets = common.Forest(500)
+    for i, j in links:
+        sets.link(i, j)
+    want = sorted((i, sets.root(i)) for i in {x for a, b in links if a != b for x in (a, b)})
+    assert sorted(map(tuple, common.components(*tables).collect())) == want
+    assert common.components(tables[0].limit(0)).count() == 0
+    keys = spark.createDataFrame([(bytes([a]), bytes([b])) for a, b in [(200, 3), (3, 100), (9, 8)]], "a binary, b binary")
+    assert sorted((bytes(n), bytes(r)) for n, r in common.components(keys).collect()) == [(b"\x03", b"\x03"), (b"\x08", b"\x08"), (b"\x09", b"\x08"), (b"d", b"\x03"), (b"\xc8", b"\x03")]
