@@ -91,17 +91,21 @@ class WordEncoder:
 
     def _learn(self, known: Words, words: set[str], before: str) -> None:
         words = known.recalled(words)
-        if self.spaced:
-            words = {w for w in words if w and not w[-1].isspace() and (before or not w[0].isspace())}
         if not words:
             return
         new, ended = [], []
         for w in words:
-            core = w.rstrip(MARKS)
-            if core != w and core and core[-1].isalnum():  # its marks are a token run of their own
-                ended.append((w, core, w[len(core) :]))
-            else:
+            last = w[-1:]
+            if last in MARKS and last:
+                core = w.rstrip(MARKS)
+                if core and core[-1].isalnum():  # its marks are a token run of their own
+                    ended.append((w, core, w[len(core) :]))
+                    continue
+            if not self.spaced or (last and not last.isspace()):
                 new.append(w)
+        if self.spaced and not before:
+            new = [w for w in new if not w[0].isspace()]
+            ended = [e for e in ended if not e[0][0].isspace()]
         new += {c for _, c, _ in ended if c not in known and c not in words}
         known.update(zip(new, self._words(new, before)))
         marks = {m for _, _, m in ended if m not in self.marks}
