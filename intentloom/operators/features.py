@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -200,25 +200,6 @@ def _sparse_parts(
     return rows, [id_col, *carry]
 
 
-@F.udf(VectorUDT())
-def _unit_vector(size, idx, raw):
-    norm = sum(v * v for v in raw) ** 0.5
-    return Vectors.sparse(size, idx, [v / norm for v in raw])
-
-
-def tfidf_vectors(
-    df: DataFrame,
-    vocab: DataFrame,
-    id_col: str = "sample_id",
-    ngram_range: tuple[int, int] = NGRAM_RANGE,
-    size: int = MAX_FEATURES,
-    out: str = "features",
-) -> DataFrame:
-    """``df`` rows (every column but the text) with their TF-IDF vector; zero for a row without a known term."""
-    parts, cols = _sparse_parts(df, vocab, id_col, ngram_range)
-    return parts.select(*cols, _unit_vector(F.lit(size), "_cells.idx", "_cells.raw").alias(out))
-
-
 def stored_tfidf_vectors(
     df: DataFrame,
     vocab: DataFrame,
@@ -227,9 +208,9 @@ def stored_tfidf_vectors(
     size: int = MAX_FEATURES,
     out: str = "features",
 ) -> DataFrame:
-    """The same by way of a written table, for readers that pass over the vectors many times.
+    """``df`` rows (every column but the text) with their TF-IDF vector; zero for a row without a known term.
 
-    The table stores a vector as a plain struct and is read back as vectors: no Python worker.
+    They go by way of a written table, as fits pass over the vectors many times. The table stores a vector as a plain struct and is read back as vectors: no Python worker.
     """
     parts, cols = _sparse_parts(df, vocab, id_col, ngram_range)
     norm = F.sqrt(F.aggregate("_cells", F.lit(0.0).cast("double"), lambda a, c: a + c["raw"] * c["raw"]))

@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from intentloom.functions.hashing import SEED, hash_int, hash_unit, row_hash
+from intentloom.functions.hashing import SEED, hash_int, row_hash
 from intentloom.functions.scale import broadcast_small, hash_cuts, hash_rank
 from intentloom.functions.text import random_swap, synonym_replace
-from intentloom.operators.quality import label_lookup
 
 SPLITS = {"train": 70, "val": 15, "test": 15}
 
@@ -151,35 +150,3 @@ def with_class_weights(df: DataFrame, label: str = "label", out: str = "weight")
     """Every row with the balanced weight of its class; null where the label is."""
     weights = class_weights(df, label).select(label, F.col("weight").alias(out))
     return df.join(broadcast_small(weights), label, "left")
-
-
-def perturb_predictions(
-    df: DataFrame,
-    dictionary: DataFrame,
-    id_col: str = "prediction_id",
-    keep: float = 0.8,
-    noisy: float = 0.05,
-    low: float = 0.85,
-    num_labels: int | None = None,
-    seed: int = SEED,
-) -> DataFrame:
-    """A robustness set: a kept share of the rows, some labels moved by one, confidences lowered.
-
-    Both draws are exact counts, found as one hash cut each over the whole table.
-    """
-    hashed = df.withColumn("_keep", row_hash(id_col, seed=f"{seed}keep")).withColumn(
-        "_noise", row_hash(id_col, seed=f"{seed}noise")
-    )
-    cut = hash_cuts(hashed, [], "_keep", {"cut": F.floor(F.col("_total") * F.lit(keep))}).first()["cut"]
-    kept = hashed.filter(F.col("_keep") <= F.lit(cut or ""))
-    cut = hash_cuts(kept, [], "_noise", {"cut": F.floor(F.col("_total") * F.lit(noisy))}).first()["cut"]
-    step = F.when(F.pmod(hash_int(row_hash(id_col, seed=f"{seed}step")), F.lit(2)) == 0, -1).otherwise(1)
-    top = (num_labels or dictionary.count()) - 1
-    moved = F.greatest(F.lit(0), F.least(F.lit(top), F.col("predicted_label") + step))
-    factor = F.lit(low) + (1 - F.lit(low)) * hash_unit(row_hash(id_col, seed=f"{seed}factor"))
-    changed = kept.select(
-        id_col,
-        F.when(F.col("_noise") <= F.lit(cut or ""), moved).otherwise(F.col("predicted_label")).alias("predicted_label"),
-        (F.col("confidence") * factor).alias("confidence"),
-    )
-    return label_lookup(changed, dictionary, "predicted_label", "predicted_label_name")

@@ -9,7 +9,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, OneVsRestModel, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -84,14 +84,27 @@ def fit_all(
 
 def model_sweep(
     train_vectors: DataFrame, test_vectors: DataFrame, estimators: Mapping[str, Estimator], save_to: str | None = None
-) -> tuple[DataFrame, str, Model]:
-    """All models on the same vectors: (ranked metrics, best name, best model); the best is saved if asked."""
+) -> tuple[DataFrame, str, Model, dict[str, Model]]:
+    """All models on the same vectors: (ranked metrics, best name, best model, all models); the best is saved if asked."""
     fitted, metrics = fit_all(estimators, train_vectors, test_vectors)
     ranked = evaluation.model_comparison(metrics)
     best = ranked.filter("rank = 1").first()["model"]
     if save_to:
         fitted[best].write().overwrite().save(save_to)
-    return ranked, best, fitted[best]
+    return ranked, best, fitted[best], fitted
+
+
+def objective_history(model: Model) -> list[float]:
+    """The objective after each iteration of a fitted linear model (of one against the rest: all parts in turn); a
+    forest has none. A model read from a file does not know it any more."""
+    if isinstance(model, RandomForestClassificationModel):
+        return []
+    parts = model.models if isinstance(model, OneVsRestModel) else [model]
+    return [v for m in parts if getattr(m, "hasSummary", False) for v in _summary(m).objectiveHistory]
+
+
+def _summary(model: Model):
+    return model.summary() if callable(model.summary) else model.summary
 
 
 def learning_curve(

@@ -60,13 +60,6 @@ def class_weights_rows(spark, d):
     )
 
 
-def perturb_predictions(spark, d):
-    out = s.perturb_predictions(t.predictions(spark, d), t.event_dictionary(spark, d))
-    return out.select(
-        "prediction_id", "predicted_label", "predicted_label_name", F.round("confidence", 6).alias("confidence")
-    )
-
-
 # the invented prose holds few banking words, so the column op is also run with words it does hold
 WIDE_SYNONYMS = {**SYNONYMS, "the": "this", "le": "un", "der": "ein", "el": "un", "and": "plus"}
 
@@ -101,19 +94,6 @@ def augment_sql(view: str) -> str:
       union all select label, text, sample_id, copy_no from made"""
 
 
-PERTURB_SQL = """kept as (select * from (select *, row_number() over (order by md5('42keep|' || prediction_id)) as rn, count(*) over () as n
-             from predictions) where rn <= floor(n * 0.8::double)),
-          noisy as (select *, row_number() over (order by md5('42noise|' || prediction_id)) as rk, count(*) over () as nk from kept),
-          moved as (select prediction_id, case when rk <= floor(nk * 0.05::double) then
-              greatest(0, least((select count(distinct predicted_label) - 1 from predictions), predicted_label
-                + case when ('0x' || substr(md5('42step|' || prediction_id), 1, 15))::bigint % 2 = 0 then -1 else 1 end))
-              else predicted_label end as predicted_label,
-              confidence * (0.85::double + (1 - 0.85::double) * (('0x' || substr(md5('42factor|' || prediction_id), 1, 13))::bigint::double
-                / 4503599627370496::double)) as confidence from noisy),
-          names as (select predicted_label, min(predicted_label_name) as predicted_label_name from predictions group by 1),
-          changed as (select * from moved join names using (predicted_label))
-          """
-
 QUERIES = {
     "stratified_split": stratified_split,
     "few_shot_sample": few_shot_sample,
@@ -126,7 +106,6 @@ QUERIES = {
     "random_swap": swap,
     "class_weights": class_weights,
     "class_weights_rows": class_weights_rows,
-    "perturb_predictions": perturb_predictions,
 }
 
 _WIDE = "map {" + ", ".join(f"'{k}': '{v}'" for k, v in WIDE_SYNONYMS.items()) + "}"
@@ -188,9 +167,4 @@ ORACLE = {
           select sample_id, label, round(weight, 6) as weight from samples join x using (label)""",
         "samples",
     ),
-    "perturb_predictions": with_views(
-        PERTURB_SQL
-        + "select prediction_id, predicted_label, predicted_label_name, round(confidence, 6) as confidence from changed",
-        "predictions",
-    ),
 }

@@ -87,14 +87,40 @@ def iso_utc(clock: str | Column) -> Column:
     return F.date_format(clock, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
 
 
-def write_alerts(alerts: DataFrame, path: str) -> None:
-    """Append alert rows as JSON lines with fixed keys, time (UTC wall time) in ISO form."""
-    alerts.select(*ALERT_KEYS[:-1], iso_utc("timestamp").alias("timestamp")).write.mode("append").json(path)
+def committed(spark: SparkSession, path: str) -> list[str]:
+    """The folders of whole batches under ``path``, ``batch=<id>`` each.
+
+    A write leaves its mark last, so a batch that broke off is not among them until it is written again.
+    """
+    marks = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch=*/_SUCCESS")
+    found = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks)
+    return sorted(str(f.getPath().getParent().toString()) for f in found or [])
+
+
+def read_batches(spark: SparkSession, path: str, schema: str, kind: str = "parquet") -> DataFrame:
+    """All whole batches of an appended table; ``schema`` names its columns, a folder's among them if wanted."""
+    folders = committed(spark, path)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).format(kind).load(folders)
+
+
+ALERT_SCHEMA = "type string, severity string, message string, value double, threshold double, timestamp string"
+METRIC_LOG_SCHEMA = "timestamp timestamp_ntz, latency_ms double, confidence double, label string, day date"
+FILES_PER_DAY = 8
+
+
+def write_alerts(alerts: DataFrame, path: str, batch: str) -> None:
+    """Append alert rows as JSON lines with fixed keys, time (UTC wall time) in ISO form.
+
+    One folder for each batch: a repeated write of a batch replaces its rows.
+    """
+    rows = alerts.select(*ALERT_KEYS[:-1], iso_utc("timestamp").alias("timestamp"))
+    rows.write.mode("overwrite").json(f"{path}/batch={batch}")
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
-    schema = "type string, severity string, message string, value double, threshold double, timestamp string"
-    return spark.read.schema(schema).json(path)
+    return read_batches(spark, path, ALERT_SCHEMA, "json")
 
 
 def metric_rows(log: DataFrame) -> DataFrame:
@@ -108,9 +134,41 @@ def metric_rows(log: DataFrame) -> DataFrame:
     )
 
 
-def write_metric_log(log: DataFrame, path: str) -> None:
-    """Append metric entries, one folder per day so that trailing windows open few files."""
-    metric_rows(log).write.mode("append").partitionBy("day").parquet(path)
+def write_metric_log(log: DataFrame, path: str, batch: str, files_per_day: int = FILES_PER_DAY) -> None:
+    """Append metric entries, one folder per batch and day so that trailing windows open few files.
+
+    A day's rows of a batch go to ``files_per_day`` files at most, a crowded day to that many tasks. A
+    repeated write of a batch replaces its rows.
+    """
+    rows = metric_rows(log)
+    dealt = rows.repartition(F.col("day"), F.pmod(F.xxhash64("timestamp", "latency_ms", "confidence"), F.lit(files_per_day)))
+    dealt.write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch={batch}")
+
+
+def read_metric_log(spark: SparkSession, path: str) -> DataFrame:
+    return read_batches(spark, path, METRIC_LOG_SCHEMA)
+
+
+RUN_SCHEMA = "run_id string, experiment string, run_name string, accuracy double, f1_macro double, f1_weighted double, status string"
+HISTORY_SCHEMA = "run_id string, run_name string, epoch int, objective double"
+
+
+def write_run(runs: DataFrame, history: DataFrame, path: str, run: str) -> None:
+    """Add one training run to a run log: its final metrics and the objective of every iteration.
+
+    A run is whole once its metrics are there; they are written last. A repeated run replaces its rows.
+    """
+    history.write.mode("overwrite").parquet(f"{path}/history/batch={run}")
+    runs.write.mode("overwrite").parquet(f"{path}/runs/batch={run}")
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    return read_batches(spark, f"{path}/runs", RUN_SCHEMA)
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """Iterations of the whole runs."""
+    return read_batches(spark, f"{path}/history", HISTORY_SCHEMA).join(F.broadcast(read_runs(spark, path).select("run_id").distinct()), "run_id", "left_semi")
 
 
 def prediction_audit(log: DataFrame) -> DataFrame:

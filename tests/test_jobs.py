@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from intentloom.operators import training
+from intentloom.operators import evaluation, quality, training
 from intentloom.plans import jobs
 from intentloom.sources import io
 from intentloom.sources.labels import LABEL_NAMES, label_dictionary
@@ -81,12 +81,52 @@ def test_label_names(spark):
     assert label_dictionary(spark).filter("label = 11").first()["label_name"] == "card_arrival"
 
 
-@pytest.mark.parametrize("make", [training.linear_svc, lambda n: training.random_forest(n, trees=10, depth=5)])
-def test_every_kind_of_model_scores(spark, raw, tmp_path, make):
-    splits = str(tmp_path / "splits")
+@pytest.mark.parametrize("make", [training.logreg, training.linear_svc, lambda n: training.random_forest(n, trees=10, depth=5)])
+def test_every_kind_of_model_is_stored_and_scores(spark, raw, tmp_path, make):
+    """Train, save, load, score and explain from files; the loaded model gives what the fitted one gave."""
+    splits, out, names, runs = (str(tmp_path / n) for n in ("splits", "out", "names", "runs"))
     jobs.prepare(spark, str(raw / "first"), str(raw / "second"), splits)
-    _, model, vocab = jobs.train(spark, splits, str(tmp_path / "out"), lambda n: {"model": make(n)}, max_features=100)
+    for _ in range(2):  # a repeated run counts once
+        _, model, vocab = jobs.train(spark, splits, out, lambda n: {"model": make(n)}, max_features=100, runs=runs, run="first")
+    spark.createDataFrame([(0, "a"), (1, "b")], "label int, label_name string").write.parquet(names)
+    rows = f"{splits}/split=test"
+    summary = jobs.score_table(spark, out, rows, names, str(tmp_path / "scored")).first()
+    assert summary["rows"] == 90 and summary["distinct_labels"] == 3
+    columns = ["sample_id", "label", "predicted_label", "predicted_label_name", "confidence"]
+    got = spark.read.parquet(str(tmp_path / "scored")).select(columns)
     test = io.read_splits(spark, splits, ["test"]).select("sample_id", "text", "label")
-    names = spark.createDataFrame([(0, "a"), (1, "b")], "label int, label_name string")
-    scored = jobs.score(test, model, vocab, names)
-    assert scored.count() == 90 and scored.filter("label = predicted_label").count() >= 80
+    want = jobs.score(test, model, vocab, spark.read.parquet(names)).select(columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert got.filter("label = predicted_label").count() >= 80
+    assert {r["passed"] for r in spark.read.json(f"{out}/validation").collect()} <= {True, False}
+    assert spark.read.json(f"{out}/validation").count() == 4
+
+    best = evaluation.best_run(io.read_runs(spark, runs)).collect()
+    assert [(r["run_id"], r["experiment"], r["run_name"]) for r in best] == [("first", splits, "model")]
+    history = io.read_history(spark, runs)
+    if hasattr(model, "trees"):
+        assert history.count() == 0
+        with pytest.raises(TypeError):
+            jobs.explain_table(spark, out, rows, names, str(tmp_path / "terms"))
+    else:
+        points = quality.history_series(history.withColumn("loss", -F.col("objective")), ["objective"], "loss").orderBy("epoch").collect()
+        assert [r["epoch"] for r in points] == list(range(len(points))) and len(points) > 2
+        terms = jobs.explain_table(spark, out, rows, names, str(tmp_path / "terms"))
+        assert terms.filter("class_name = 'a' and term = 'alpha'").count() == 1
+
+
+def test_runs_without_metrics_are_not_read(spark, tmp_path):
+    runs = spark.createDataFrame([("r", "e", "m", 0.9, 0.8, 0.8, "REGISTERED")], io.RUN_SCHEMA)
+    history = spark.createDataFrame([("r", "m", 0, 1.5)], io.HISTORY_SCHEMA)
+    assert io.read_runs(spark, str(tmp_path)).count() == 0
+    io.write_run(runs, history, str(tmp_path), "r")
+    history.withColumn("run_id", F.lit("broken")).write.parquet(f"{tmp_path}/history/batch=broken")
+    assert [r["run_id"] for r in io.read_history(spark, str(tmp_path)).collect()] == ["r"]
+
+
+def test_few_rows_are_marked(spark, tmp_path):
+    rows = spark.range(100).select((F.col("id") % 5).cast("int").alias("predicted_label"), (F.col("id") / 100).alias("confidence"))
+    rows.write.parquet(str(tmp_path / "ref"))
+    rows.limit(10).write.parquet(str(tmp_path / "cur"))
+    assert jobs.monitor(spark, str(tmp_path / "ref"), str(tmp_path / "cur"), str(tmp_path / "d")).first()["too_few"] is True
+    assert jobs.monitor(spark, str(tmp_path / "ref"), str(tmp_path / "ref"), str(tmp_path / "e")).first()["too_few"] is False

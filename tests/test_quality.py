@@ -111,18 +111,6 @@ def test_class_weights(spark):
         s.class_weights(df, expected=[0, 1, 2])
 
 
-def test_perturb_bounds(spark):
-    df = spark.range(1_000).select(F.col("id").alias("prediction_id"), (F.col("id") % 5).cast("int").alias("predicted_label"), F.lit(1.0).alias("confidence"))
-    names = spark.range(5).select(F.col("id").cast("int").alias("label"), F.concat(F.lit("n"), F.col("id")).alias("label_name"))
-    out = s.perturb_predictions(df, names)
-    rows = out.collect()
-    assert len(rows) == 800
-    assert all(0.85 <= r["confidence"] < 1.0 and r["predicted_label_name"] == f"n{r['predicted_label']}" for r in rows)
-    moved = [r for r in rows if r["predicted_label"] != r["prediction_id"] % 5]
-    assert 0 < len(moved) <= 40
-    assert all(abs(r["predicted_label"] - r["prediction_id"] % 5) == 1 for r in moved)
-
-
 def test_rows_without_a_label(spark):
     df = spark.createDataFrame([(i, None if i % 5 == 0 else i % 2) for i in range(100)], "sample_id long, label int")
     split = s.stratified_split(df)

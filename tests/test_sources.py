@@ -54,17 +54,34 @@ def test_metrics_json_keeps_numbers(spark, tmp_path):
     assert got == {"accuracy": 0.91, "epochs": 6.0, "done": 1.0}
 
 
-def test_alert_lines_append(spark, tmp_path):
+def test_alert_lines_append_once(spark, tmp_path):
     path = str(tmp_path / "alerts")
     alerts = spark.createDataFrame(
         [("latency_spike", "warning", "m", 120.0, 100.0)], "type string, severity string, message string, value double, threshold double"
     ).withColumn("timestamp", F.expr("timestamp_ntz'2024-01-02 03:04:05.678'"))
-    io.write_alerts(alerts, path)
-    io.write_alerts(alerts, path)
-    lines = [json.loads(x) for f in (tmp_path / "alerts").glob("*.json") for x in f.read_text().splitlines()]
-    assert len(lines) == 2
+    assert io.read_alerts(spark, path).count() == 0
+    for batch in ("a", "a", "b"):  # one is tried again
+        io.write_alerts(alerts, path, batch)
+    lines = [json.loads(x) for f in (tmp_path / "alerts").glob("batch=*/*.json") for x in f.read_text().splitlines()]
+    assert len(lines) == io.read_alerts(spark, path).count() == 2
     assert list(lines[0]) == ["type", "severity", "message", "value", "threshold", "timestamp"]
     assert lines[0]["timestamp"] == "2024-01-02T03:04:05.678000+00:00"
+    (tmp_path / "alerts" / "batch=b" / "_SUCCESS").unlink()  # a batch that broke off
+    assert io.read_alerts(spark, path).count() == 1
+
+
+def test_metric_log_batches(spark, tmp_path):
+    path = str(tmp_path / "log")
+    log = spark.range(5_000).select(
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id * 40)").alias("ts"),
+        F.col("id").cast("double").alias("latency_ms"), F.lit(0.5).alias("confidence"), F.lit("x").alias("predicted_label_name"),
+    )
+    for batch in ("1", "1", "2"):
+        io.write_metric_log(log, path, batch, files_per_day=3)
+    back = io.read_metric_log(spark, path)
+    assert back.count() == 10_000 and back.filter("day = date'2024-01-02'").count() == 2 * 2_160
+    days = list((tmp_path / "log" / "batch=1").glob("day=*"))
+    assert len(days) == 3 and all(1 <= len(list(day.glob("*.parquet"))) <= 3 for day in days)
 
 
 def test_audit_details(spark):
