@@ -30,9 +30,10 @@ def test_models_learn(vectors, make):
 def test_sweep_ranks_and_saves(spark, vectors, tmp_path):
     (train, test, _), _, _ = vectors
     models = {"strong": training.logreg(train.count()), "weak": training.logreg(train.count(), c=1e-9)}
-    ranked, best, _ = training.model_sweep(train, test, models, save_to=str(tmp_path / "model"))
+    ranked, best, _, fitted = training.model_sweep(train, test, models, save_to=str(tmp_path / "model"))
     assert best == "strong" and [r["model"] for r in ranked.orderBy("rank").collect()] == ["strong", "weak"]
     assert LogisticRegressionModel.load(str(tmp_path / "model")).numClasses == 3
+    assert set(fitted) == {"strong", "weak"} and len(training.objective_history(fitted["strong"])) > 1
 
 
 def test_vocabulary_is_of_the_training_split_only(vectors):
