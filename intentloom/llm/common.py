@@ -36,16 +36,21 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def bucketed_rank(df: DataFrame, group: Sequence[str], bucket: str, order: Sequence[Column], out: str) -> DataFrame:
+def bucketed_rank(
+    df: DataFrame, group: Sequence[str], bucket: str, order: Sequence[Column], out: str, about: DataFrame | None = None
+) -> DataFrame:
     """1-based rank of each row within ``group``, by (bucket, order), without sorting a group in one task.
 
     Buckets are counted, the counts are summed up within the group, and only rows of one bucket are
     sorted together. ``df`` is read twice, so it should be cheap to read; group and bucket hold no nulls.
+    Columns of ``about``, a row per group, come along with the counts: no row is dealt by its group alone.
     """
     group = list(group)
     counts = df.groupBy(*group, bucket).agg(F.count(F.lit(1)).alias("_rows"))
     upto = W.partitionBy(*group).orderBy(bucket).rowsBetween(W.unboundedPreceding, W.currentRow)
     before = counts.select(*group, bucket, (F.sum("_rows").over(upto) - F.col("_rows")).alias("_before"))
+    if about is not None:
+        before = before.join(about, group)
     inside = W.partitionBy(*group, bucket).orderBy(*order)
     return (
         df.join(before, [*group, bucket])
@@ -54,6 +59,22 @@ def bucketed_rank(df: DataFrame, group: Sequence[str], bucket: str, order: Seque
     )
 
 
+def sums_before(df: DataFrame, order: Sequence[Column], **sums: str) -> DataFrame:
+    """``df`` with, for each ``name=column``, the sum of that column over all rows before it in ``order``.
+
+    Rows are dealt to tasks by ranges of ``order``; a range adds up its own rows, and the totals of the
+    ranges, one row each, are added up among themselves. ``order`` leaves no ties.
+    """
+    part, first = free_name(df, "part"), W.unboundedPreceding
+    dealt = through_table(df.repartitionByRange(*order).withColumn(part, F.spark_partition_id()), "ranges")
+    upto = W.orderBy(part).rowsBetween(first, -1)  # over one row per task
+    totals = dealt.groupBy(part).agg(*[F.sum(c).alias(f"_{n}") for n, c in sums.items()])
+    totals = totals.select(part, *[F.coalesce(F.sum(f"_{n}").over(upto), F.lit(0)).alias(f"_{n}") for n in sums])
+    inside = W.partitionBy(part).orderBy(*order).rowsBetween(first, -1)
+    added = [(F.col(f"_{n}") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(n) for n, c in sums.items()]
+    return dealt.join(F.broadcast(totals), part).select(*df.columns, *added)
+
+
 #: Links that one task joins up by itself: some megabytes, whatever the corpus. More go by rounds.
 FEW_LINKS = 100_000
 

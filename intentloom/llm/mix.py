@@ -8,7 +8,7 @@ document of the largest class at most.
 
 Defined results: null or empty text has size 0 and is drawn like any other; a null source is a source
 of its own, last in order; a source of size 0 has target and copies 0; repeated rows are drawn each on
-their own; an empty table gives an empty result. The caller's columns travel in one
+their own; an empty table gives an empty result; sources may be as many as documents. The caller's columns travel in one
 struct, so no name of theirs can clash.
 """
 
@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from intentloom.llm.common import WORD, bucketed_rank, read
+from intentloom.llm.common import WORD, bucketed_rank, read, sums_before
 from intentloom.session import through_table
 
 WEIGHTS = (3, 1, 2)
@@ -28,7 +28,6 @@ SHARE = 1.5  # of all words
 CAP = 2  # times its size that a source, and so a document, is taken at most
 SEED = "mix-1"
 OFFSETS = 1024
-MAX_SOURCES = 100_000  # sources are names of corpora; beyond that the weights are not meant one by one
 BUCKET_ROWS = 1 << 20
 
 
@@ -36,24 +35,25 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def targets(sizes: dict[str | None, int], weights: Sequence[float] = WEIGHTS, share: float = SHARE) -> list[tuple]:
-    """(source, size, target) with ``share`` of all words dealt by weight and no target above its cap.
+def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE) -> DataFrame:
+    """``sizes`` (of, n: one row per source) with ``target``: ``share`` of all words dealt by weight, none above its cap.
 
     What is above a cap is dealt again by weight among the others until none is above. Filling sources
-    in the order of cap / weight gives that state at once.
+    in the order of cap / weight gives that state at once: the level is what is left over the weights left
+    at the first source that is not filled. Both come from prefix sums, so sources may be as many as rows.
     """
-    names = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
-    weigh = {s: weights[i % len(weights)] for i, s in enumerate(names)}
-    left, rest = share * sum(sizes.values()), sum(weigh.values())
-    level = 0.0
-    for s in sorted(names, key=lambda s: CAP * sizes[s] / weigh[s]):
-        level = left / rest
-        if CAP * sizes[s] > weigh[s] * level:
-            break
-        left, rest = left - CAP * sizes[s], rest - weigh[s]
-        if not rest:
-            level = math.inf
-    return [(s, sizes[s], float(min(CAP * sizes[s], weigh[s] * level))) for s in names]
+    by_name = F.col("of").asc_nulls_last()
+    placed = sums_before(sizes.withColumn("one", F.lit(1)), [by_name], place="one")
+    weight = F.get(F.array(*[F.lit(w) for w in weights]), (F.col("place") % len(weights)).cast("int"))
+    dealt = through_table(placed.select("of", "n", weight.alias("weight"), (CAP * F.col("n")).alias("cap")), "weights")
+    words, weigh = dealt.agg(F.sum("n"), F.sum("weight")).first()
+    height = (F.col("cap") / F.col("weight")).alias("height")
+    filled = sums_before(dealt.select("*", height), [F.col("height"), by_name], caps="cap", weights="weight")
+    level = (F.lit(share * (words or 0)) - F.col("caps")) / (F.lit(weigh or 0) - F.col("weights"))
+    first = F.min(F.struct("height", F.col("of").isNull(), "of", level.alias("level")))
+    stop = filled.filter(F.col("cap") > F.col("weight") * level).agg(first.alias("first")).first()["first"]
+    dealt_out = F.col("weight") * F.lit(stop["level"] if stop else math.inf)
+    return dealt.select("of", "n", F.least(F.col("cap").cast("double"), dealt_out).alias("target"))
 
 
 def mix_copies(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source", seed: str = SEED) -> DataFrame:
@@ -61,27 +61,22 @@ def mix_copies(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col
 
     ``docs`` is read three times; what it carries (such as texts) moves through one shuffle.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("id"), F.col(source_col).alias("of"), size.alias("size"))
-    found = rows.groupBy("of").agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("rows"))
-    found = found.limit(MAX_SOURCES + 1).collect()
-    if len(found) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    digits = 1 + max(0, math.ceil(math.log(max(1, sum(r["rows"] for r in found)) / BUCKET_ROWS / 16, 16)))
+    found = through_table(rows.groupBy("of").agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("rows")), "sources")
+    total = found.agg(F.sum("rows")).first()[0] or 1
+    digits = 1 + max(0, math.ceil(math.log(total / BUCKET_ROWS / 16, 16)))
     known = F.coalesce(F.concat(F.lit("s"), F.col("of")), F.lit("n")).alias("of")
-    plan = spark.createDataFrame(
-        [(s, int(n), t, t / n if n else 0.0) for s, n, t in targets({r["of"]: r["n"] for r in found})],
-        "of string, source_size long, target double, rate double",
-    ).select(known, "source_size", "target", "rate")
+    rate = F.when(F.col("n") > 0, F.col("target") / F.col("n")).otherwise(0.0).alias("rate")
+    plan = targets(found.select("of", "n")).select(known, F.col("n").alias("source_size"), "target", rate)
     marked = rows.select(
         "doc", "size", known, F.md5(F.concat_ws("|", F.lit(seed), F.col("id").cast("string"))).alias("key"),
         F.greatest(F.length(F.bin("size")) - 4, F.lit(0)).alias("bits"),
     )
     long_first = F.lpad((1_000_000 - F.expr("bits * 16 + shiftright(size, bits)")).cast("string"), 7, "0")
     marked = marked.withColumn("bucket", F.concat(long_first, F.substring("key", 1, digits)))
-    ranked = bucketed_rank(marked, ["of"], "bucket", [F.col("key"), F.col("size")], "rank")
+    ranked = bucketed_rank(marked, ["of"], "bucket", [F.col("key"), F.col("size")], "rank", plan)
     start = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), "of")), 1, 8), 16, 10).cast("long")
-    drawn = ranked.join(F.broadcast(plan), "of").withColumn("u", (start % OFFSETS + F.lit(0.5)) / OFFSETS)
+    drawn = ranked.withColumn("u", (start % OFFSETS + F.lit(0.5)) / OFFSETS)
     crossed = F.floor(F.expr("rank * rate + u")) - F.floor(F.expr("(rank - 1) * rate + u"))
     copies = F.when(F.col("size") == 0, 0).otherwise(F.least(crossed, F.lit(CAP))).cast("int")
     return drawn.select("doc", "size", "source_size", "target", copies.alias("copies"))

@@ -6,6 +6,7 @@ import collections
 import random
 
 import corpus_pipeline
+from test_mix import dealt
 from test_host_quality import brute as measures_of
 from test_minhash import brute as components_of
 from test_minhash import prose
@@ -74,7 +75,7 @@ def test_stages_equal_plain_python(spark):
             for r in after:
                 taken[r["source"]] += len(r["text"].split())
             most = max(sizes.values())
-            assert all(abs(taken[s] - t) <= most for s, _, t in mix.targets(dict(per)))
+            assert all(abs(taken[s] - t) <= most for s, t in dealt(dict(per)).items())
             copies = plain(after)
             assert all(copies[x] <= 2 * n for x, n in plain(before).items()) and not copies - (plain(before) + plain(before))
         if k == 4:
