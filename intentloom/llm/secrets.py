@@ -78,12 +78,20 @@ def _matches(text: Column, pattern: str, group: int = 0) -> Column:
     return F.when(text.rlike(pattern), F.regexp_extract_all(text, F.lit(pattern), F.lit(group)))
 
 
-def fit_ratio(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", rows: int = TRAIN_DOCS) -> MarkovRatio:
-    """Both models, fitted on about ``rows`` rows at most; every step has ``SMOOTHING`` counts from the start."""
-    n = docs.count()
+def drawn_rows(docs: DataFrame, text_col: str, id_col: str, rows: int) -> DataFrame:
+    """(h, t): texts of about ``rows`` distinct rows at most, drawn by a hash of id and text.
+
+    Neither missing nor repeated ids move its size, and a repeated row is drawn once.
+    """
+    marked = docs.select(F.xxhash64(id_col, text_col).alias("h"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    n = marked.agg(F.approx_count_distinct("h", 0.01)).first()[0]
     cut = int(2**32 * min(1.0, rows / max(n, 1)))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    sample = docs.filter(F.pmod(F.xxhash64(F.col(id_col)), F.lit(2**32)) < cut).select(text.alias("t"))
+    return marked.filter(F.pmod("h", F.lit(2**32)) < cut).groupBy("h").agg(F.first("t").alias("t"))
+
+
+def fit_ratio(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", rows: int = TRAIN_DOCS) -> MarkovRatio:
+    """Both models, fitted on ``drawn_rows``; every step has ``SMOOTHING`` counts from the start."""
+    sample = drawn_rows(docs, text_col, id_col, rows)
     plain = F.col("t")
     for pattern in (ASSIGN, ACCESS, HEX):
         plain = F.regexp_replace(plain, pattern, " ")

@@ -139,3 +139,17 @@ def test_masked_texts(docs, ratio):
 
 def test_empty_table(docs):
     assert secrets.masked_documents(docs.limit(0)).count() == 0
+
+
+def test_sample_is_bounded_whatever_the_ids(spark):
+    text = "concat('some ordinary words token=', substr(sha2(cast({0} as string), 256), 1, 20), ' and name', {0})"
+    rows = spark.range(6000)
+    tables = {
+        "none": rows.selectExpr("cast(null as long) as doc_id", text.format("id") + " as text"),
+        "one": rows.selectExpr("1L as doc_id", text.format("id") + " as text"),
+        "repeated": rows.selectExpr("id % 40 as doc_id", text.format("id % 40") + " as text"),
+    }
+    for name, docs in tables.items():
+        drawn = docs.transform(lambda d: secrets.drawn_rows(d, "text", "doc_id", 600))
+        assert (500 < drawn.count() < 700) if name != "repeated" else drawn.count() == 40
+        assert any(secrets.fit_ratio(docs, rows=600).table)
