@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from intentloom.llm.blocks import whole_units
 from intentloom.llm.common import discard, read, stored, union_all
+from intentloom.llm.minhash import same_row
 from intentloom.llm.shingles import mixed
 
 SPAN = 400
@@ -81,9 +82,9 @@ def _hash2(raw: bytes) -> int:
 
 
 def documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, text, row): ``row`` is a number that rows of equal id and text share."""
+    """(doc_id, text, row): ``row`` is 128 bits that rows of equal id and text share."""
     picked = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return picked.withColumn("row", F.xxhash64("doc_id", "text"))
+    return picked.withColumn("row", same_row("doc_id", "text"))
 
 
 def occurrences(rows: DataFrame) -> DataFrame:
@@ -102,10 +103,11 @@ def occurrences(rows: DataFrame) -> DataFrame:
                         c.append(v)
             if out[0]:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in out[:4]] + [pa.array(c, pa.int32()) for c in out[4:]], ["row", "gram", "context", "at", "before", "after"]
+                    [pa.array(out[0], pa.binary())] + [pa.array(c, pa.int64()) for c in out[1:4]] + [pa.array(c, pa.int32()) for c in out[4:]],
+                    ["row", "gram", "context", "at", "before", "after"],
                 )
 
-    return rows.select("row", "text").mapInArrow(found, "row long, gram long, context long, at long, before int, after int")
+    return rows.select("row", "text").mapInArrow(found, "row binary, gram long, context long, at long, before int, after int")
 
 
 PIECE = "key long, sub long, gram long, context long, a0 int, a1 int, o int, ctx binary"
@@ -133,8 +135,8 @@ def contexts(wanted: DataFrame, rows: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([gram, context, gram, context, *ends, o, ctx], names)
 
     spots = wanted.groupBy("row").agg(F.collect_list(F.struct("gram", "context", "at")).alias("spots"))
-    texts = spots.join(rows.select("row", "text"), "row").groupBy("row").agg(F.first("spots").alias("spots"), F.first("text").alias("text"))
-    return texts.select("spots", "text").mapInArrow(cut, PIECE)
+    texts = rows.groupBy("row").agg(F.first("text").alias("text"))  # of equal rows one moves per task
+    return spots.join(texts, "row").select("spots", "text").mapInArrow(cut, PIECE)
 
 
 def split(pieces: DataFrame) -> DataFrame:

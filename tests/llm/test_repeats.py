@@ -99,3 +99,24 @@ def test_anchors_lie_alike_in_equal_strings():
 
 def test_empty_table(spark):
     assert repeats.without_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_one_hash_alike_for_all_rows(spark, monkeypatch):
+    real = repeats.F.xxhash64
+    monkeypatch.setattr(repeats.F, "xxhash64", lambda *c: repeats.F.lit(7).cast("long") if "one" in str(c[0]) else real(*c))
+    rng = random.Random(5)
+    a = prose(rng, 700)
+    rows = [(i, a + prose(rng, 300 + i)) for i in range(6)] + [(9, prose(rng, 600))]
+    got = {r["doc_id"]: digest(r) for r in repeats.without_repeats(spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA)).collect()}
+    assert got == dict(zip([i for i, _ in rows], brute([t for _, t in rows])))
+
+
+def test_long_text_ingested_many_times(spark):
+    rng = random.Random(6)
+    words = [prose(rng, 6) for _ in range(3000)]
+    long = " ".join(rng.choice(words) for _ in range(150_000))  # a megabyte
+    own = "".join(rng.choice("abcdefghij ") for _ in range(900))
+    rows = [(None, long)] * 12 + [(1, own), (2, own[:350])]
+    got = collections.Counter((r["doc_id"], r["n_bytes"], r["n_removed"]) for r in repeats.without_repeats(spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA)).collect())
+    size = len(long.encode())
+    assert got == collections.Counter({(None, size, size): 12, (1, 900, 0): 1, (2, 350, 0): 1})
