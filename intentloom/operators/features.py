@@ -1,11 +1,9 @@
-"""TF-IDF in long form (row, term, weight), class similarity, and vectors for Spark ML."""
+"""TF-IDF in long form (row, term, weight), and vectors for Spark ML."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -57,79 +55,6 @@ def class_tfidf(
     return raw.select(label, "term", "tf", (F.col("raw") / norm).alias("weight"))
 
 
-def _gram_batches(k: int, strip: int):
-    """Sum outer products of sparse class vectors, one strip of rows of the result at a time."""
-
-    step = max(1, 4_000_000 // k)  # terms at a time: 32 MB of cells
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for part, group in batch.groupby("strip"):
-                low = int(part) * strip
-                acc = sums.setdefault(int(part), np.zeros((min(strip, k - low), k)))
-                for at in range(0, len(group), step):
-                    some = group.iloc[at : at + step]
-                    rows = np.repeat(np.arange(len(some)), some["idx"].map(len))
-                    dense = np.zeros((len(some), k))
-                    dense[rows, np.concatenate(some["idx"].to_numpy())] = np.concatenate(some["w"].to_numpy())
-                    acc += dense[:, low : low + acc.shape[0]].T @ dense
-        for part, acc in sums.items():
-            i, j = np.nonzero(acc)
-            i_all = i + part * strip
-            upper = i_all < j
-            yield pd.DataFrame({"i": i_all[upper], "j": j[upper], "dot": acc[i, j][upper]})
-
-    return run
-
-
-def class_similarity(weights: DataFrame, label: str = "label_name", strip: int = 512) -> DataFrame:
-    """Cosine of every pair of classes that share a term: (class_a < class_b, similarity).
-
-    ``weights`` holds unit vectors in long form, at most vocabulary size per class. Each task adds up
-    the products of its own terms in a small matrix and emits one number per class pair, not one
-    row per term and pair.
-    """
-    weights = through_table(weights, "class-weights")
-    names = [r[0] for r in weights.select(label).distinct().orderBy(label).collect()]  # the class list
-    spark, k = weights.sparkSession, len(names)
-    index = spark.createDataFrame(pd.DataFrame({label: names, "pos": np.arange(k)}))
-    entry = F.struct(F.col("pos"), F.col("weight"))
-    by_term = (
-        weights.join(broadcast_small(index), label)
-        .groupBy("term")
-        .agg(F.collect_list(entry).alias("cells"))  # at most one cell per class
-        .select(F.col("cells.pos").alias("idx"), F.col("cells.weight").alias("w"))
-        .withColumn("strip", F.explode(F.array_distinct(F.transform("idx", lambda p: F.floor(p / strip)))))
-    )
-    sums = by_term.mapInPandas(_gram_batches(k, strip), "i long, j long, dot double")
-    pairs = sums.groupBy("i", "j").agg(F.sum("dot").alias("similarity"))
-    a = index.select(F.col("pos").alias("i"), F.col(label).alias("class_a"))
-    b = index.select(F.col("pos").alias("j"), F.col(label).alias("class_b"))
-    return pairs.join(broadcast_small(a), "i").join(broadcast_small(b), "j").select("class_a", "class_b", "similarity")
-
-
-def class_overlap_pairs(similarity: DataFrame, n: int = 5) -> DataFrame:
-    """The ``n`` most similar class pairs."""
-    rounded = similarity.select("class_a", "class_b", F.round("similarity", 6).alias("similarity"))
-    return rounded.orderBy(F.desc("similarity"), "class_a", "class_b").limit(n)
-
-
-def overlap_submatrix(similarity: DataFrame, top_pairs: int = 10, max_classes: int = 15) -> DataFrame:
-    """Similarity matrix (long form, zero diagonal) of the classes in the most similar pairs."""
-    similarity = broadcast_small(similarity)
-    leading = class_overlap_pairs(similarity, top_pairs).select(F.explode(F.array("class_a", "class_b")).alias("c"))
-    names = leading.distinct().orderBy("c").limit(max_classes).agg(F.sort_array(F.collect_list("c")).alias("names"))
-    # the limits bound this grid by max_classes squared
-    grid = names.select("names", F.explode("names").alias("class_a")).select("class_a", F.explode("names").alias("class_b"))
-    both = similarity.unionByName(
-        similarity.select(F.col("class_b").alias("class_a"), F.col("class_a").alias("class_b"), "similarity")
-    )
-    wanted = both.join(F.broadcast(grid), ["class_a", "class_b"], "left_semi")
-    cells = grid.join(wanted, ["class_a", "class_b"], "left")
-    return cells.select("class_a", "class_b", F.round(F.coalesce("similarity", F.lit(0.0)), 6).alias("similarity"))
-
-
 def vocabulary(
     df: DataFrame,
     max_features: int = MAX_FEATURES,

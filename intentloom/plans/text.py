@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from intentloom.functions.text import STOPWORDS
-from intentloom.operators import explain, features, profiling
+from intentloom.operators import explain, features, overlap, profiling
 from intentloom.plans.fixtures import with_views
 from intentloom.session import through_table
 from intentloom.sources import tables as t
@@ -45,16 +45,12 @@ def class_tfidf(spark, d):
     return out.select("label_name", "term", "tf", F.round("weight", 6).alias("weight"))
 
 
-def _similarity(spark, d):
-    return features.class_similarity(features.class_tfidf(t.samples20(spark, d)))
-
-
 def class_overlap_pairs(spark, d):
-    return features.class_overlap_pairs(_similarity(spark, d))
+    return overlap.class_overlap_pairs(features.class_tfidf(t.samples20(spark, d)))
 
 
 def overlap_submatrix(spark, d):
-    return features.overlap_submatrix(_similarity(spark, d))
+    return overlap.overlap_submatrix(features.class_tfidf(t.samples20(spark, d)))
 
 
 def tfidf_features(spark, d):

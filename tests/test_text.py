@@ -107,15 +107,6 @@ def test_vectors_equal_long_form(spark, sf_dir):
     assert flat == pytest.approx(long)
 
 
-def test_similarity_strips_agree(spark, sf_dir):
-    from intentloom.sources import tables as t
-
-    weights = features.class_tfidf(t.samples20(spark, sf_dir)).cache()
-    whole = {(r[0], r[1]): r[2] for r in features.class_similarity(weights).collect()}
-    strips = {(r[0], r[1]): r[2] for r in features.class_similarity(weights, strip=3).collect()}
-    assert len(whole) == 190 and strips == pytest.approx(whole)
-
-
 def test_class_documents_are_whole(spark):
     df = spark.createDataFrame([(i, "a" if i % 3 else "b", f"t{i}") for i in range(50)], "sample_id long, label_name string, text string")
     parts = profiling.class_documents(df, rows_per_part=7).orderBy("label_name", "part").collect()
