@@ -1,10 +1,11 @@
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import functions as F
 
-from intentloom.operators import explain, training
+from intentloom.operators import certificate, explain, training
 from intentloom.plans import training as plans
 
 
@@ -72,3 +73,31 @@ def test_fits_are_not_cut_short(spark):
     forest = plans._estimators(100)["tfidf_forest"]
     assert forest.getMaxDepth() == 30 and forest.getNumTrees() == 200
     assert {p["max_iter"] for p in training.draw_trials(50)} == {training.logreg(100).getMaxIter()}
+
+
+def objective_and_gradient(x, y, v, model, reg):
+    b, b0 = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
+    z = x @ b.T + b0
+    p = np.exp(z - z.max(axis=1, keepdims=True))
+    p /= p.sum(axis=1, keepdims=True)
+    r = v[:, None] * (p - np.eye(len(b0))[y])
+    loss = -(v * np.log(p[np.arange(len(y)), y])).sum() / v.sum()
+    return loss + reg / 2 * (b**2).sum(), r.T @ x / v.sum() + reg * b, np.abs(r.sum(axis=0)).max() / v.sum()
+
+
+@pytest.mark.parametrize("iterations, certified", [(1, False), (1000, True)])
+def test_certificate_equals_dense_numpy(vectors, iterations, certified):
+    (train, _, vocab), rows, _ = vectors
+    n = train.count()
+    model = training.logreg(n, max_iter=iterations).fit(train)
+    held = train.select("features", "label", "weight").collect()
+    x = np.array([r["features"].toArray() for r in held])
+    y, v = np.array([r["label"] for r in held]), np.array([r["weight"] for r in held])
+    objective, gradient, free = objective_and_gradient(x, y, v, model, 1 / n)
+    weighted = training.sampling.with_class_weights(rows).unionByName(
+        rows.limit(1).select("sample_id", "text", F.lit(None).cast("int").alias("label"), F.lit(None).cast("double").alias("weight"))
+    )
+    got = certificate.logreg_certificate(weighted, model, vocab, 1 / n).first()
+    assert got["rows"] == n and got["certified"] == certified
+    assert got["objective"] == pytest.approx(objective) and got["intercept_gradient"] == pytest.approx(free, abs=1e-9)
+    assert got["gap"] == pytest.approx((gradient**2).sum() * n / 2, rel=1e-6, abs=1e-12)
