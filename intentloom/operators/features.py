@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from intentloom.functions.scale import broadcast_small
-from intentloom.functions.text import STOPWORDS, let, ngrams, term_counts, tokens
+from intentloom.functions import grams
+from intentloom.functions.scale import SMALL_ROWS, broadcast_small
+from intentloom.functions.text import STOPWORDS, let, ngrams, tokens
 from intentloom.session import through_table
 
 CLASS_FEATURES = 5_000
@@ -63,22 +66,63 @@ def vocabulary(
 ) -> DataFrame:
     """The most frequent terms with their inverse document frequency: (term, idx, idf).
 
-    Terms are counted inside each row first, so one pass and one shuffle of pre-added counts
-    give both the total and the document count. The limit bounds the result.
+    Terms are counted in Arrow batches and added before they move. Single words are counted first: with
+    ``max_features`` of them found, a longer term of a word rarer than the last of these cannot be among the
+    most frequent, and is not counted. The limit bounds the result.
     """
     n_rows = F.lit(df.count() if n_rows is None else n_rows)
-    top = (
-        df.select(F.inline(term_counts(terms("text", ngram_range))))
-        .groupBy("term")
-        .agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
-        .orderBy(F.desc("total"), "term")
-        .limit(max_features)
-    )
+    found, words, sizes = None, None, ngram_range
+    if ngram_range[0] == 1 < ngram_range[1]:
+        counted = through_table(_term_totals(df, (1, 1)), "words")
+        top = _most_frequent(counted, max_features).toArrow()
+        found, sizes = df.sparkSession.createDataFrame(top, schema=counted.schema), (2, ngram_range[1])
+        if top.num_rows == max_features:
+            words = _words_from(counted, pc.min(top["total"]).as_py())
+    longer = _most_frequent(_term_totals(df, sizes, words), max_features)
+    top = longer if found is None else _most_frequent(found.unionByName(longer), max_features)
     idf = F.log((n_rows + 1) / (F.col("df") + 1)) + 1
     idx = F.row_number().over(W.orderBy("term")) - 1  # over the limited list
     return top.select("term", idx.alias("idx"), idf.alias("idf"))
 
 
+def _term_totals(df: DataFrame, sizes: tuple[int, int], words: pa.Array | None = None) -> DataFrame:
+    """(term, total, df): occurrences and rows of every term of these sizes, of ``words`` only if given."""
+    return (
+        df.select(tokens("text").alias("tokens"))
+        .mapInArrow(lambda batches: grams.total_counts(batches, sizes, words), "term string, tf bigint, df bigint")
+        .groupBy("term")
+        .agg(F.sum("tf").alias("total"), F.sum("df").alias("df"))
+    )
+
+
+def _most_frequent(counted: DataFrame, n: int) -> DataFrame:
+    return counted.orderBy(F.desc("total"), "term").limit(n)
+
+
+def _words_from(counted: DataFrame, least: int) -> pa.Array | None:
+    """The words with a total of ``least`` or more; nothing if ties make them too many to send along."""
+    rows = counted.filter(F.col("total") >= least).select("term").limit(SMALL_ROWS + 1).toArrow()
+    return None if rows.num_rows > SMALL_ROWS else rows["term"].combine_chunks()
+
+
+def _with_cells(df: DataFrame, vocab: DataFrame, ngram_range: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
+    """``df`` with its known terms as ``_cells`` of (idx, raw weight) in place of the text, and the vocabulary as a local table.
+
+    The vocabulary travels with the function, as a model's coefficients do.
+    """
+    local = vocab.select("term", F.col("idx").cast("long").alias("idx"), F.col("idf").cast("double").alias("idf")).orderBy("idx").toArrow()
+    known = local.filter(pc.is_valid(local["term"])).combine_chunks()
+    term, idx, idf = known["term"].combine_chunks(), known["idx"].to_numpy(), known["idf"].to_numpy()
+    words = pa.array(sorted({w for t in term.to_pylist() for w in t.split(" ")}), term.type)
+
+    @F.arrow_udf(grams.CELLS)
+    def cells(toks: pa.Array) -> pa.Array:
+        return grams.row_weights(toks, ngram_range, term, words, idx, idf)
+
+    kept = [c for c in df.columns if c != "text"]
+    return df.select(*kept, cells(tokens("text")).alias("_cells")), F.broadcast(df.sparkSession.createDataFrame(local))
+
+
 def tfidf_features(
     df: DataFrame,
     vocab: DataFrame | None = None,
@@ -89,22 +133,17 @@ def tfidf_features(
 ) -> DataFrame:
     """(row, term, idx, weight): weight (1 + ln tf) * idf, L2-normalised per row.
 
-    Rows are spread by id once, as compact text; everything after stays in place, and the
-    vocabulary is counted from the same shuffled text. A row without any known term has no
-    output rows.
+    Only the known terms of a row are spread by id, as one array; term texts are added at the end.
+    A row without any known term has no output rows.
     """
-    spread = df.select(id_col, *carry, "text").repartition(id_col)
     if vocab is None:
-        vocab = F.broadcast(vocabulary(spread, max_features, ngram_range, df.count()))  # bounded by max_features
-    else:
-        vocab = broadcast_small(vocab)
-    long = (
-        spread.select(id_col, *carry, F.inline(term_counts(terms("text", ngram_range))))
-        .join(vocab, "term")
-        .withColumn("raw", (F.log("tf") + 1) * F.col("idf"))
-    )
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy(id_col)))
-    return long.select(id_col, *carry, "term", "idx", (F.col("raw") / norm).alias("weight"))
+        vocab = vocabulary(df, max_features, ngram_range)  # bounded by max_features
+    rows, terms_by_idx = _with_cells(df.select(id_col, *carry, "text"), vocab, ngram_range)
+    own = F.aggregate("_cells", F.lit(0.0), lambda a, c: a + c["raw"] * c["raw"])
+    norm = F.sqrt(F.sum(own).over(W.partitionBy(id_col)))
+    long = rows.withColumn("_norm", norm).select(id_col, *carry, "_norm", F.inline("_cells"))
+    named = long.join(terms_by_idx.select("term", "idx"), "idx")
+    return named.select(id_col, *carry, "term", F.col("idx").cast("int").alias("idx"), (F.col("raw") / F.col("_norm")).alias("weight"))
 
 
 def _sparse_parts(
@@ -112,16 +151,9 @@ def _sparse_parts(
 ) -> tuple[DataFrame, list[str]]:
     """Every row with its known terms as ``_cells`` of (idx, raw weight), sorted by idx."""
     carry = [c for c in df.columns if c not in (id_col, "text")]
-    long = (
-        df.select(id_col, *carry, "text")
-        .repartition(id_col)
-        .select(id_col, *carry, F.inline_outer(term_counts(terms("text", ngram_range))))
-        .join(broadcast_small(vocab), "term", "left")
-        .withColumn("raw", (F.log("tf") + 1) * F.col("idf"))
-    )
-    cell = F.when(F.col("idx").isNotNull(), F.struct("idx", "raw"))
     firsts = [F.first(c).alias(c) for c in carry]
-    rows = long.groupBy(id_col).agg(*firsts, F.sort_array(F.collect_list(cell)).alias("_cells"))
+    cells = F.sort_array(F.flatten(F.collect_list("_cells")))
+    rows = _with_cells(df, vocab, ngram_range)[0].groupBy(id_col).agg(*firsts, cells.alias("_cells"))
     return rows, [id_col, *carry]
 
 

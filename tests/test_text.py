@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import math
+import re
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +123,51 @@ def test_histogram_of_one_value(spark):
     rows = profiling.length_histograms(df).filter("n > 0").collect()
     assert sorted((r["measure"], r["n"]) for r in rows) == [("chars", 5), ("words", 5)]
     assert profiling.length_histograms(df).count() == 80
+
+
+def counted_terms(rows, sizes):
+    """(term, total, df) by plain counting."""
+    total, held = Counter(), Counter()
+    for text_ in rows:
+        toks = re.findall(r"\w{2,}", (text_ or "").lower())
+        found = [" ".join(toks[i : i + n]) for n in range(sizes[0], sizes[1] + 1) for i in range(len(toks) - n + 1)]
+        total.update(found)
+        held.update(set(found))
+    return sorted(((t, n, held[t]) for t, n in total.items()), key=lambda x: (-x[1], x[0]))
+
+
+@pytest.mark.parametrize("sizes", [(1, 1), (1, 2), (1, 3), (2, 2)])
+@pytest.mark.parametrize("most", [3, 7, 60, 10_000])
+def test_vocabulary_equals_plain_counting(spark, monkeypatch, sizes, most):
+    monkeypatch.setattr(features.grams, "SLICE_TOKENS", 5)
+    words = ["aa", "bb", "cc", "dd", "ee", "ff", "gg"]
+    rows = [" ".join(words[(i * j + j // 2) % (2 + i % 6)] for j in range(i % 9)) for i in range(40)] + [None, "", "aa", "cc cc cc cc dd"]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "sample_id long, text string")
+    want = counted_terms(rows, sizes)[:most]
+    got = {r["term"]: r["idf"] for r in features.vocabulary(df, most, sizes).collect()}
+    assert got == pytest.approx({t: math.log((len(rows) + 1) / (held + 1)) + 1 for t, _, held in want})
+    longer = features._term_totals(df, (2, 2), pa.array(["aa", "cc"])).collect()
+    assert {r["term"] for r in longer} <= {"aa cc", "cc aa", "aa aa", "cc cc"} and longer
+
+
+def test_rare_words_make_no_longer_terms(spark, monkeypatch):
+    """What is counted beyond single words does not grow with the rare words."""
+    rows = [(i, f"common words rare{i} rarer{i}") for i in range(50)]
+    asked = []
+    counted = features._term_totals
+    monkeypatch.setattr(features, "_term_totals", lambda df, sizes, words=None: asked.append(words) or counted(df, sizes, words))
+    got = features.vocabulary(spark.createDataFrame(rows, "sample_id long, text string"), 2).collect()
+    assert {r["term"] for r in got} == {"common", "common words"}
+    assert asked[0] is None and sorted(asked[1].to_pylist()) == ["common", "words"]
+
+
+def test_weights_of_repeated_and_missing_ids(spark):
+    rows = [(1, "aa bb"), (1, "aa bb"), (None, "aa aa"), (None, "bb"), (3, None)]
+    df = spark.createDataFrame(rows, "sample_id long, text string")
+    vocab = spark.createDataFrame([("aa", 0, 1.0), ("bb", 1, 2.0)], "term string, idx int, idf double")
+    got = sorted((r["sample_id"] or 0, r["term"], round(r["weight"], 6)) for r in features.tfidf_features(df, vocab).collect())
+    one, none = math.sqrt(10), math.sqrt((1 + math.log(2)) ** 2 + 4)
+    want = [(0, "aa", (1 + math.log(2)) / none), (0, "bb", 2 / none)] + 2 * [(1, "aa", 1 / one)] + 2 * [(1, "bb", 2 / one)]
+    assert got == sorted((i, t, round(w, 6)) for i, t, w in want)
+    vectors = features.stored_tfidf_vectors(df, vocab, size=2).select("sample_id", F.unwrap_udt("features")["indices"].alias("at"))
+    assert {r["sample_id"]: r["at"] for r in vectors.collect()} == {1: [0, 0, 1, 1], None: [0, 1], 3: []}
