@@ -105,7 +105,7 @@ def _words_from(counted: DataFrame, least: int) -> pa.Array | None:
     return None if rows.num_rows > SMALL_ROWS else rows["term"].combine_chunks()
 
 
-def _with_cells(df: DataFrame, vocab: DataFrame, ngram_range: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
+def with_cells(df: DataFrame, vocab: DataFrame, ngram_range: tuple[int, int] = NGRAM_RANGE) -> tuple[DataFrame, DataFrame]:
     """``df`` with its known terms as ``_cells`` of (idx, raw weight) in place of the text, and the vocabulary as a local table.
 
     The vocabulary travels with the function, as a model's coefficients do.
@@ -138,7 +138,7 @@ def tfidf_features(
     """
     if vocab is None:
         vocab = vocabulary(df, max_features, ngram_range)  # bounded by max_features
-    rows, terms_by_idx = _with_cells(df.select(id_col, *carry, "text"), vocab, ngram_range)
+    rows, terms_by_idx = with_cells(df.select(id_col, *carry, "text"), vocab, ngram_range)
     own = F.aggregate("_cells", F.lit(0.0), lambda a, c: a + c["raw"] * c["raw"])
     norm = F.sqrt(F.sum(own).over(W.partitionBy(id_col)))
     long = rows.withColumn("_norm", norm).select(id_col, *carry, "_norm", F.inline("_cells"))
@@ -153,7 +153,7 @@ def _sparse_parts(
     carry = [c for c in df.columns if c not in (id_col, "text")]
     firsts = [F.first(c).alias(c) for c in carry]
     cells = F.sort_array(F.flatten(F.collect_list("_cells")))
-    rows = _with_cells(df, vocab, ngram_range)[0].groupBy(id_col).agg(*firsts, cells.alias("_cells"))
+    rows = with_cells(df, vocab, ngram_range)[0].groupBy(id_col).agg(*firsts, cells.alias("_cells"))
     return rows, [id_col, *carry]
 
 
