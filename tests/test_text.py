@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from intentloom.functions import scoring, text
+from intentloom.functions import grams, scoring, text
 from intentloom.operators import features, profiling
 
 
@@ -26,6 +26,28 @@ def test_tokens_are_unicode_words(spark):
     assert one(spark, "Don't ÉCOLE x größe_1, 42!", text.tokens("text")) == ["don", "école", "größe_1", "42"]
 
 
+ODD_TEXTS = [None, "", "a", "é", "中", "中中", "x y", "Don't ÉCOLE größe_1, 42!", "ΣΑΣ İstanbul ½½ 𝒜𝒜 😀😀 a😀bb", "ǅ٣ _ __ a-b aa-bb", "e\u0301te\nab\tcd", "ab" * 300_000]
+
+
+def test_arrow_tokens_equal_spark_tokens(spark):
+    """The byte-wise split gives the tokens of the column expression, in any script and across slices."""
+    rows = spark.createDataFrame(list(enumerate(ODD_TEXTS)), "i int, text string").coalesce(1)
+    held = rows.select(F.lower("text").alias("low"), text.tokens("text").alias("want")).toArrow().combine_chunks()
+    low, want = held["low"].combine_chunks(), [w or [] for w in held["want"].to_pylist()]
+    letters = text.token_letters(spark)
+    assert grams.token_lists(low, letters).to_pylist() == want
+    assert grams.token_lists(low.slice(3, 6), letters).to_pylist() == want[3:9]
+
+
+def test_counts_take_texts_not_token_columns(spark):
+    """Spark's token expression costs ten times the split in Arrow batches: no statistic of terms goes through it."""
+    rows = spark.createDataFrame([(1, "aa bb aa", "x"), (2, None, None), (3, "aa", None)], "sample_id int, text string, label_name string")
+    counts = features.class_term_counts(rows)
+    assert "regexp" not in counts._jdf.queryExecution().toString()
+    assert {(r["label_name"], r["term"], r["tf"]) for r in counts.collect()} == {("x", "aa", 2), ("x", "bb", 1), (None, "aa", 1)}
+    assert "regexp" not in features.tfidf_features(rows)._jdf.queryExecution().toString()
+
+
 def test_text_key_ignores_case_and_outer_space(spark):
     keys = {one(spark, v, text.text_key("text")) for v in ("Hello World", "  hello world\n", " HELLO WORLD ")}
     assert len(keys) == 1
