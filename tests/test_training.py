@@ -69,6 +69,13 @@ def test_attribution_of_fitted_models(vectors):
         explain.coefficient_table(forest, vocab)
 
 
+def test_forest_keeps_the_rows_nodes_and_grows_the_same_trees(vectors):
+    (train, _, _), _, _ = vectors
+    forest = training.random_forest(train.count(), trees=5, depth=6)
+    assert forest.getCacheNodeIds()
+    assert forest.fit(train).toDebugString.split("\n")[1:] == forest.copy({forest.cacheNodeIds: False}).fit(train).toDebugString.split("\n")[1:]
+
+
 def test_fits_are_not_cut_short(spark):
     forest = plans._estimators(100)["tfidf_forest"]
     assert forest.getMaxDepth() == 30 and forest.getNumTrees() == 200
