@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intentloom.llm.common import bucketed_rank, read
-from intentloom.llm.encode import encoder, texts_of
+from intentloom.llm.encode import encoder
 from intentloom.session import through_table
 
 CAPACITY = 4096
@@ -212,7 +212,7 @@ def pieces(
         encode = encoder(tokenizer, spaced)
         for batch in batches:
             rows = []
-            for doc, ids in zip(batch.column(0).to_pylist(), encode.ids(texts_of(batch.column(1)))):
+            for doc, ids in zip(batch.column(0).to_pylist(), encode.ids(batch.column(1))):
                 ids += end
                 for at in range(0, len(ids), 4 * capacity):
                     part = ids[at : at + 4 * capacity]

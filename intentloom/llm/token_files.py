@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from intentloom.llm.common import read
-from intentloom.llm.encode import crc32_of, encoder, texts_of
+from intentloom.llm.encode import crc32_of, encoder
 from intentloom.session import scratch_path
 
 NULL_ID = np.iinfo(np.int64).min
@@ -72,7 +72,7 @@ def write_token_files(
         lengths, ids = [], []
         with place.open_output_stream(path, compression=None) as out:
             for batch in batches:
-                for tokens in encode.ids(texts_of(batch.column(1))):
+                for tokens in encode.ids(batch.column(1)):
                     out.write(tokens + end)
                     lengths.append(len(tokens) // width + 1)
                 ids.append(np.asarray(batch.column(0).fill_null(int(NULL_ID))))

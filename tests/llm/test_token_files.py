@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -62,3 +63,39 @@ def test_query(spark, sf_dir):
         ids = np.array([*plain.encode(texts[r["doc_id"]], add_special_tokens=False).ids, 0], "<u4")
         assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (at, len(ids), zlib.crc32(ids.tobytes()))
         at += len(ids)
+
+
+PARTS = [
+    "<|endoftext|>", "<|startoftext|>", "<|STARTOFTEXT|>", "<|endoftext", "|>", "a", "Bc", "7", "77", " ", "  ", "\n", "\t", ".", "=\u0338", "==", "'s", "'LL",
+    "H\u0331", "I\u0307", "\u0130", "\u0130.", "\u00d7,", "\u00f7!", "\u00f1,", "\u00e9", "\u017f", "\u212a", "\u03a3.", "\U0001f600.", "\u2026", "(7)", "***", "x$$$", "\x85", "\u3000",
+]
+
+
+@pytest.mark.parametrize(("path", "spaced"), [(BYTE, True), (WORD, False)])
+@pytest.mark.parametrize("cached", [encode.CACHED_WORDS, 50])
+def test_odd_parts_have_the_ids_of_whole_texts(path, spaced, cached, monkeypatch):
+    monkeypatch.setattr(encode, "CACHED_WORDS", cached)
+    monkeypatch.setattr(encode, "ENCODED", 5000)
+    rng = random.Random(8)
+    texts = ["".join(rng.choice(PARTS) for _ in range(rng.randint(0, 20))) for _ in range(3000)] + [None]
+    want = [e.ids for e in Tokenizer.from_file(path).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    made = encode.WordEncoder(path, spaced)
+    for column in (pa.array(texts), pa.array(["before", *texts], pa.large_string()).slice(1)):
+        assert [np.frombuffer(g, "<u4").tolist() for g in made.ids(column)] == want
+    assert len(made.words) <= cached
+
+
+@pytest.mark.parametrize(("path", "spaced"), [(BYTE, True), (WORD, False)])
+def test_a_word_with_other_marks_is_not_encoded_again(path, spaced):
+    rng, made, given = random.Random(4), encode.WordEncoder(path, spaced), []
+    words = list({"".join(rng.choice("abcdefghij") for _ in range(9)) for _ in range(1000)})
+    text = " ".join(w + m for m in ("***", "$$$", ",&&&") for w in words)
+
+    class Counting:
+        def encode_batch_fast(self, texts, **how):
+            given.extend(texts)
+            return plain.encode_batch_fast(texts, **how)
+
+    plain, made.tokenizer = made.tokenizer, Counting()
+    assert np.frombuffer(next(iter(made.ids([text]))), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert len(given) < 20 and sum(map(len, given)) < 1.2 * sum(len(w) + 1 for w in words)
