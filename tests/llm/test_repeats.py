@@ -120,3 +120,27 @@ def test_long_text_ingested_many_times(spark):
     got = collections.Counter((r["doc_id"], r["n_bytes"], r["n_removed"]) for r in repeats.without_repeats(spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA)).collect())
     size = len(long.encode())
     assert got == collections.Counter({(None, size, size): 12, (1, 900, 0): 1, (2, 350, 0): 1})
+
+
+def test_passages_are_told_by_bytes_removed_not_by_size(spark):
+    """Passages of 51 to 80 words in two documents each: those of 400 bytes or more go, shorter ones and clean documents stay."""
+    rng = random.Random(12)
+
+    def words(n, lo, hi):
+        return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(lo, hi))) for _ in range(n))
+
+    rows, long, short = [], set(), set()
+    for k in range(60):
+        passage = words(rng.randint(51, 80), *((2, 5) if k % 2 else (3, 9)))
+        for i in (2 * k, 2 * k + 1):
+            rows.append((i, f"{words(40, 2, 9)} {passage} {words(40, 2, 9)}"))
+            (long if len(passage) >= 400 else short).add(i)
+    clean = set(range(1000, 1060))
+    rows += [(i, words(180, 2, 9)) for i in sorted(clean)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA)
+    got = {r["doc_id"]: r for r in repeats.without_repeats(docs).collect()}
+    assert len(long) > 20 and len(short) > 20
+    assert {i for i, r in got.items() if r["n_removed"]} >= long
+    assert not any(got[i]["n_removed"] for i in clean)
+    assert {i: digest(r) for i, r in got.items()} == dict(zip([i for i, _ in rows], brute([t for _, t in rows])))
+    assert all(got[i]["n_bytes"] == len(t) for i, t in rows)  # what comes in, whatever goes
