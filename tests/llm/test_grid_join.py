@@ -80,3 +80,38 @@ def test_far_blocks_are_skipped(spark):
 def test_empty_table(spark):
     assert grid_join.cosine_links(spark.createDataFrame([], SCHEMA)).count() == 0
     assert grid_join.cosine_links(spark.createDataFrame([(1, None, None)], SCHEMA)).first()["kept"]
+
+
+def test_no_step_sends_the_vectors_of_a_large_label_many_times(spark, monkeypatch):
+    """250 blocks of one label: as block pairs every vector would be sent 251 times at once."""
+    rng, sent = np.random.default_rng(3), []
+    centres = rng.normal(size=(60, 6))
+    rows = [(i, (centres[i % 60] + 0.25 * rng.normal(size=6)).tolist(), 0) for i in range(2000)]
+    rows += [(5000 + i, [float(x) for x in rows[i][1]], 0) for i in range(50)]
+    compared = grid_join.compared
+
+    def counted(units, *more):
+        sent.append(units.count())
+        return compared(units, *more)
+
+    monkeypatch.setattr(grid_join, "BLOCK", 8)
+    monkeypatch.setattr(grid_join, "compared", counted)
+    got = grid_join.cosine_links(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == sorted(brute(rows))
+    assert len(sent) > 1 and max(sent) <= 4 * 2000
+
+
+def test_found_rows_are_added_up_between_waves(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(i, (1 + 0.1 * rng.normal(size=5)).tolist(), i % 2) for i in range(400)]
+    for name, value in (("BLOCK", 8), ("WIDEST", 4), ("SHARE", 1), ("HELD", 1), ("RUN", 2)):
+        monkeypatch.setattr(grid_join, name, value)
+    got = grid_join.cosine_links(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == sorted(brute(rows))
+
+
+def test_doubles_keep_their_digits(spark):
+    v = [1.0, 1e-9, 0.0]
+    rows = [(1, v, 0), (2, [2 * x for x in v], 0), (3, [1.0, 2e-9, 0.0], 0), (4, [0.0, 0.0, 1e-300], 0)]
+    got = grid_join.cosine_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == [(1, 2, 1), (2, 2, 1), (3, 2, 1), (4, 0, 4)]
