@@ -10,7 +10,7 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, OneVsRestModel, RandomForestClassificationModel, RandomForestClassifier
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from intentloom.functions.hashing import SEED
@@ -22,6 +22,7 @@ N_TRIALS = 20
 MAX_ITER = 1_000
 TOLERANCE = 1e-4  # relative change at which a fit stops: within 0.1 % of the optimum by ``certificate`` on the given texts
 CERTIFIED_TOLERANCE = 1e-6  # for a fit whose intercepts, too, shall be at rest
+CELL_BYTES = 12  # of a vector's cell in the blocks that a fit stores: an index and a value
 
 
 def logreg(n_rows: int, c: float = 1.0, max_iter: int = MAX_ITER, tol: float = TOLERANCE) -> Estimator:
@@ -58,10 +59,31 @@ def prepare(
     )
 
 
+def storage_room(spark: SparkSession) -> int:
+    """Bytes that the executors can keep in memory, all together; of a session without any, the driver."""
+    status = spark._jsc.sc().getExecutorMemoryStatus().toList()
+    room = {status.apply(i)._1(): status.apply(i)._2()._1() for i in range(status.size())}
+    own = room.pop(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().blockManagerId().hostPort(), 0)
+    return sum(room.values()) or own
+
+
+def fits_held(vectors: DataFrame) -> int:
+    """How many fits' own blocks of these stored vectors fit into the executors' memory at a time, one at least.
+
+    Past it the blocks lie on disk, and every iteration of every fit reads them from there.
+    """
+    stored = vectors.sparkSession.read.parquet(*vectors.inputFiles())
+    cells = stored.agg(F.sum(F.size("features.values"))).first()[0] or 0
+    return max(1, storage_room(vectors.sparkSession) // max(1, CELL_BYTES * cells))
+
+
 def train_and_evaluate(
-    name: str, estimator: Estimator, train_vectors: DataFrame, test_vectors: DataFrame
+    name: str, estimator: Estimator, train_vectors: DataFrame, test_vectors: DataFrame, held: int | None = None
 ) -> tuple[Model, DataFrame]:
-    """Fit one model; its metrics on the test vectors as one row."""
+    """Fit one model; its metrics on the test vectors as one row. ``held`` of its parts, as far as known, are fitted at a time."""
+    if isinstance(estimator, OneVsRest):
+        held = fits_held(train_vectors) if held is None else held
+        estimator = estimator.copy({estimator.parallelism: max(1, min(held, estimator.getParallelism()))})
     model = estimator.fit(train_vectors)
     scored = model.transform(test_vectors).select("label", F.col("prediction").cast("int").alias("predicted_label"))
     metrics = evaluation.classification_metrics(scored)
@@ -73,13 +95,16 @@ def fit_all(
 ) -> tuple[dict[str, Model], DataFrame]:
     """Fit several models at a time, as a cross-validator does: their fits share the cluster.
 
+    Fewer at a time where their blocks would not fit into memory side by side; the models are the same.
     Returns the models and one metrics row per model.
     """
+    held = fits_held(train_vectors)
+    at_once = max(1, min(parallelism, held))
     fit = inheritable_thread_target(train_vectors.sparkSession)(
-        lambda item: train_and_evaluate(*item, train_vectors, test_vectors)
+        lambda item: train_and_evaluate(*item, train_vectors, test_vectors, held // at_once)
     )
-    with ThreadPool(parallelism) as pool:
-        results = dict(zip(estimators, pool.map(fit, estimators.items())))
+    with ThreadPool(at_once) as pool:
+        results = dict(zip(estimators, pool.map(fit, estimators.items(), chunksize=1)))
     metrics = reduce(DataFrame.unionByName, [row for _, row in results.values()])
     return {name: model for name, (model, _) in results.items()}, features.broadcast_small(metrics)
 

@@ -108,3 +108,35 @@ def test_certificate_equals_dense_numpy(vectors, iterations, certified):
     assert got["rows"] == n and got["certified"] == certified
     assert got["objective"] == pytest.approx(objective) and got["intercept_gradient"] == pytest.approx(free, abs=1e-9)
     assert got["gap"] == pytest.approx((gradient**2).sum() * n / 2, rel=1e-6, abs=1e-12)
+
+
+def test_as_many_fits_at_a_time_as_memory_holds(vectors, monkeypatch):
+    """Blocks of fits that lie on disk are read at every iteration, and many at a time can end the executors."""
+    (train, test, _), _, _ = vectors
+    cells = sum(r["features"].numNonzeros() for r in train.select("features").collect())
+    running, most, parts = [], [], []
+    fit_svc, fit_lr = training.OneVsRest.fit, training.LogisticRegression.fit
+
+    def counted(self, data):
+        running.append(1)
+        most.append(len(running))
+        try:
+            return fit_lr(self, data)
+        finally:
+            running.pop()
+
+    monkeypatch.setattr(training.LogisticRegression, "fit", counted)
+    monkeypatch.setattr(training.OneVsRest, "fit", lambda self, data: parts.append(self.getParallelism()) or fit_svc(self, data))
+    found = []
+    for room in (1 << 30, 2 * 12 * cells, 12 * cells - 1):
+        monkeypatch.setattr(training, "storage_room", lambda spark, room=room: room, raising=False)
+        most.clear()
+        _, metrics = training.fit_all({str(c): training.logreg(180, c=c) for c in (0.1, 1.0, 10.0, 100.0)}, train, test)
+        _, svc = training.train_and_evaluate("svc", training.linear_svc(180, max_iter=20), train, test)
+        found.append((max(most), parts[-1], sorted(metrics.collect()) + svc.collect()))
+    assert [f[:2] for f in found] == [(3, 4), (2, 2), (1, 1)]
+    assert found[0][2] == found[1][2] == found[2][2]
+
+
+def test_room_is_that_of_the_session(spark):
+    assert 0 < training.storage_room(spark) < 6 << 30
